@@ -14,7 +14,7 @@ from martloom.operators import filters, loads, lookup, partitions, quality, shar
 from martloom.plans import audit, pipeline, plan_fact, refine, sales_mart, serving
 from martloom.session import fresh_path
 from martloom.sources import delimited
-from martloom.sources.tables import read_table
+from martloom.sources.tables import empty_table, read_table
 
 # Periods of the test tables with interesting rows.
 START, END = "1995-01-01", "1995-02-28"
@@ -66,7 +66,7 @@ def _older(items: DataFrame) -> DataFrame:
 
 def _window(f: Frames, schema, rows: DataFrame, key: str = "calday") -> DataFrame:
     """Load a window of months into a table that is still empty."""
-    nothing = f.spark.createDataFrame([], schema)
+    nothing = empty_table(f.spark, schema)
     return partitions.delta_partition_load(rows, nothing, key, START, END)
 
 
@@ -237,7 +237,7 @@ def partition_routing(f):
 
 @query
 def partition_validation(f):
-    """Rows of each bill's month that were shipped in another month, by month."""
+    """Rows a swap of the window would refuse, by month."""
     lo, hi = dates.month_window(START, END)
     wrong = quality.outside_partition(f.bills_item, "calday", lo, hi)
     return wrong.groupBy(F.trunc("calday", "month").alias("month")).agg(
@@ -413,7 +413,8 @@ def _as_file(f: Frames, df: DataFrame, name: str) -> str:
 @query
 def csv_scan(f):
     path = _as_file(f, f.product, "product.csv")
-    return delimited.read_delimited(f.spark, path, schemas.PRODUCT)
+    staging = fresh_path(f.spark, "product_staging")
+    return delimited.read_delimited(f.spark, path, schemas.PRODUCT, staging=staging)
 
 
 @query

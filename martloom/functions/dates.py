@@ -74,6 +74,12 @@ def in_window(column: Column | str, lo: dt.date, hi: dt.date) -> Column:
     return (column >= F.lit(lo)) & (column < F.lit(hi))
 
 
+def outside_window(column: Column | str, lo: dt.date, hi: dt.date) -> Column:
+    """The rows ``in_window`` leaves, NULL dates among them; can be pushed to the scan."""
+    column = F.col(column) if isinstance(column, str) else column
+    return column.isNull() | (column < F.lit(lo)) | (column >= F.lit(hi))
+
+
 def parse_day(column: Column | str, pattern: str) -> Column:
     """Text to date; text that is no such date gives NULL instead of failing the job."""
     return F.try_to_date(column, pattern)

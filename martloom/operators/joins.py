@@ -21,12 +21,14 @@ MAX_GRID_SLICES = 32
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Size Spark's optimizer assumes: file sizes at the leaves, no job is run.
+    """Bytes of all files and local rows under a frame; runs neither a job nor the optimizer.
 
-    Filters and aggregates do not lower it and joins multiply it, so it errs
-    on the large side and a large frame never passes as small.
+    Filters, column pruning and aggregates do not lower it, so it errs on the
+    large side. Files are compressed, which the bounds above leave room for. A
+    source that cannot tell its size counts as very large.
     """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -38,17 +40,25 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
 def join_dimension(
     df: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", limit: int | None = None
 ) -> DataFrame:
-    """Join a fact or mart to a dimension.
+    """Join facts or a mart to a dimension; each way is taken only on a checked size.
 
-    A dimension within the bound is broadcast. A larger one is first reduced to
-    the keys that ``df`` holds, so the many keys nobody asked for are not
-    shuffled against the facts; after that the join is left to the optimizer.
+    A small dimension is broadcast. If it is large but ``df`` is a small stored
+    mart, the mart is broadcast instead: directly, or for a left join to cut
+    the dimension down to the mart's keys. Two large sides are shuffled.
     """
     bound = BROADCAST_BYTES if limit is None else limit
     if estimated_bytes(dim) <= bound:
         return df.join(F.broadcast(dim), on, how)
-    wanted = df.select(on).distinct()
-    return df.join(dim.join(wanted, on, "left_semi"), on, how)
+    if estimated_bytes(df) <= bound:
+        if how == "inner":
+            return F.broadcast(df).join(dim, on)
+        dim = reduce_to(dim, df.select(on))
+    return df.join(dim, on, how)
+
+
+def reduce_to(dim: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of a large dimension whose key is among the few given ones; it is not shuffled."""
+    return dim.join(F.broadcast(keys.distinct()), keys.columns, "left_semi")
 
 
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> dict[int, float]:

@@ -22,7 +22,7 @@ from martloom.functions.dates import (
     months_between,
 )
 from martloom.operators.quality import require, conform, not_empty_predicate
-from martloom.sources.tables import MONTH
+from martloom.sources.tables import MONTH, empty_table
 
 COMPRESSION = "zstd"
 
@@ -121,6 +121,6 @@ def load_months(
     written = _write(rows, path, "overwrite", MONTH, **counts)
     months = {name: written[f"m{name}"] for name in names}
     for name in (name for name, count in months.items() if not count):
-        nothing = source.sparkSession.createDataFrame([], schema)
+        nothing = empty_table(source.sparkSession, schema)
         nothing.write.mode("overwrite").parquet(f"{path}/{MONTH}={name}")
     return LoadResult(written["rows"], months=months)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
-from martloom.operators.joins import BROADCAST_BYTES, estimated_bytes
+from martloom.operators.joins import BROADCAST_BYTES, estimated_bytes, reduce_to
 
 
 def type_default(kind: DataType) -> object:
@@ -37,17 +37,18 @@ def dict_lookup(
 ) -> DataFrame:
     """Add ``attributes`` (source column -> output name) of the entry of each row's key.
 
-    The dictionary is broadcast when small. A larger one is cut down to the
-    keys in ``df`` before its entries are picked, so only those are shuffled.
+    The dictionary is broadcast when small. A large one that serves a small
+    stored mart is cut down to the mart's keys before its entries are picked;
+    otherwise entries are picked and joined by a shuffle on the key.
     """
     on = on or key
+    bound = BROADCAST_BYTES if limit is None else limit
     entries = source.select(F.col(key).alias("_key"), *attributes, *_extra(pick, attributes))
-    if estimated_bytes(entries) <= (BROADCAST_BYTES if limit is None else limit):
-        table = F.broadcast(dictionary(entries, "_key", list(attributes), pick or []))
-    else:
-        wanted = df.select(F.col(on).alias("_key")).distinct()
-        entries = entries.join(wanted, "_key", "left_semi")
-        table = dictionary(entries, "_key", list(attributes), pick or [])
+    small = estimated_bytes(entries) <= bound
+    if not small and estimated_bytes(df) <= bound:
+        entries = reduce_to(entries, df.select(F.col(on).alias("_key")))
+    table = dictionary(entries, "_key", list(attributes), pick or [])
+    table = F.broadcast(table) if small else table
     table = table.select("_key", *[F.col(a).alias(f"_{out}") for a, out in attributes.items()])
     found = df.join(table, df[on] == table["_key"], "left")
     defaults = defaults or {}

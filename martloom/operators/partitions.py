@@ -13,6 +13,7 @@ from martloom.functions.dates import (
     as_date,
     in_window,
     month_window,
+    outside_window,
 )
 
 
@@ -74,6 +75,6 @@ def delta_partition_load(
     """
     if source.isEmpty():
         return target
-    inside = in_window(key, *month_window(start, end))
-    kept = target.filter(~F.coalesce(inside, F.lit(False)))
-    return kept.unionByName(source.filter(inside).select(target.columns))
+    window = month_window(start, end)
+    kept = target.filter(outside_window(key, *window))
+    return kept.unionByName(source.filter(in_window(key, *window)).select(target.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from martloom.functions.dates import in_window
+from martloom.functions.dates import outside_window
 
 
 class LoadError(ValueError):
@@ -61,7 +61,7 @@ def require(df: DataFrame, schema: StructType) -> DataFrame:
 
 def outside_partition(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> DataFrame:
     """Rows whose date is not in ``[lo, hi)``; a NULL date is not inside any range."""
-    return df.filter(~F.coalesce(in_window(key, lo, hi), F.lit(False)))
+    return df.filter(outside_window(key, lo, hi))
 
 
 def assert_in_partition(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> DataFrame:

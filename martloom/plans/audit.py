@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -67,40 +69,44 @@ def audit_log(loads: list[DataFrame]) -> DataFrame:
 
 
 class Journal:
-    """Journal table of a warehouse. Each entry is stored at once, so it outlives a failed load."""
+    """Journal table of a warehouse. A load's entries are stored when it ends or fails."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
-    def write(self, kind: str, message: str | None, location: str | None) -> None:
-        raw = self.spark.createDataFrame(
-            [(check_type(kind), message, location)],
-            "log_type string, log_msg string, log_location string",
-        )
-        stamped = entries(raw).withColumns(
-            {
-                "log_id": F.expr("uuid()"),
-                "log_timestamp": F.current_timestamp(),
-                "log_user": F.current_user(),
-            }
-        )
+    def write(self, *raw: tuple[str, str | None, str | None]) -> None:
+        """Store entries given as (type, message, location)."""
+        fields = ("log_id", "log_timestamp", "log_type", "log_msg", "log_location")
+        now = dt.datetime.now(dt.timezone.utc)
+        rows = [(f"{uuid.uuid4()}", now, check_type(kind), *texts) for kind, *texts in raw]
+        # Literals in the plan: the few entries need no Python worker to be written.
+        values = [
+            F.struct(
+                *[F.lit(v).cast(schemas.AUDIT[n].dataType).alias(n) for n, v in zip(fields, row)]
+            )
+            for row in rows
+        ]
+        given = self.spark.range(1).select(F.inline(F.array(*values)))
+        stamped = entries(given).withColumn("log_user", F.current_user())
         stamped.select(schemas.AUDIT.names).coalesce(1).write.mode("append").parquet(self.path)
 
     @contextmanager
     def load(self, location: str) -> Iterator[list[LoadResult]]:
-        """Journal the start, the row count or the failure, and the end of a load."""
-        self.write(INFO, f"START {location}", location)
+        """Journal the row count of a load, or its failure, between its start and end."""
+        noted = [(INFO, f"START {location}", location)]
         results: list[LoadResult] = []
         try:
             yield results
+            for result in results:
+                note = "source table is empty" if result.skipped else f"{result.rows} rows inserted"
+                noted.append((INFO, note, location))
+            noted.append((INFO, f"END {location}", location))
         except Exception as failure:
-            self.write(ERROR, f"FAILED {location}: {failure}", location)
+            noted.append((ERROR, f"FAILED {location}: {failure}", location))
             raise
-        for result in results:
-            note = "source table is empty" if result.skipped else f"{result.rows} rows inserted"
-            self.write(INFO, note, location)
-        self.write(INFO, f"END {location}", location)
+        finally:
+            self.write(*noted)
 
     def read(self) -> DataFrame:
         return read_table(self.spark, self.path, schemas.AUDIT)

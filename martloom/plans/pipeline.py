@@ -69,7 +69,7 @@ class Warehouse:
         path = self.path(f"rejects/{table}")
         found = create_table_as(rejects, path).rows
         if found:
-            self.journal.write(ERROR, f"{found} rows set aside in {path}", table)
+            self.journal.write((ERROR, f"{found} rows set aside in {path}", table))
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)

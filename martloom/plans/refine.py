@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +12,16 @@ from martloom import schemas
 from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, parse_day
 from martloom.functions.rounding import cents, half_up, ratio, unscale
 from martloom.operators.joins import fact_join, join_dimension, salted_join, skew_of
-from martloom.operators.quality import conform, not_empty
+from martloom.operators.quality import not_empty_predicate
 
 # How a promotion's discount is meant.
 ABSOLUTE, PERCENT = "001", "002"
 
 
-def _unparsed(text: str, value: Column) -> Column:
-    return F.col(text).isNotNull() & value.isNull()
+def _readable(values: dict[str, Column]) -> Column:
+    """No column holds a text whose value could not be read."""
+    tests = [F.col(name).isNull() | value.isNotNull() for name, value in values.items()]
+    return reduce(and_, tests)
 
 
 # ---- traffic ---------------------------------------------------------------
@@ -24,14 +29,13 @@ def _unparsed(text: str, value: Column) -> Column:
 
 def traffic_ods(traffic: DataFrame) -> DataFrame:
     """Raw visitor counts with the day as a date; an unreadable day becomes NULL."""
-    rows = conform(traffic, schemas.TRAFFIC)
-    parsed = rows.withColumn("calday", parse_day("date", DOTTED_DAY))
-    return conform(parsed, schemas.ODS_TRAFFIC)
+    return traffic.select(
+        "plant", parse_day("date", DOTTED_DAY).alias("calday"), "time", "frame_id", "quantity"
+    )
 
 
 def traffic_rejects(traffic: DataFrame) -> DataFrame:
-    rows = conform(traffic, schemas.TRAFFIC)
-    return rows.filter(_unparsed("date", parse_day("date", DOTTED_DAY)))
+    return traffic.filter(~_readable({"date": parse_day("date", DOTTED_DAY)}))
 
 
 # ---- coupons and promotions ------------------------------------------------
@@ -45,11 +49,8 @@ def _coupon_values() -> dict[str, Column]:
     }
 
 
-def _readable(values: dict[str, Column]) -> Column:
-    bad = F.lit(False)
-    for name, value in values.items():
-        bad = bad | _unparsed(name, value)
-    return ~bad
+def _promo_values() -> dict[str, Column]:
+    return {"material": F.col("material").try_cast("bigint")}
 
 
 def coupons_ods(coupons: DataFrame) -> DataFrame:
@@ -58,26 +59,24 @@ def coupons_ods(coupons: DataFrame) -> DataFrame:
     Rows with a blank text value that stays text are dropped; rows with an
     unreadable value are left to ``coupons_rejects``.
     """
-    rows, values = conform(coupons, schemas.COUPONS), _coupon_values()
-    typed = rows.filter(_readable(values)).withColumns(values)
-    return not_empty(conform(typed, schemas.ODS_COUPONS), schemas.ODS_COUPONS)
+    values = _coupon_values()
+    kept = coupons.filter(_readable(values) & not_empty_predicate(schemas.ODS_COUPONS))
+    return kept.withColumns(values).select(schemas.ODS_COUPONS.names)
 
 
 def coupons_rejects(coupons: DataFrame) -> DataFrame:
-    return conform(coupons, schemas.COUPONS).filter(~_readable(_coupon_values()))
+    return coupons.filter(~_readable(_coupon_values()))
 
 
 def promos_ods(promos: DataFrame) -> DataFrame:
     """Promotions with a typed material, without blank text values."""
-    rows = conform(promos, schemas.PROMOS)
-    values = {"material": F.col("material").try_cast("bigint")}
-    typed = rows.filter(_readable(values)).withColumns(values)
-    return not_empty(conform(typed, schemas.ODS_PROMOS), schemas.ODS_PROMOS)
+    values = _promo_values()
+    kept = promos.filter(_readable(values) & not_empty_predicate(schemas.ODS_PROMOS))
+    return kept.withColumns(values).select(schemas.ODS_PROMOS.names)
 
 
 def promos_rejects(promos: DataFrame) -> DataFrame:
-    rows = conform(promos, schemas.PROMOS)
-    return rows.filter(~_readable({"material": F.col("material").try_cast("bigint")}))
+    return promos.filter(~_readable(_promo_values()))
 
 
 # ---- detail layer ----------------------------------------------------------
@@ -90,8 +89,7 @@ def bills_dds(items: DataFrame, heads: DataFrame, threshold: int | None = None)
     The bill number is the only join key, so a bill with very many items is
     spread by ``fact_join``.
     """
-    stores = conform(heads, schemas.BILLS_HEAD).select("billnum", "plant")
-    joined = fact_join(conform(items, schemas.BILLS_ITEM), stores, ["billnum"], threshold)
+    joined = fact_join(items, heads.select("billnum", "plant"), ["billnum"], threshold)
     return joined.select(schemas.DDS_BILLS.names)
 
 
@@ -111,17 +109,14 @@ def coupons_dds(
     shuffle of its own, as the rows are already placed by that pair.
     """
     on = ["material", "billnum"]
-    lines = conform(items, schemas.BILLS_ITEM).select(*on, "rpa_sat", "qty")
-    coupons = conform(coupons, schemas.ODS_COUPONS)
+    lines = items.select(*on, "rpa_sat", "qty")
     hot = skew_of(coupons, lines, on, threshold)
     if any(hot):
         priced = salted_join(coupons.distinct(), lines.distinct(), on, *hot)
     else:
         priced = coupons.join(lines, on)
 
-    kinds = conform(promos, schemas.ODS_PROMOS).select(
-        "promo_id", "promo_type", F.col("discount").alias("_promo")
-    )
+    kinds = promos.select("promo_id", "promo_type", F.col("discount").alias("_promo"))
     rows = join_dimension(priced, kinds, ["promo_id"])
     absolute, percent = F.col("promo_type") == ABSOLUTE, F.col("promo_type") == PERCENT
     price = ratio(F.col("rpa_sat"), F.col("qty"))

@@ -84,7 +84,7 @@ def rejected(scan: DataFrame) -> DataFrame:
 
 def check_reject_limit(scan: DataFrame, limit: int) -> None:
     """Fail once ``limit`` malformed rows are found; at most that many are looked at."""
-    found = len(rejected(scan).limit(limit).collect())
+    found = rejected(scan).select(REJECT).limit(limit).count()
     if found >= limit:
         raise RejectLimitReached(f"reject limit of {limit} rows reached")
 
@@ -97,9 +97,18 @@ def read_delimited(
     reject_limit: int | None = 5,
     delimiter: str = ";",
     multi_line: bool = False,
+    staging: str | None = None,
 ) -> DataFrame:
-    """Well-formed rows of the file, provided the malformed ones stay under the limit."""
+    """Well-formed rows of the file, provided the malformed ones stay under the limit.
+
+    Checking the limit parses the file once more. For large files name a
+    ``staging`` folder: the file is parsed once into it, the check reads only
+    its reject column, and the rejected rows can be looked up there.
+    """
     scan = scan_delimited(spark, path, schema, header, delimiter, multi_line)
+    if staging:
+        scan.write.mode("overwrite").option("compression", "zstd").parquet(staging)
+        scan = spark.read.schema(scan.schema).parquet(staging)
     if reject_limit is not None:
         check_reject_limit(scan, reject_limit)
     return accepted(scan, schema)

@@ -14,6 +14,11 @@ from martloom.functions.dates import in_window, month_window
 MONTH = "month"
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(columns)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table; one that was never loaded reads as empty."""
     try:
@@ -21,7 +26,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
