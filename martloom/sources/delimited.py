@@ -123,5 +123,7 @@ def write_delimited(df: DataFrame, path: str, header: bool = True, delimiter: st
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
