@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.joins import sized_join
+
 
 class Frames:
     """Source tables over the Parquet files of one folder."""
@@ -64,9 +66,8 @@ class Frames:
     def coupons(self) -> DataFrame:
         """Lines sold at 5 % off or more; some coupons twice, some of an unknown promotion."""
         lines = self.raw("lineitem").filter("l_discount >= 0.05")
-        joined = lines.join(
-            self.bills_head.select(F.col("billnum").alias("l_orderkey"), "plant"), "l_orderkey"
-        )
+        plants = self.bills_head.select(F.col("billnum").alias("l_orderkey"), "plant")
+        joined = sized_join(lines, plants, ["l_orderkey"])
         return joined.withColumn(
             "copy", F.expr("explode(sequence(0, if(l_partkey % 10 = 0, 1, 0)))")
         ).selectExpr(
@@ -156,7 +157,7 @@ class Frames:
                 F.trunc("date", "month").alias("month"), "region", "material", "distr_chan"
             )
             .agg(F.sum("quantity").alias("quantity"))
-            .join(self.product.select("material", "matdirec"), "material")
+            .transform(sized_join, self.product.select("material", "matdirec"), ["material"])
             .groupBy("month", "region", "matdirec", "distr_chan")
             .agg(F.sum("quantity").alias("quantity"))
         )

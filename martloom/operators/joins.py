@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is sent to every executor only if its estimate is within this bound.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 # Below this estimate no key can hold enough rows to hurt one task.
 SKEW_BYTES = 4 << 30
 # A key is hot if it holds at least this share of all rows, so at most 1/share keys are.
@@ -37,25 +34,6 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if estimated_bytes(df) <= bound else df
 
 
-def join_dimension(
-    df: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", limit: int | None = None
-) -> DataFrame:
-    """Join facts or a mart to a dimension; each way is taken only on a checked size.
-
-    A small dimension is broadcast. If it is large but ``df`` is a small stored
-    mart, the mart is broadcast instead: directly, or for a left join to cut
-    the dimension down to the mart's keys. Two large sides are shuffled.
-    """
-    bound = BROADCAST_BYTES if limit is None else limit
-    if estimated_bytes(dim) <= bound:
-        return df.join(F.broadcast(dim), on, how)
-    if estimated_bytes(df) <= bound:
-        if how == "inner":
-            return F.broadcast(df).join(dim, on)
-        dim = reduce_to(dim, df.select(on))
-    return df.join(dim, on, how)
-
-
 def reduce_to(dim: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of a large dimension whose key is among the few given ones; it is not shuffled."""
     return dim.join(F.broadcast(keys.distinct()), keys.columns, "left_semi")
@@ -66,10 +44,9 @@ def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> dict[int
 
     Candidates come from a frequent-items pass, which keeps at most 1/share
     counters per task and misses no such key; a second pass counts them exactly.
-    Only these few numbers reach the driver.
+    Only these few numbers reach the driver. NULL counts as a key.
     """
-    present = reduce(and_, [F.col(c).isNotNull() for c in on])
-    hashed = df.filter(present).select(F.xxhash64(*on).alias("key"))
+    hashed = df.select(F.xxhash64(*on).alias("key"))
     candidates = hashed.freqItems(["key"], share).first()[0] or []
     if not candidates:
         return {}
@@ -105,14 +82,18 @@ def salted_join(
     on: list[str],
     hot_left: dict[int, float],
     hot_right: dict[int, float] | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join in which the rows of hot keys are spread over many tasks.
+    """Join in which the rows of hot keys are spread over many tasks.
 
     Rows of a key that is hot on one side take one slice there and are copied
     to every slice on the other side. A key hot on both sides forms a grid.
-    Each pair of rows meets in exactly one slice, so the result is the plain join.
+    Each pair of rows meets in exactly one slice, so the result is the plain
+    join. In a left join the left rows must not be copied, so only they are sliced.
     """
     hot_right = hot_right or {}
+    if how not in ("inner", "left") or (how == "left" and hot_right):
+        raise ValueError(f"cannot slice both sides of a {how} join")
     if [left.schema[c].dataType for c in on] != [right.schema[c].dataType for c in on]:
         raise TypeError(f"join columns {on} differ in type")
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -129,24 +110,43 @@ def salted_join(
         rhs = rhs.withColumn("_slice_r", _pick(hot_right, on, n, right.columns))
         lhs = lhs.withColumn("_slice_r", _copy(hot_right, on, n))
         keys.append("_slice_r")
-    return lhs.join(rhs, keys).drop("_slice_l", "_slice_r")
+    return lhs.join(rhs, keys, how).drop("_slice_l", "_slice_r")
 
 
 def skew_of(
-    left: DataFrame, right: DataFrame, on: list[str], threshold: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    threshold: int | None = None,
 ) -> tuple[dict[int, float], dict[int, float]]:
     """Hot keys of both sides; a side below the threshold is not probed."""
     bound = SKEW_BYTES if threshold is None else threshold
-    return tuple(hot_keys(df, on) if estimated_bytes(df) > bound else {} for df in (left, right))
+    sides = (left, right) if how == "inner" else (left,)
+    hot = [hot_keys(df, on) if estimated_bytes(df) > bound else {} for df in sides]
+    return hot[0], hot[1] if len(hot) > 1 else {}
 
 
-def fact_join(
-    left: DataFrame, right: DataFrame, on: list[str], threshold: int | None = None
+def sized_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    limit: int | None = None,
+    threshold: int | None = None,
 ) -> DataFrame:
-    """Inner join of two tables that may both be large and skewed."""
-    if min(estimated_bytes(left), estimated_bytes(right)) <= BROADCAST_BYTES and threshold is None:
-        return left.join(right, on)
-    hot_left, hot_right = skew_of(left, right, on, threshold)
-    if not hot_left and not hot_right:
-        return left.join(right, on)
-    return salted_join(left, right, on, hot_left, hot_right)
+    """Inner or left join that takes each way only on a checked size.
+
+    A small right side is broadcast. So is a small left side: directly, or for
+    a left join to cut the right side down to its keys. Two large sides are
+    shuffled, and rows of keys that turn out hot are spread over many tasks.
+    """
+    bound = BROADCAST_BYTES if limit is None else limit
+    if estimated_bytes(right) <= bound:
+        return left.join(F.broadcast(right), on, how)
+    if estimated_bytes(left) <= bound:
+        if how == "inner":
+            return F.broadcast(left).join(right, on)
+        return left.join(reduce_to(right, left.select(on)), on, how)
+    hot = skew_of(left, right, on, how, threshold)
+    return salted_join(left, right, on, *hot, how) if any(hot) else left.join(right, on, how)

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
-from martloom.operators.joins import BROADCAST_BYTES, estimated_bytes, reduce_to
+from martloom.operators.joins import (
+    BROADCAST_BYTES,
+    estimated_bytes,
+    reduce_to,
+    sized_join,
+)
 
 
 def type_default(kind: DataType) -> object:
@@ -43,14 +48,18 @@ def dict_lookup(
     """
     on = on or key
     bound = BROADCAST_BYTES if limit is None else limit
-    entries = source.select(F.col(key).alias("_key"), *attributes, *_extra(pick, attributes))
-    small = estimated_bytes(entries) <= bound
-    if not small and estimated_bytes(df) <= bound:
-        entries = reduce_to(entries, df.select(F.col(on).alias("_key")))
-    table = dictionary(entries, "_key", list(attributes), pick or [])
-    table = F.broadcast(table) if small else table
-    table = table.select("_key", *[F.col(a).alias(f"_{out}") for a, out in attributes.items()])
-    found = df.join(table, df[on] == table["_key"], "left")
+    entries = source.select(F.col(key).alias(on), *attributes, *_extra(pick, attributes))
+    renamed = {a: f"_{out}" for a, out in attributes.items()}
+    small_source, small_df = (estimated_bytes(f) <= bound for f in (entries, df))
+    if small_df and not small_source:
+        entries = reduce_to(entries, df.select(on))
+    table = dictionary(entries, on, list(attributes), pick or []).withColumnsRenamed(renamed)
+    if small_source:
+        found = df.join(F.broadcast(table), on, "left")
+    elif small_df:
+        found = df.join(table, on, "left")
+    else:
+        found = sized_join(df, table, [on], "left", limit=bound)
     defaults = defaults or {}
     columns = []
     for attribute, out in attributes.items():

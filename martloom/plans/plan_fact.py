@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_bounds, period_range
 from martloom.functions.rounding import ratio
-from martloom.operators.joins import broadcast_if_small, join_dimension
+from martloom.operators.joins import broadcast_if_small, sized_join
 
 LINE = ["region", "matdirec", "distr_chan"]
 
@@ -28,7 +28,7 @@ def sales_by_material(sales: DataFrame, product: DataFrame, yyyymm: str) -> Data
         .groupBy("region", "material", "distr_chan")
         .agg(F.sum("quantity").alias("quantity"))
     )
-    return join_dimension(totals, product.select("material", "matdirec"), ["material"])
+    return sized_join(totals, product.select("material", "matdirec"), ["material"])
 
 
 def _by_direction(totals: DataFrame) -> DataFrame:
@@ -103,21 +103,21 @@ def plan_fact_view(
     Lines whose region, channel or material is unknown drop out; a missing
     price stays NULL.
     """
-    named = join_dimension(
+    named = sized_join(
         mart, region.select("region", F.col("txt").alias("region_name")), ["region"]
     )
-    named = join_dimension(
+    named = sized_join(
         named,
         channel.select(F.col("dist_chan").alias("distr_chan"), F.col("txtsh").alias("chan_name")),
         ["distr_chan"],
     )
-    named = join_dimension(
+    named = sized_join(
         named,
         product.select("material", "brand", F.col("txt").alias("product_name")),
         ["material"],
     )
     listed = prices.select("material", "region", F.col("dist_chan").alias("distr_chan"), "price")
-    priced = join_dimension(named, listed, ["material", "region", "distr_chan"], "left")
+    priced = sized_join(named, listed, ["material", "region", "distr_chan"], "left")
     return priced.select(
         "region", "region_name", "matdirec", "distr_chan", "chan_name", "plan_exec_perc",
         "material", "brand", "product_name", "price",

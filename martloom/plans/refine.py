@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 from operator import and_
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, parse_day
 from martloom.functions.rounding import cents, half_up, ratio, unscale
-from martloom.operators.joins import fact_join, join_dimension, salted_join, skew_of
+from martloom.operators.joins import salted_join, sized_join, skew_of
 from martloom.operators.quality import not_empty_predicate
 
 # How a promotion's discount is meant.
@@ -87,9 +88,11 @@ def bills_dds(items: DataFrame, heads: DataFrame, threshold: int | None = None)
 
     Items without a header are dropped and a repeated header repeats its items.
     The bill number is the only join key, so a bill with very many items is
-    spread by ``fact_join``.
+    spread by ``sized_join``.
     """
-    joined = fact_join(items, heads.select("billnum", "plant"), ["billnum"], threshold)
+    joined = sized_join(
+        items, heads.select("billnum", "plant"), ["billnum"], threshold=threshold
+    )
     return joined.select(schemas.DDS_BILLS.names)
 
 
@@ -110,14 +113,14 @@ def coupons_dds(
     """
     on = ["material", "billnum"]
     lines = items.select(*on, "rpa_sat", "qty")
-    hot = skew_of(coupons, lines, on, threshold)
+    hot = skew_of(coupons, lines, on, threshold=threshold)
     if any(hot):
         priced = salted_join(coupons.distinct(), lines.distinct(), on, *hot)
     else:
-        priced = coupons.join(lines, on)
+        priced = sized_join(coupons, lines, on, threshold=sys.maxsize)
 
     kinds = promos.select("promo_id", "promo_type", F.col("discount").alias("_promo"))
-    rows = join_dimension(priced, kinds, ["promo_id"])
+    rows = sized_join(priced, kinds, ["promo_id"])
     absolute, percent = F.col("promo_type") == ABSOLUTE, F.col("promo_type") == PERCENT
     price = ratio(F.col("rpa_sat"), F.col("qty"))
     # discount% of rpa/qty in cents: (discount cents * rpa cents) / (100 * 100 * qty)

@@ -41,3 +41,9 @@ def plan_of(df) -> str:
 
 def optimized_plan_of(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def formatted_plan_of(df) -> str:
+    """The plan with its full, uncut details."""
+    utils = df.sparkSession._jvm.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")

@@ -33,9 +33,14 @@ def counted(df):
 
 def test_hot_keys_are_found_with_exact_shares(spark, facts):
     hot = joins.hot_keys(facts, ["k"])
-    share = facts.filter("k = 7").count() / facts.filter("k is not null").count()
-    assert list(hot.values()) == [share]
-    assert list(hot) == [spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]]
+    seven, null = (
+        spark.range(1).select(F.xxhash64(F.lit(k).cast("bigint"))).first()[0] for k in (7, None)
+    )
+    total = facts.count()
+    assert hot == {
+        seven: facts.filter("k = 7").count() / total,
+        null: facts.filter("k is null").count() / total,
+    }
 
 
 def test_many_hot_keys_over_many_partitions(spark):
@@ -50,14 +55,26 @@ def test_many_hot_keys_over_many_partitions(spark):
 def test_uniform_or_empty_frames_have_no_hot_keys(spark, heads):
     assert joins.hot_keys(heads, ["k"]) == {}
     assert joins.hot_keys(heads.filter("k < 0"), ["k"]) == {}
-    assert joins.hot_keys(heads.select(F.lit(None).cast("bigint").alias("k")), ["k"]) == {}
 
 
 @pytest.mark.parametrize("side", ["left", "right"])
 def test_salted_join_equals_plain_join(facts, heads, side):
     left, right = (facts, heads) if side == "left" else (heads, facts)
     expected = counted(left.join(right, "k"))
-    assert counted(joins.fact_join(left, right, ["k"], threshold=0)) == expected
+    assert counted(joins.sized_join(left, right, ["k"], limit=0, threshold=0)) == expected
+
+
+def test_salted_left_join_keeps_unmatched_and_null_keys(facts, heads):
+    right = heads.filter("k % 2 = 1")
+    expected = counted(facts.join(right, "k", "left"))
+    salted = joins.sized_join(facts, right, ["k"], "left", limit=0, threshold=0)
+    assert "_slice_l" in salted._jdf.queryExecution().analyzed().toString()
+    assert counted(salted) == expected
+    # Skew on the right is left to the engine: left rows must not be copied.
+    turned = joins.sized_join(heads, facts, ["k"], "left", limit=0, threshold=0)
+    assert counted(turned) == counted(heads.join(facts, "k", "left"))
+    with pytest.raises(ValueError):
+        joins.salted_join(facts, right, ["k"], {1: 0.5}, {1: 0.5}, "left")
 
 
 def test_key_hot_on_both_sides_forms_a_grid(spark, facts):
@@ -67,7 +84,7 @@ def test_key_hot_on_both_sides_forms_a_grid(spark, facts):
     )
     hot = joins.skew_of(facts, other, ["k"], threshold=0)
     assert all(hot)
-    joined = joins.fact_join(facts, other, ["k"], threshold=0)
+    joined = joins.sized_join(facts, other, ["k"], limit=0, threshold=0)
     assert counted(joined) == counted(facts.join(other, "k"))
 
 
@@ -81,7 +98,7 @@ def test_hot_rows_are_spread(spark, facts, heads):
             return tasks.agg(F.max("count")).first()[0]
 
         plain = fullest(facts.join(heads, "k"))
-        salted = fullest(joins.fact_join(facts, heads, ["k"], threshold=0))
+        salted = fullest(joins.sized_join(facts, heads, ["k"], limit=0, threshold=0))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -93,14 +110,14 @@ def test_hot_rows_are_spread(spark, facts, heads):
 def test_composite_keys_and_types(spark, facts):
     left = facts.withColumn("m", F.col("v"))
     right = facts.select("k", F.col("v").alias("m")).distinct().withColumn("h", F.lit(1))
-    joined = joins.fact_join(left, right, ["k", "m"], threshold=0)
+    joined = joins.sized_join(left, right, ["k", "m"], limit=0, threshold=0)
     assert counted(joined) == counted(left.join(right, ["k", "m"]))
     with pytest.raises(TypeError):
         joins.salted_join(left, right.withColumn("k", F.col("k").cast("int")), ["k"], {1: 0.5})
 
 
 def test_small_facts_are_not_probed(facts, heads):
-    joined = joins.fact_join(facts.limit(10), heads, ["k"])
+    joined = joins.sized_join(facts.limit(10), heads, ["k"], limit=0)
     assert "_slice" not in joined._jdf.queryExecution().analyzed().toString()
 
 
@@ -130,10 +147,10 @@ def test_dimension_join_ways(stored, how):
     assert mart_bytes < dim_bytes
     expected = rows(mart.join(dim, "k", how))
     for limit in (dim_bytes, dim_bytes - 1, mart_bytes, 0):
-        assert rows(joins.join_dimension(mart, dim, ["k"], how, limit)) == expected
+        assert rows(joins.sized_join(mart, dim, ["k"], how, limit)) == expected
     # Beyond the bound nothing is hinted; the mart side is while it is within it.
-    assert "rightHint=(strategy=broadcast)" in hints(joins.join_dimension(mart, dim, ["k"]))
-    assert "strategy=broadcast" not in hints(joins.join_dimension(mart, dim, ["k"], how, 0))
+    assert "rightHint=(strategy=broadcast)" in hints(joins.sized_join(mart, dim, ["k"]))
+    assert "strategy=broadcast" not in hints(joins.sized_join(mart, dim, ["k"], how, 0))
 
 
 def hints(df):
