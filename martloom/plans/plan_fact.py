@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_bounds, period_range
@@ -79,22 +82,37 @@ def plan_fact_mart(
     appear; tied best sellers repeat the line. Nothing planned counts as 0 %.
     """
     totals = sales_by_material(sales, product, yyyymm)
-    best = _best(totals).select("region", "material")
-    done = ratio(F.col("sales_qt") * 100, F.col("plan_qt"))
+    planned = plan_by_direction(plan, yyyymm).filter("region is not null")
+    done = ratio(F.col("_sales_qt") * 100, F.col("plan_qt"))
     return (
-        plan_by_direction(plan, yyyymm)
-        .join(_by_direction(totals), LINE, "left")
-        .join(best, "region")
+        planned.join(_prefixed(_by_direction(totals)), _same(LINE), "left")
+        .drop(*[f"_{c}" for c in LINE])
+        .join(_prefixed(_best(totals).select("region", "material")), _same(["region"]))
         .select(
             *LINE,
-            F.coalesce("sales_qt", F.lit(0)).alias("sales_qt"),
+            F.coalesce("_sales_qt", F.lit(0)).alias("sales_qt"),
             F.coalesce("plan_qt", F.lit(0)).alias("plan_qt"),
             F.coalesce(done, F.lit(0.0)).alias("plan_exec_perc"),
-            "material",
+            F.col("_material").alias("material"),
         )
     )
 
 
+def _prefixed(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_{c}") for c in df.columns])
+
+
+def _same(columns: list[str]) -> Column:
+    """Equality of the columns, for sales on the right that other joins share.
+
+    Written null-safe with the NULLs of the left shut out. Plain equality makes
+    the optimizer filter NULLs on the right, differently in each join, and the
+    sales would then be scanned and totalled once per join instead of once.
+    """
+    tests = [F.col(c).eqNullSafe(F.col(f"_{c}")) & F.col(c).isNotNull() for c in columns]
+    return reduce(and_, tests)
+
+
 def plan_fact_view(
     mart: DataFrame, region: DataFrame, channel: DataFrame, product: DataFrame, prices: DataFrame
 ) -> DataFrame:

@@ -3,11 +3,11 @@
 import re
 
 import pytest
-from conftest import formatted_plan_of, optimized_plan_of, plan_of
+from conftest import day, formatted_plan_of, optimized_plan_of, plan_of
 
 from martloom.catalogue.frames import Frames
 from martloom.catalogue.queries import all_queries
-from martloom.plans import refine, sales_mart
+from martloom.plans import plan_fact, refine, sales_mart
 
 FOLDER = "/root/testdata/sf0.001"
 WRITING = {"pipeline_run", "plan_fact_pipeline_run"}
@@ -107,3 +107,16 @@ def test_results_do_not_depend_on_the_way_of_joining(spark, no_broadcast, name,
     found = spark_rows(all_queries()[name](spark, FOLDER))
     wanted = duck_rows(connect(FOLDER), all_sql()[name])
     assert found[2] == wanted[2]
+
+
+def test_sales_are_scanned_once_for_the_plan_fact_mart(spark, no_broadcast):
+    f = Frames(spark, FOLDER)
+    rows = [(day("1996-01-01"), "R1", kind, 1, "A") for kind in ("ECONOMY", "LARGE")]
+    plan = spark.createDataFrame(
+        rows, "date date, region string, matdirec string, quantity int, distr_chan string"
+    )
+    mart = plan_fact.plan_fact_mart(f.sales, plan, f.product, "199601")
+    mart.collect()
+    final = plan_of(mart).split("== Initial Plan ==")[0]
+    scans = [line for line in final.splitlines() if "FileScan" in line and "l_quantity" in line]
+    assert len(scans) == 1 and "ReusedExchange" in final
