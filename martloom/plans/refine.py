@@ -115,7 +115,7 @@ def coupons_dds(
     lines = items.select(*on, "rpa_sat", "qty")
     hot = skew_of(coupons, lines, on, threshold=threshold)
     if any(hot):
-        priced = salted_join(coupons.distinct(), lines.distinct(), on, *hot)
+        priced = salted_join(coupons.distinct(), _one_per_price(lines, on), on, *hot)
     else:
         priced = sized_join(coupons, lines, on, threshold=sys.maxsize)
 
@@ -138,6 +138,13 @@ def coupons_dds(
     return computed.distinct().select(schemas.DDS_COUPONS.names)
 
 
+def _one_per_price(lines: DataFrame, on: list[str]) -> DataFrame:
+    """One line for all those of a bill and material with the same unit price."""
+    price = ratio(F.col("rpa_sat"), F.col("qty")).alias("_price")
+    line = F.min(F.struct("rpa_sat", "qty")).alias("line")
+    return lines.groupBy(*on, price).agg(line).select(*on, "line.*")
+
+
 def discount_by_store(coupons: DataFrame) -> DataFrame:
     """Total discount of each store."""
     return coupons.groupBy("plant").agg(F.sum("discount").alias("sum_discount"))
