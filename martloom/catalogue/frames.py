@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.joins import sized_join
+from martloom.operators.joins import NOT_SKEWED, sized_join
 
 
 class Frames:
@@ -20,9 +20,13 @@ class Frames:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A supplied table; its file footers are looked at once per instance."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     @cached_property
     def stores(self) -> DataFrame:
@@ -152,12 +156,13 @@ class Frames:
     @cached_property
     def plan(self) -> DataFrame:
         """A tenth more than was sold in the month before; one region and channel plans zero."""
+        directions = self.product.select("material", "matdirec")
         sold = (
             self.sales.groupBy(
                 F.trunc("date", "month").alias("month"), "region", "material", "distr_chan"
             )
             .agg(F.sum("quantity").alias("quantity"))
-            .transform(sized_join, self.product.select("material", "matdirec"), ["material"])
+            .transform(sized_join, directions, ["material"], hot=NOT_SKEWED)
             .groupBy("month", "region", "matdirec", "distr_chan")
             .agg(F.sum("quantity").alias("quantity"))
         )

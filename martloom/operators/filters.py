@@ -11,7 +11,9 @@ from martloom.functions.dates import as_date, period_range
 from martloom.operators.joins import sized_join
 
 
-def sum_of_truncated_period(df: DataFrame, date: str, unit: str, start, value: str) -> Column:
+def sum_of_truncated_period(
+    df: DataFrame, date: str, unit: str, start: dt.date | str, value: str
+) -> DataFrame:
     """Total over one period, by a filter on the truncated date.
 
     The filter is evaluated on every row: it does not reach the scan. Kept

@@ -15,6 +15,8 @@ HOT_SHARE = 0.01
 # Slices of a hot key; fewer where both sides are sliced, since each copies the other.
 MAX_SLICES = 1024
 MAX_GRID_SLICES = 32
+# For inputs that hold few rows per key by construction, such as totals by that key.
+NOT_SKEWED: tuple[dict[int, float], dict[int, float]] = ({}, {})
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -120,7 +122,13 @@ def skew_of(
     how: str = "inner",
     threshold: int | None = None,
 ) -> tuple[dict[int, float], dict[int, float]]:
-    """Hot keys of both sides; a side below the threshold is not probed."""
+    """Hot keys of both sides, found by two narrow passes over each.
+
+    A side below the threshold is not probed, and neither is any if one of them
+    is small enough to be broadcast, since then nothing is shuffled by key.
+    """
+    if threshold is None and min(map(estimated_bytes, (left, right))) <= BROADCAST_BYTES:
+        return NOT_SKEWED
     bound = SKEW_BYTES if threshold is None else threshold
     sides = (left, right) if how == "inner" else (left,)
     hot = [hot_keys(df, on) if estimated_bytes(df) > bound else {} for df in sides]
@@ -134,12 +142,14 @@ def sized_join(
     how: str = "inner",
     limit: int | None = None,
     threshold: int | None = None,
+    hot: tuple[dict[int, float], dict[int, float]] | None = None,
 ) -> DataFrame:
     """Inner or left join that takes each way only on a checked size.
 
     A small right side is broadcast. So is a small left side: directly, or for
     a left join to cut the right side down to its keys. Two large sides are
     shuffled, and rows of keys that turn out hot are spread over many tasks.
+    ``hot`` gives these keys if they are known already.
     """
     bound = BROADCAST_BYTES if limit is None else limit
     if estimated_bytes(right) <= bound:
@@ -148,5 +158,6 @@ def sized_join(
         if how == "inner":
             return F.broadcast(left).join(right, on)
         return left.join(reduce_to(right, left.select(on)), on, how)
-    hot = skew_of(left, right, on, how, threshold)
+    if hot is None:
+        hot = skew_of(left, right, on, how, threshold)
     return salted_join(left, right, on, *hot, how) if any(hot) else left.join(right, on, how)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_bounds, period_range
 from martloom.functions.rounding import ratio
-from martloom.operators.joins import broadcast_if_small, sized_join
+from martloom.operators.joins import NOT_SKEWED, broadcast_if_small, sized_join
 
 LINE = ["region", "matdirec", "distr_chan"]
 
@@ -31,7 +31,8 @@ def sales_by_material(sales: DataFrame, product: DataFrame, yyyymm: str) -> Data
         .groupBy("region", "material", "distr_chan")
         .agg(F.sum("quantity").alias("quantity"))
     )
-    return sized_join(totals, product.select("material", "matdirec"), ["material"])
+    directions = product.select("material", "matdirec")
+    return sized_join(totals, directions, ["material"], hot=NOT_SKEWED)
 
 
 def _by_direction(totals: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sys
 from functools import reduce
 from operator import and_
 
@@ -117,7 +116,7 @@ def coupons_dds(
     if any(hot):
         priced = salted_join(coupons.distinct(), _one_per_price(lines, on), on, *hot)
     else:
-        priced = sized_join(coupons, lines, on, threshold=sys.maxsize)
+        priced = sized_join(coupons, lines, on, hot=hot)
 
     kinds = promos.select("promo_id", "promo_type", F.col("discount").alias("_promo"))
     rows = sized_join(priced, kinds, ["promo_id"])

@@ -91,6 +91,24 @@ def test_items_without_header_drop_and_repeated_headers_repeat(frame):
     assert found.columns == schemas.DDS_BILLS.names
 
 
+def test_a_bill_with_a_third_of_all_items(spark, no_broadcast):
+    items = spark.range(9000).selectExpr(
+        "if(id % 3 = 0, 7L, id) as billnum", "id % 9 as billitem", "5L as material",
+        "1 + id % 4 as qty", "cast(1 as decimal(17,2)) as netval",
+        "cast(0 as decimal(17,2)) as tax", "cast(id % 11 as decimal(17,2)) as rpa_sat",
+        "date'2021-01-05' as calday",
+    )
+    heads = spark.range(9000).selectExpr(
+        "id as billnum", "concat('M', id % 5) as plant", "date'2021-01-05' as calday"
+    )
+    spread = refine.bills_dds(items, heads, threshold=0)
+    assert "_slice_l" in spread._jdf.queryExecution().analyzed().toString()
+    plain = items.join(heads.select("billnum", "plant"), "billnum").select(spread.columns)
+    assert rows(spread) == rows(plain)
+    days = [sales_mart.bills_daily(df, "2021-01-05") for df in (spread, plain)]
+    assert rows(days[0]) == rows(days[1])
+
+
 @pytest.fixture
 def coupon_case(frame):
     coupons = frame(

@@ -13,18 +13,6 @@ FOLDER = "/root/testdata/sf0.001"
 WRITING = {"pipeline_run", "plan_fact_pipeline_run"}
 
 
-@pytest.fixture
-def no_broadcast(spark, monkeypatch):
-    """As on large tables: nothing is small enough to be broadcast."""
-    from martloom.operators import joins, lookup
-
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 @pytest.mark.parametrize("name", sorted(set(all_queries()) - WRITING))
 def test_no_cross_join_and_no_python(spark, name):
     plan = plan_of(all_queries()[name](spark, FOLDER))
