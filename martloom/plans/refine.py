@@ -107,8 +107,8 @@ def coupons_dds(
     rows that look alike after rounding can remain.
 
     When a (material, bill) pair is hot, equal rows are merged on both sides
-    before they meet. Otherwise the final distinct is enough and needs no
-    shuffle of its own, as the rows are already placed by that pair.
+    before they meet. Otherwise merging the joined rows is enough and needs no
+    shuffle of its own, as they are already placed by that pair.
     """
     on = ["material", "billnum"]
     lines = items.select(*on, "rpa_sat", "qty")
@@ -122,19 +122,29 @@ def coupons_dds(
     rows = sized_join(priced, kinds, ["promo_id"])
     absolute, percent = F.col("promo_type") == ABSOLUTE, F.col("promo_type") == PERCENT
     price = ratio(F.col("rpa_sat"), F.col("qty"))
-    # discount% of rpa/qty in cents: (discount cents * rpa cents) / (100 * 100 * qty)
-    share = half_up(cents("_promo") * cents("rpa_sat"), F.col("qty") * 10_000)
-    computed = rows.select(
-        "plant", "calday", "coupon_nm", "promo_id", "material", "billnum",
-        price.alias("_price"),
-        F.when(absolute, F.col("_promo").cast("double"))
-        .when(percent, F.col("_promo") / 100 * price)
-        .alias("_discount"),
-        unscale(half_up(cents("rpa_sat"), F.col("qty")), 2).alias("unit_price"),
+    exact = rows.withColumn("_price", price).withColumn(
+        "_discount",
+        F.when(absolute, F.col("_promo").cast("double")).when(
+            percent, F.col("_promo").cast("double") / 100 * F.col("_price")
+        ),
+    )
+    # Merged rows have one unit price, so amount and quantity rise together, or
+    # against each other below zero: the extremes belong to the same line.
+    merged = exact.groupBy(*schemas.ODS_COUPONS.names, "promo_type", "_price", "_discount").agg(
+        F.min("qty").alias("qty"),
+        F.min("rpa_sat").alias("_least"),
+        F.max("rpa_sat").alias("_most"),
+        F.min("_promo").alias("_promo"),
+    )
+    amount = cents(F.when(F.col("_price") < 0, F.col("_most")).otherwise(F.col("_least")))
+    # discount% of amount/qty in cents: (discount cents * amount cents) / (100 * 100 * qty)
+    share = half_up(cents("_promo") * amount, F.col("qty") * 10_000)
+    return merged.select(
+        *schemas.ODS_COUPONS.names,
+        unscale(half_up(amount, F.col("qty")), 2).alias("unit_price"),
         "promo_type",
         F.when(absolute, F.col("_promo")).when(percent, unscale(share, 2)).alias("discount"),
     )
-    return computed.distinct().select(schemas.DDS_COUPONS.names)
 
 
 def _one_per_price(lines: DataFrame, on: list[str]) -> DataFrame:

@@ -122,6 +122,7 @@ def coupon_case(frame):
         ("M1", D1, "f", "PCT", 6, 2),
         ("M1", D1, "g", "ABS", 7, 3),
         ("M1", D1, "h", "PCT", 8, 4),
+        ("M1", D1, "i", "PCT", 9, 5),
     )
     items = frame(
         ITEMS,
@@ -131,6 +132,8 @@ def coupon_case(frame):
         (2, 2, 6, 300, None, None, money("999.99"), D1),  # 3.3333
         (3, 1, 7, 0, None, None, money("1.00"), D1),  # no quantity
         (4, 1, 8, 5, None, None, money("0.00"), D1),  # given away
+        (5, 1, 9, 3, None, None, money("-10.00"), D1),  # taken back, twice at one price
+        (5, 2, 9, 6, None, None, money("-20.00"), D1),
     )
     promos = frame(
         "promo_id string, txt string, promo_type string, material long, discount decimal(17,2)",
@@ -157,6 +160,7 @@ def test_coupon_discounts(coupon_case, threshold):
             ("f", money("3.33"), "002", money("0.67")),
             ("g", None, "001", money("1.50")),
             ("h", money("0.00"), "002", money("0.00")),
+            ("i", money("-3.33"), "002", money("-0.67")),
         ],
         key=repr,
     )
