@@ -3,37 +3,50 @@
 from __future__ import annotations
 
 import math
+import re
+import sys
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is sent to every executor only if its estimate is within this bound.
+# A side is sent to every executor only if its size is proven to be within this bound.
 BROADCAST_BYTES = 16 << 20
-# Below this estimate no key can hold enough rows to hurt one task.
+# Below this input no key can hold enough rows to hurt one task.
 SKEW_BYTES = 4 << 30
 # A key is hot if it holds at least this share of all rows, so at most 1/share keys are.
 HOT_SHARE = 0.01
 # Slices of a hot key; fewer where both sides are sliced, since each copies the other.
 MAX_SLICES = 1024
 MAX_GRID_SLICES = 32
+# Steps of a plan that may return more rows than they read.
+_ADDS_ROWS = re.compile(r"^[\s:+-]*(Generate|Expand|Join (?!LeftSemi|LeftAnti))", re.MULTILINE)
 # For inputs that hold few rows per key by construction, such as totals by that key.
 NOT_SKEWED: tuple[dict[int, float], dict[int, float]] = ({}, {})
 
 
-def estimated_bytes(df: DataFrame) -> int:
+def input_bytes(df: DataFrame) -> int:
     """Bytes of all files and local rows under a frame; runs neither a job nor the optimizer.
 
-    Filters, column pruning and aggregates do not lower it, so it errs on the
-    large side. Files are compressed, which the bounds above leave room for. A
-    source that cannot tell its size counts as very large.
+    A source that cannot tell its size counts as very large.
     """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def bounded_bytes(df: DataFrame) -> int:
+    """A bound for the size of a frame: its input, if no step can add rows to that.
+
+    Filters, column pruning and aggregates only make it smaller; files are
+    compressed, which ``BROADCAST_BYTES`` leaves room for. Explodes and joins
+    may multiply rows, so a frame with one has no bound.
+    """
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return sys.maxsize if _ADDS_ROWS.search(plan) else input_bytes(df)
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Broadcast hint behind a size check; beyond it Spark shuffles as usual."""
     bound = BROADCAST_BYTES if limit is None else limit
-    return F.broadcast(df) if estimated_bytes(df) <= bound else df
+    return F.broadcast(df) if bounded_bytes(df) <= bound else df
 
 
 def reduce_to(dim: DataFrame, keys: DataFrame) -> DataFrame:
@@ -127,11 +140,11 @@ def skew_of(
     A side below the threshold is not probed, and neither is any if one of them
     is small enough to be broadcast, since then nothing is shuffled by key.
     """
-    if threshold is None and min(map(estimated_bytes, (left, right))) <= BROADCAST_BYTES:
+    if threshold is None and min(map(bounded_bytes, (left, right))) <= BROADCAST_BYTES:
         return NOT_SKEWED
     bound = SKEW_BYTES if threshold is None else threshold
     sides = (left, right) if how == "inner" else (left,)
-    hot = [hot_keys(df, on) if estimated_bytes(df) > bound else {} for df in sides]
+    hot = [hot_keys(df, on) if input_bytes(df) > bound else {} for df in sides]
     return hot[0], hot[1] if len(hot) > 1 else {}
 
 
@@ -152,9 +165,9 @@ def sized_join(
     ``hot`` gives these keys if they are known already.
     """
     bound = BROADCAST_BYTES if limit is None else limit
-    if estimated_bytes(right) <= bound:
+    if bounded_bytes(right) <= bound:
         return left.join(F.broadcast(right), on, how)
-    if estimated_bytes(left) <= bound:
+    if bounded_bytes(left) <= bound:
         if how == "inner":
             return F.broadcast(left).join(right, on)
         return left.join(reduce_to(right, left.select(on)), on, how)

@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, NumericType, StringType
 
 from martloom.operators.joins import (
     BROADCAST_BYTES,
-    estimated_bytes,
+    bounded_bytes,
     reduce_to,
     sized_join,
 )
@@ -50,7 +50,7 @@ def dict_lookup(
     bound = BROADCAST_BYTES if limit is None else limit
     entries = source.select(F.col(key).alias(on), *attributes, *_extra(pick, attributes))
     renamed = {a: f"_{out}" for a, out in attributes.items()}
-    small_source, small_df = (estimated_bytes(f) <= bound for f in (entries, df))
+    small_source, small_df = (bounded_bytes(f) <= bound for f in (entries, df))
     if small_df and not small_source:
         entries = reduce_to(entries, df.select(on))
     table = dictionary(entries, on, list(attributes), pick or []).withColumnsRenamed(renamed)

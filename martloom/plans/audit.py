@@ -34,7 +34,8 @@ def entries(df: DataFrame) -> DataFrame:
     """
     kind = F.upper("log_type")
     message: Column = F.replace("log_msg", F.lit("'"), F.lit("''"))
-    wrong = F.raise_error(F.concat(F.lit("illegal log type: "), F.coalesce("log_type", F.lit("NULL"))))
+    found = F.coalesce("log_type", F.lit("NULL"))
+    wrong = F.raise_error(F.concat(F.lit("illegal log type: "), found))
     return df.withColumns(
         {
             "log_type": F.when(kind.isin(ERROR, INFO), kind).otherwise(wrong.cast("string")),

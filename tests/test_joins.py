@@ -79,7 +79,10 @@ def test_salted_left_join_keeps_unmatched_and_null_keys(facts, heads):
 
 def test_key_hot_on_both_sides_forms_a_grid(spark, facts):
     other = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(1000 + F.col("id")).cast("bigint").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7))
+        .otherwise(1000 + F.col("id"))
+        .cast("bigint")
+        .alias("k"),
         (F.col("id") % 4).alias("h"),
     )
     hot = joins.skew_of(facts, other, ["k"], threshold=0)
@@ -143,7 +146,7 @@ def stored(spark, tmp_path_factory):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_dimension_join_ways(stored, how):
     mart, dim = stored
-    mart_bytes, dim_bytes = joins.estimated_bytes(mart), joins.estimated_bytes(dim)
+    mart_bytes, dim_bytes = joins.bounded_bytes(mart), joins.bounded_bytes(dim)
     assert mart_bytes < dim_bytes
     expected = rows(mart.join(dim, "k", how))
     for limit in (dim_bytes, dim_bytes - 1, mart_bytes, 0):
@@ -161,7 +164,7 @@ def test_lookup_ways_and_defaults(stored):
     mart, dim = stored
     mart = mart.unionByName(mart.limit(1).selectExpr("cast(null as string) as k", "-1L as n"))
     attributes = {"price": "price", "pick": "choice"}
-    big = joins.estimated_bytes(dim)
+    big = joins.bounded_bytes(dim)
     found = [
         rows(lookup.dict_lookup(mart, dim, "k", attributes, pick=["pick"], limit=limit))
         for limit in (big, big - 1, 0)
@@ -184,7 +187,7 @@ def test_lookup_takes_given_defaults(frame):
 
 def test_broadcast_only_behind_the_size_check(stored):
     mart, dim = stored
-    limit = joins.estimated_bytes(dim)
+    limit = joins.bounded_bytes(dim)
     assert "strategy=broadcast" in hints(mart.join(joins.broadcast_if_small(dim, limit), "k"))
     assert "strategy=broadcast" not in hints(
         mart.join(joins.broadcast_if_small(dim, limit - 1), "k")
@@ -195,3 +198,18 @@ def test_reduced_dimension_is_not_shuffled(stored):
     mart, dim = stored
     plan = plan_of(joins.reduce_to(dim, mart.select("k")))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_frames_that_may_grow_have_no_bound(stored):
+    mart, dim = stored
+    files = joins.input_bytes(dim)
+    assert joins.bounded_bytes(dim.filter("price > 3").groupBy("k").count()) == files
+    assert joins.bounded_bytes(dim.distinct().union(dim)) == 2 * files
+    semi = dim.join(mart, "k", "left_semi")
+    assert joins.bounded_bytes(semi) == files + joins.input_bytes(mart)
+    for grown in (
+        dim.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(1000)))),
+        dim.join(mart, "k"),
+        dim.cube("k").count(),
+    ):
+        assert joins.bounded_bytes(grown) > 1 << 60

@@ -18,7 +18,6 @@ def test_no_cross_join_and_no_python(spark, name):
     plan = plan_of(all_queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert operator not in plan
-    assert "SinglePartition" not in plan or "Window" not in plan
     assert "Window" not in plan
 
 
@@ -42,7 +41,8 @@ def test_periods_reach_the_scan_of_the_facts(spark):
 def test_delta_load_shuffles_nothing(spark):
     plan = plan_of(all_queries()["delta_partition_load"](spark, FOLDER))
     assert "Exchange" not in plan
-    assert all("l_shipdate" in f for f in pushed(all_queries()["delta_partition_load"](spark, FOLDER)))
+    filters = pushed(all_queries()["delta_partition_load"](spark, FOLDER))
+    assert len(filters) == 2 and all("l_shipdate" in f for f in filters)
 
 
 def test_only_needed_columns_are_read(spark):
@@ -81,7 +81,8 @@ def test_coupon_distinct_reuses_the_placement_of_the_coupon_join(spark, no_broad
 def test_best_seller_join_is_spread_by_total(spark, no_broadcast):
     plan = plan_of(all_queries()["top_material_by_region"](spark, FOLDER))
     assert any("sales_qt" in k or "coalesce" in k for k in re.findall(r"Exchange (.*)", plan))
-    assert "Window" not in optimized_plan_of(all_queries()["top_material_by_region"](spark, FOLDER))
+    logical = optimized_plan_of(all_queries()["top_material_by_region"](spark, FOLDER))
+    assert "Window" not in logical
 
 
 @pytest.mark.parametrize(
