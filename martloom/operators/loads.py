@@ -21,7 +21,8 @@ from martloom.functions.dates import (
     month_window,
     months_between,
 )
-from martloom.operators.quality import require, conform, not_empty_predicate
+from martloom.operators.joins import hot_keys
+from martloom.operators.quality import LoadError, conform, not_empty_predicate, require
 from martloom.sources.tables import MONTH, empty_table
 
 COMPRESSION = "zstd"
@@ -84,6 +85,29 @@ def create_table_as(df: DataFrame, path: str) -> LoadResult:
     return LoadResult(_write(df, path, "overwrite")["rows"])
 
 
+def save_bucketed(
+    df: DataFrame, table: str, path: str, columns: list[str], buckets: int
+) -> DataFrame:
+    """Store a catalog table bucketed by ``columns`` and read it back.
+
+    Tables with the same buckets are joined and totalled by these columns
+    without a shuffle. A bucket is one task's work and cannot be split, so a
+    table with hot keys is refused: ``sized_join`` serves those.
+    """
+    if hot_keys(df, columns):
+        raise LoadError(f"{table}: some {columns} hold too many rows for one bucket")
+    (
+        df.repartition(buckets, *columns)
+        .write.mode("overwrite")
+        .option("path", path)
+        .option("compression", COMPRESSION)
+        .bucketBy(buckets, *columns)
+        .sortBy(*columns)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def load_all_months(source: DataFrame, path: str, schema: StructType, key: str) -> LoadResult:
     """Write a whole partitioned table; rows without a date go to the default partition."""
     rows = conform(source, schema).withColumn(MONTH, month_key(key))

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from conftest import day, plan_of, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -220,6 +220,23 @@ def test_a_busy_month_is_written_by_several_tasks(spark, tmp_path):
     assert read_partitioned(spark, path, DATED).count() == 400_000
 
 
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, no_broadcast, tmp_path):
+    bills = spark.range(3000).withColumnRenamed("id", "billnum")
+    try:
+        heads = loads.save_bucketed(bills, "b_heads", str(tmp_path / "h"), ["billnum"], 4)
+        lines = bills.selectExpr("billnum", "explode(array(1, 2)) as qty")
+        items = loads.save_bucketed(lines, "b_items", str(tmp_path / "i"), ["billnum"], 4)
+        joined = items.join(heads, "billnum").groupBy("billnum").agg(F.sum("qty").alias("qty"))
+        assert "Exchange" not in plan_of(joined)
+        assert joined.filter("qty = 3").count() == 3000
+        hot = bills.selectExpr("if(billnum % 3 = 0, 7, billnum) as k")
+        with pytest.raises(quality.LoadError):
+            loads.save_bucketed(hot, "b_hot", str(tmp_path / "x"), ["k"], 4)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS b_heads")
+        spark.sql("DROP TABLE IF EXISTS b_items")
+
+
 # ---- statistics -----------------------------------------------------------------
 
 

@@ -143,3 +143,16 @@ def test_jdbc_options_and_types(frame):
         ("jdbc:any:db", "bills_head", {"properties": properties}),
     ]
     assert options["url"] == "jdbc:any:db"
+
+
+def test_a_mart_is_read_back_in_its_types(frame):
+    arrived = frame(
+        "region string, matdirec string, distr_chan string, sales_qt long, plan_qt long,"
+        " plan_exec_perc double, material string",
+        ("R1", "A", "1", 10, 20, 50.0, "m1"),
+    )
+    mart = jdbc.read_jdbc(
+        Reader(arrived), {"url": "jdbc:any:db"}, "plan_fact_202101", schemas.SERVING_PLAN_FACT
+    )
+    assert [f.dataType for f in mart.schema] == [f.dataType for f in schemas.SERVING_PLAN_FACT]
+    assert rows(mart) == [("R1", "A", "1", 10, 20, 50.0, "m1")]
