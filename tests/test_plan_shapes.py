@@ -7,6 +7,7 @@ from conftest import day, formatted_plan_of, optimized_plan_of, plan_of
 
 from martloom.catalogue.frames import Frames
 from martloom.catalogue.queries import all_queries
+from martloom.operators import partitions
 from martloom.plans import plan_fact, refine, sales_mart
 
 FOLDER = "/root/testdata/sf0.001"
@@ -38,11 +39,16 @@ def test_periods_reach_the_scan_of_the_facts(spark):
     assert any("GreaterThanOrEqual(l_shipdate" in f for f in filters)
 
 
-def test_delta_load_shuffles_nothing(spark):
-    plan = plan_of(all_queries()["delta_partition_load"](spark, FOLDER))
-    assert "Exchange" not in plan
-    filters = pushed(all_queries()["delta_partition_load"](spark, FOLDER))
-    assert len(filters) == 2 and all("l_shipdate" in f for f in filters)
+def test_delta_load_shuffles_nothing_and_filters_in_both_scans(spark, tmp_path):
+    assert "Exchange" not in plan_of(all_queries()["delta_partition_load"](spark, FOLDER))
+    items = Frames(spark, FOLDER).bills_item
+    for name in ("old", "new"):
+        items.write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    loaded = partitions.delta_partition_load(new, old, "calday", "1995-01-01", "1995-02-28")
+    kept, replaced = pushed(loaded)
+    assert "IsNull(calday)" in kept and "LessThan(calday,1995-01-01)" in kept
+    assert "GreaterThanOrEqual(calday,1995-01-01), LessThan(calday,1995-03-01)" in replaced
 
 
 def test_only_needed_columns_are_read(spark):
