@@ -6,6 +6,8 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as contract
+from martloom.catalogue.oracle import all_sql
+from martloom.catalogue.queries import all_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -29,13 +31,13 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, duck, name):
-    names, kinds, found = spark_rows(contract.queries()[name](spark, FOLDER))
-    sql_names, sql_kinds, wanted = duck_rows(duck, contract.oracle_sql()[name])
+    names, kinds, found = spark_rows(all_queries()[name](spark, FOLDER))
+    sql_names, sql_kinds, wanted = duck_rows(duck, all_sql()[name])
     assert names == sql_names
     assert kinds == [KINDS.get(k, k.lower().replace(" ", "")) for k in sql_kinds]
     assert found == wanted
