@@ -74,3 +74,19 @@ def llm_queries() -> dict[str, Query]:
             op10_sentencepiece,
         )
     }
+
+
+def llm_sql() -> dict[str, str]:
+    """SQL twins of the queries that SQL can express."""
+    return {"op6_exact_dedup": OP6_SQL}
+
+
+OP6_SQL = """
+select doc_id,
+       max(doc_id) over same as keep_id,
+       count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents
+window same as (partition by coalesce(text, ''))
+"""
