@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, language, packing, quality, sentencepiece_codec, toxicity
+from martloom.llm import exact_dedup, language, packing, pii, quality, sentencepiece_codec, toxicity
 from martloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,20 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("held_out", fold("doc_id", 5) == 0)
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.with_spans(documents(spark, folder).select("doc_id", "text"))
+    base = F.filter("pii_spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[
+            F.expr(f"cast(size(filter(pii_spans, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
+            for kind in pii.BASE_KINDS
+        ],
+        F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text(F.col("pii_spans")).alias("spans"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
@@ -68,6 +82,7 @@ def llm_queries() -> dict[str, Query]:
         for run in (
             op1_language_id,
             op3_toxicity,
+            op4_pii,
             op6_exact_dedup,
             op7_best_fit_packing,
             op9_quality,
@@ -78,7 +93,65 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL}
+
+
+_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+_REVERSED = f"string_split(reverse({_DIGITS}), '')"
+_LUHN = (
+    f"list_sum(list_transform({_REVERSED}, lambda c, i: case when i % 2 = 1 then cast(c as int)"
+    " when cast(c as int) > 4 then 2 * cast(c as int) - 9 else 2 * cast(c as int) end)) % 10 = 0"
+)
+_PLAIN = "regexp_replace(hit, '[^A-Z0-9]', '', 'g')"
+_TURNED = f"string_split(concat(substr({_PLAIN}, 5), left({_PLAIN}, 4)), '')"
+_MOD97 = (
+    f"list_reduce(list_prepend(0, list_transform({_TURNED}, lambda c: case when c between '0' and '9'"
+    " then ascii(c) - 48 else ascii(c) - 55 end)),"
+    " lambda a, x: (a * (case when x > 9 then 100 else 10 end) + x) % 97) = 1"
+)
+# kind, pattern as stated, and what confirms a match.
+_KINDS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    (
+        "ip",
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "list_max(list_transform(string_split(hit, '.'), lambda p: cast(p as hugeint))) <= 255",
+    ),
+    ("card", r"[0-9]([\x20-]?[0-9])+", f"case when length({_DIGITS}) between 16 and 19 then {_LUHN} else false end"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) between 8 and 15"),
+    (
+        "iban",
+        r"[A-Z]{2}[0-9]{2}([A-Z0-9]{11,30}|(\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,3})?)",
+        _MOD97,
+    ),
+)
+_HITS = " union all ".join(
+    f"""select doc_id, {n} as place, '{kind}' as kind, unnest(hits) as hit,
+        unnest(list_transform(hits, lambda h, i: list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))) as start
+    from (select doc_id, regexp_extract_all(t, '{pattern}') as hits, string_split_regex(t, '{pattern}') as gaps
+        from texts where regexp_matches(t, '{pattern}'))"""
+    for n, (kind, pattern, _) in enumerate(_KINDS)
+)
+_CONFIRMED = " ".join(f"when kind = '{kind}' then {test}" for kind, _, test in _KINDS)
+OP4_SQL = f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+hits as ({_HITS}),
+spans as (
+    select doc_id, place, kind, start,
+        concat(kind, ':', cast(start as bigint), ':', cast(start + length(hit) as bigint)) as span
+    from hits where case {_CONFIRMED} end
+)
+select texts.doc_id,
+    count(*) filter (kind = 'email') as n_email,
+    count(*) filter (kind = 'ip') as n_ip,
+    count(*) filter (kind = 'card') as n_card,
+    count(*) filter (kind = 'phone') as n_phone,
+    sha256(coalesce(string_agg(span, ',' order by place, start) filter (kind <> 'iban'), '')) as base_sha256,
+    coalesce(string_agg(span, ',' order by place, start) filter (span is not null), '') as spans
+from texts left join spans on spans.doc_id = texts.doc_id
+group by texts.doc_id
+"""
 
 
 OP6_SQL = """
