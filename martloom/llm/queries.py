@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, language, packing, pii, quality, sentencepiece_codec, toxicity
+from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, toxicity
 from martloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, folder), words=4)
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
@@ -83,6 +87,7 @@ def llm_queries() -> dict[str, Query]:
             op1_language_id,
             op3_toxicity,
             op4_pii,
+            op5_near_dedup,
             op6_exact_dedup,
             op7_best_fit_packing,
             op9_quality,
