@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, toxicity
+from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, topk, toxicity
 from martloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 5) == 0)
 
 
+def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return topk.exact_top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     rows = _labelled(spark, folder, "toxic").filter(fold("doc_id", 5) != 0)
     found = toxicity.score_toxicity(documents(spark, folder), toxicity.fit_toxicity(rows))
@@ -85,6 +90,7 @@ def llm_queries() -> dict[str, Query]:
         run.__name__: run
         for run in (
             op1_language_id,
+            op2_exact_topk,
             op3_toxicity,
             op4_pii,
             op5_near_dedup,
@@ -98,7 +104,28 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {"op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op2_exact_topk": OP2_SQL, "op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL}
+
+
+OP2_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+),
+scores as (
+    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 20 = 0
+),
+ranked as (
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank,
+        vec_id, score
+    from scores
+)
+select * from ranked where rank <= 20
+"""
 
 
 _DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
