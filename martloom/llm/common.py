@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom.session import fresh_path
 
@@ -37,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def by_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` over batches bounded in bytes."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

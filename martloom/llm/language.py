@@ -164,3 +164,21 @@ def detect_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {kind}, lang_pred string, score double, mixture map<string,double>"
     return by_batches(slim, work, schema).withColumnRenamed("id", id_col)
+
+
+def keep_languages(
+    docs: DataFrame, model: LanguageModel, least_score: float = 0.3, text_col: str = "text"
+) -> DataFrame:
+    """The rows, with the columns they came with, that have a language with a share of at least ``least_score``.
+
+    Texts that are null, empty or without letters are rejected.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                shares = (mixture(sent.value, t) for t in texts_of(part, text_col))
+                yield part.filter(pa.array([max(m.values(), default=0.0) >= least_score for m in shares], pa.bool_()))
+
+    return by_batches(docs, work, docs.schema)

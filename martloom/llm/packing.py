@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from martloom.llm.common import by_batches, slices, stored, texts_of
 TABLE_ENTRIES = 400_000
 # A longer word is encoded without being remembered.
 LONG_WORD = 64
+# Counts (one per task and length, 24 bytes each) that are broadcast.
+FEW_COUNTS = 500_000
 
 
 class WordTable:
@@ -94,16 +97,19 @@ def tokenized_pieces(
     """Pieces of documents: id, piece, start, length and ``ids`` (little-endian unsigned 32 bit).
 
     A document is its ids and then ``end_id``; only one longer than ``capacity``
-    is cut. A null or empty text is one piece that holds just the end id.
+    is cut. A null or empty text is one piece that holds just the end id. Two
+    more columns number the pieces once the rows are stored: ``task``, and
+    ``local``, the place of a piece among those of its length in its task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(vocabulary)
         tail = np.array([end_id], "<u4")
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for part in slices(batch):
-                rows, piece, start, data = [], [], [], []
+                rows, piece, start, data, local = [], [], [], [], []
                 for row, ids in enumerate(table.convert(texts_of(part))):
                     ids = np.concatenate([ids, tail])
                     for number, at in enumerate(range(0, len(ids), capacity)):
@@ -111,6 +117,9 @@ def tokenized_pieces(
                         piece.append(number)
                         start.append(at)
                         data.append(ids[at : at + capacity].tobytes())
+                        length = len(data[-1]) // 4
+                        local.append(seen[length])
+                        seen[length] += 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id").take(pa.array(rows, pa.int64())),
@@ -118,12 +127,14 @@ def tokenized_pieces(
                         pa.array(start, pa.int64()),
                         pa.array([len(d) // 4 for d in data], pa.int64()),
                         pa.array(data, pa.binary()),
+                        pa.array([task] * len(rows), pa.int32()),
+                        pa.array(local, pa.int64()),
                     ],
-                    names=["id", "piece", "start", "length", "ids"],
+                    names=["id", "piece", "start", "length", "ids", "task", "local"],
                 )
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {kind}, piece int, start bigint, length bigint, ids binary"
+    schema = f"id {kind}, piece int, start bigint, length bigint, ids binary, task int, local bigint"
     return by_batches(slim, work, schema).withColumnRenamed("id", id_col)
 
 
@@ -193,35 +204,25 @@ def plan_classes(counts: dict[int, int], caps: Capacities) -> list[tuple[int, in
     return plan
 
 
-def assign_sequences(pieces: DataFrame, caps: Capacities, keys: list[str]) -> DataFrame:
-    """Adds sequence_id and offset to rows that have ``length`` and are told apart by ``keys``.
+def assign_sequences(pieces: DataFrame, caps: Capacities) -> DataFrame:
+    """Replaces ``task`` and ``local`` of stored pieces by sequence_id and offset.
 
-    The rows are read several times, so they should be a stored table. They are
-    numbered per length within hashed buckets, and buckets by the counts before
-    them, so a length that a third of all pieces share is dealt over many tasks.
+    Pieces of a length are numbered over all tasks by the counts of the tasks
+    before, so nothing is sorted and no length, however common, meets in one task.
     """
     spark = pieces.sparkSession
-    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = pieces.withColumn("_pk_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    counts = placed.groupBy("length", "_pk_bucket").count()
-    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    plan = plan_classes(totals, caps)
+    counts = stored(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     by_length: dict[int, np.ndarray] = {}
-    table = np.array(plan, np.int64).reshape(-1, 5)
+    table = np.array(plan_classes(totals, caps), np.int64).reshape(-1, 5)
     for length in totals:
         rows = table[table[:, 0] == length][:, 1:]
         by_length[length] = rows[np.argsort(rows[:, 0], kind="stable")]
     sent = spark.sparkContext.broadcast(by_length)
-    before = counts.selectExpr(
-        "length",
-        "_pk_bucket",
-        "sum(count) over (partition by length order by _pk_bucket) - count as _pk_before",
-    )
-    order = ", ".join(keys)
-    numbered = placed.join(before, ["length", "_pk_bucket"]).selectExpr(
-        *pieces.columns,
-        f"_pk_before + row_number() over (partition by length, _pk_bucket order by {order}) - 1 as _pk_number",
-    )
+    before = counts.selectExpr("length", "task", "sum(n) over (partition by length order by task) - n as before")
+    before = F.broadcast(before) if counts.count() <= FEW_COUNTS else before
+    names = [c for c in pieces.columns if c not in ("task", "local")]
+    numbered = pieces.join(before, ["length", "task"]).selectExpr(*names, "before + local as _pk_number")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +241,7 @@ def assign_sequences(pieces: DataFrame, caps: Capacities, keys: list[str]) -> Da
                 names=[*(n for n in batch.schema.names if n != "_pk_number"), "sequence_id", "offset"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    fields = ", ".join(f"`{n}` {pieces.schema[n].dataType.simpleString()}" for n in names)
     return by_batches(numbered, work, f"{fields}, sequence_id bigint, offset bigint")
 
 
@@ -262,4 +263,4 @@ def pack(
     pieces = tokenized_pieces(docs, vocabulary, caps.tokens, end_id, id_col, text_col)
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids"))
     table = stored(pieces if keep_ids else pieces.drop("ids"), "pieces")
-    return assign_sequences(table, caps, [id_col, "piece", "ids_crc32"])
+    return assign_sequences(table, caps)

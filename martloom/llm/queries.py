@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {
+    queries = {
         run.__name__: run
         for run in (
             op1_language_id,
@@ -100,6 +101,7 @@ def llm_queries() -> dict[str, Query]:
             op10_sentencepiece,
         )
     }
+    return queries | {"pipeline": corpus_pipeline.run}
 
 
 def llm_sql() -> dict[str, str]:
