@@ -1,0 +1,199 @@
+"""Odd input of every operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from martloom.llm import (
+    exact_dedup,
+    language,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    sentencepiece_codec,
+    topk,
+    toxicity,
+)
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+# Names that the operators use themselves.
+CLASHING = ["id", "text", "length", "digest", "sketch", "n", "cid", "keep_id", "pii_spans", "ids", "score", "task", "key"]
+LONG = "lorem ipsum dolor " * 40_000 + "x" * 100_000
+
+ROWS = [
+    (1, "Hello world, this is a first text."),
+    (2, "Hello world, this is a first text."),
+    (2, "Hello world, this is a first text."),
+    (3, ""),
+    (4, None),
+    (5, "   \n\t "),
+    (6, LONG),
+    (7, "é😀 naïve ▁ café x"),
+    (None, "a text without an id"),
+    (8, "12345 67890 !!! ???"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ROWS, "doc_id long, text string").cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def language_model(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 5)]
+    return language.fit_languages(spark.createDataFrame([*rows, (99, "xyz", None), (98, None, "en")], "doc_id long, text string, lang string"))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = [(i, "a quite normal text about weather", 0) for i in range(20)]
+    rows += [(100 + i, "you utter scoundrel of a weather", 1) for i in range(20)]
+    return spark.createDataFrame([*rows, (500, None, 1), (501, "some text", None)], "doc_id long, text string, label int")
+
+
+@pytest.fixture(scope="module")
+def per_document(language_model, labelled):
+    """Operators that give one row per document."""
+    toxic, good = toxicity.fit_toxicity(labelled), quality.fit_quality(labelled)
+    return {
+        "language": lambda df: language.detect_languages(df, language_model),
+        "toxicity": lambda df: toxicity.score_toxicity(df, toxic),
+        "quality": lambda df: quality.score_quality(df, good),
+        "exact": exact_dedup.exact_duplicates,
+        "near": near_dedup.near_duplicates,
+        "pii": lambda df: pii.with_spans(df.select("doc_id", "text")),
+        "codec": lambda df: sentencepiece_codec.encode_decode(df, PIECES),
+    }
+
+
+NAMES = ["language", "toxicity", "quality", "exact", "near", "pii", "codec"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_one_row_per_row_whatever_the_text(per_document, odd, name):
+    found = per_document[name](odd).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == sorted(str(i) for i, _ in ROWS)
+    twice = [tuple(r) for r in found if r["doc_id"] == 2]
+    assert len(twice) == 2 and str(twice[0]) == str(twice[1])
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_empty_table(per_document, none, name):
+    assert per_document[name](none).collect() == []
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_other_columns_do_not_matter(per_document, odd, name):
+    more = odd.withColumns({c: F.lit(1) for c in CLASHING if c != "text"})
+    plain = sorted(map(str, per_document[name](odd).collect()))
+    assert sorted(map(str, per_document[name](more).collect())) == plain
+
+
+def test_defined_results(per_document, odd):
+    lang = {r["doc_id"]: r for r in per_document["language"](odd).collect()}
+    assert [lang[i]["lang_pred"] for i in (3, 4, 5, 8)] == ["und"] * 4
+    assert all(lang[i]["score"] == 0 and lang[i]["mixture"] == {} for i in (3, 4, 5, 8))
+    assert 0 < lang[6]["score"] <= 1
+    exact = {r["doc_id"]: r for r in exact_dedup.exact_duplicates(odd, keep="largest").collect()}
+    assert (exact[1]["keep_id"], exact[1]["group_size"], exact[1]["kept"]) == (2, 3, False)
+    assert (exact[3]["keep_id"], exact[4]["kept"], exact[3]["group_size"]) == (4, True, 2)
+    assert (exact[None]["keep_id"], exact[None]["kept"]) == (None, True)
+    near = {r["doc_id"]: r for r in per_document["near"](odd).collect()}
+    assert (near[2]["component_id"], near[2]["kept"]) == (1, False)
+    assert [near[i]["n_shingles"] for i in (3, 4, 5, 7)] == [0, 0, 0, 1]
+    assert all(near[i]["kept"] for i in (1, 3, 4, 5, 6, 7, 8, None))
+    codec = {r["doc_id"]: r for r in per_document["codec"](odd).collect()}
+    assert codec[4]["ids"] == [] and codec[4]["decoded"] == ""
+    assert codec[6]["decoded"] == LONG
+    toxic = {r["doc_id"]: r["score"] for r in per_document["toxicity"](odd).collect()}
+    assert toxic[3] == toxic[4] == 0
+
+
+def test_nothing_to_learn_from(spark, odd):
+    empty = spark.createDataFrame([], "doc_id long, text string, label int")
+    assert {r["score"] for r in quality.score_quality(odd, quality.fit_quality(empty)).collect()} == {0.5}
+    scored = toxicity.score_toxicity(odd, toxicity.fit_toxicity(empty)).collect()
+    assert all(r["score"] < 0.5 for r in scored)
+    model = language.fit_languages(empty.withColumn("lang", F.lit("en")))
+    assert {r["lang_pred"] for r in language.detect_languages(odd, model).collect()} == {"und"}
+
+
+def test_drop_exact_duplicates_keeps_one_of_repeated_rows(odd):
+    more = odd.withColumn("source", F.lit("s")).withColumn("digest", F.lit(1))
+    kept = exact_dedup.drop_exact_duplicates(more)
+    assert kept.columns == more.columns
+    assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["1", "3", "5", "6", "7", "8", "None"]
+
+
+def test_drop_near_duplicates_keeps_columns(odd):
+    more = odd.withColumn("cid", F.lit(1)).withColumn("n", F.lit(2))
+    kept = near_dedup.drop_near_duplicates(more)
+    assert kept.columns == more.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "4", "5", "6", "7", "8", "None"]
+
+
+def test_redact_passes_columns_and_nulls(spark):
+    rows = [(1, "mail a@b.org or +1 (499) 555-6503 now", 1), (2, None, 2), (3, "", 3), (4, "😀 a@b.org", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans_kind int")
+    found = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert found == {1: "mail <EMAIL> or <PHONE> now", 2: None, 3: "", 4: "😀 <EMAIL>"}
+    assert pii.redact(df.limit(0)).columns == df.columns
+
+
+def test_packing_odd_documents(odd, none):
+    found = packing.pack(odd, VOCABULARY).collect()
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r["doc_id"], []).append(r)
+    assert all([(r["length"], r["ids_crc32"]) for r in by_id[i]] == [(1, zlib.crc32(b"\0" * 4))] for i in (3, 4, 5))
+    assert len(by_id[2]) == 2
+    assert sum(r["length"] for r in by_id[6]) > 2048
+    assert all(r["length"] <= 2048 for r in found)
+    assert packing.pack(none, VOCABULARY).collect() == []
+    clashing = odd.withColumn("length", F.lit(1)).withColumn("task", F.lit(1))
+    assert packing.pack(clashing, VOCABULARY).count() == len(found)
+
+
+def test_top_k_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0])]
+    rows += [(7, [None, 1.0]), (None, [1.0, 1.0]), (8, [0.5, 0.5]), (9, [-1.0, 0.0]), (20, [3.0]), (10, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit(1)).withColumn("q", F.lit(1))
+    found = topk.exact_top_k(df, df.filter("vec_id % 20 = 0"), k=3).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 1, 4096), (0, 2, 2, 4096), (0, 3, 8, 2048)]
+    every = topk.exact_top_k(df, df.filter("vec_id = 0"), k=50).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in every) == [(1, 1), (2, 2), (3, 8), (4, 10), (5, 9)]
+    assert topk.exact_top_k(df.limit(0), df.limit(0)).collect() == []
+    assert topk.exact_top_k(df, df.limit(0)).collect() == []
+
+
+def test_pipeline_stages_take_odd_rows(spark, odd, none, monkeypatch):
+    docs = odd.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("bigint").alias("n_chars"))
+    for frame in (docs, docs.limit(0)):
+        current = frame
+        for name, stage in corpus_pipeline.STAGES:
+            current = stage(spark, current, "")
+            if name != "packing":
+                assert current.columns == docs.columns
+        assert current.count() >= 0
+
+
+def test_long_words_and_numbers_are_bounded():
+    from martloom.llm import hashing
+
+    word = "y" * 300_000
+    assert len(hashing.shingles(f"{word} a b {word} a b", 3)) == 3
+    assert len(hashing.shingles(" ".join(map(str, range(20_000))), 4)) == 19_997
+    assert np.array_equal(hashing.shingles("A b\tC  d", 5), hashing.shingles("a b c d", 4))
