@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.joins import NOT_SKEWED, sized_join
+from martloom.operators.joins import checked_join, fact_join
 
 
 class Frames:
@@ -68,17 +68,18 @@ class Frames:
 
     @cached_property
     def coupons(self) -> DataFrame:
-        """Lines sold at 5 % off or more; some coupons twice, some of an unknown promotion."""
-        lines = self.raw("lineitem").filter("l_discount >= 0.05")
+        """A coupon per line, some twice; lines sold at less than 5 % off have an unknown promotion."""
+        lines = self.raw("lineitem")
         plants = self.bills_head.select(F.col("billnum").alias("l_orderkey"), "plant")
-        joined = sized_join(lines, plants, ["l_orderkey"])
+        joined = fact_join(lines, plants, ["l_orderkey"])
         return joined.withColumn(
             "copy", F.expr("explode(sequence(0, if(l_partkey % 10 = 0, 1, 0)))")
         ).selectExpr(
             "plant",
             "date_format(l_shipdate, 'yyyyMMdd') as calday",
             "lpad(cast(l_linenumber as string), 7, '0') as coupon_nm",
-            "if(l_tax = 0.08, 'UNKNOWN', 'PROMO' || cast(l_partkey % 60 as string)) as promo_id",
+            "if(l_tax = 0.08 or l_discount < 0.05, 'UNKNOWN',"
+            " 'PROMO' || cast(l_partkey % 60 as string)) as promo_id",
             "cast(l_partkey as string) as material",
             "cast(l_orderkey as string) as billnum",
         )
@@ -139,12 +140,14 @@ class Frames:
 
     @cached_property
     def prices(self) -> DataFrame:
-        """Each part in five regions and the channels it is listed in."""
-        listed = self.raw("part").selectExpr(
-            "p_partkey",
-            "p_retailprice",
-            "explode(sequence(0, 4)) as region_no",
-            "if(p_type = 'ECONOMY', array('N', 'R'), array('A', 'N', 'R')) as channels",
+        """Each part in every region and channel; economy parts are not sold in channel A."""
+        # Lists of a few codes each, one value for the whole query.
+        regions = self.raw("region").agg(F.collect_set("r_regionkey")).scalar()
+        codes = self.channel.agg(F.collect_set("dist_chan")).scalar()
+        economy = F.col("p_type") == "ECONOMY"
+        channels = F.when(economy, F.array_remove(codes, "A")).otherwise(codes)
+        listed = self.raw("part").select(
+            "p_partkey", "p_retailprice", F.explode(regions).alias("region_no"), channels.alias("channels")
         )
         return listed.selectExpr(
             "cast(p_partkey as string) as material",
@@ -162,7 +165,7 @@ class Frames:
                 F.trunc("date", "month").alias("month"), "region", "material", "distr_chan"
             )
             .agg(F.sum("quantity").alias("quantity"))
-            .transform(sized_join, directions, ["material"], hot=NOT_SKEWED)
+            .transform(checked_join, directions, ["material"])
             .groupBy("month", "region", "matdirec", "distr_chan")
             .agg(F.sum("quantity").alias("quantity"))
         )

@@ -294,11 +294,11 @@ def shard_distribution(f):
 
 @query
 def shard_hash_totals(f):
-    """Hash shards of store and day: all rows are placed, and no shard stays empty."""
+    """Hash shards of store and day: each is in one shard with all its rows."""
     days = [F.col("plant"), dates.day_number("calday")]
-    placed = shards.shard_distribution(shards.shard(_dds_bills(f), days, 4))
-    return placed.agg(
-        F.count(F.lit(1)).alias("shards"), F.sum("row_count").alias("row_count")
+    placed = shards.shard(_dds_bills(f), days, 4).groupBy("calday", "plant", "bucket").count()
+    return placed.groupBy("calday", "plant").agg(
+        F.count(F.lit(1)).alias("shards"), F.sum("count").alias("row_count")
     )
 
 

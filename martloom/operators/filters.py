@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import as_date, period_range
-from martloom.operators.joins import sized_join
+from martloom.operators.joins import checked_join
 
 
 def sum_of_truncated_period(
@@ -51,14 +51,14 @@ def union_all_filters(
     copies = F.when(first, 1).otherwise(0) + F.when(second, 1).otherwise(0)
     matched = facts.filter(first | second)
     repeated = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    return sized_join(repeated.drop("_copy"), other, on)
+    return checked_join(repeated.drop("_copy"), other, on)
 
 
 def or_filter_join(
     facts: DataFrame, other: DataFrame, on: list[str], first: Column, second: Column
 ) -> DataFrame:
     """Rows that meet either predicate, joined; each counts once."""
-    return sized_join(facts.filter(first | second), other, on)
+    return checked_join(facts.filter(first | second), other, on)
 
 
 def distinct_then_join(
@@ -70,4 +70,4 @@ def distinct_then_join(
     columns: list[str],
 ) -> DataFrame:
     """As ``or_filter_join`` over ``columns``, with equal rows merged before they are joined."""
-    return sized_join(facts.filter(first | second).select(columns).distinct(), other, on)
+    return checked_join(facts.filter(first | second).select(columns).distinct(), other, on)

@@ -1,176 +1,88 @@
-"""Joins that hold at scale: size-checked broadcast, key reduction, salted hot keys."""
+"""Joins that hold at scale.
 
-from __future__ import annotations
-
-import math
-import re
-import sys
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A side is sent to every executor only if its size is proven to be within this bound.
-BROADCAST_BYTES = 16 << 20
-# Below this input no key can hold enough rows to hurt one task.
-SKEW_BYTES = 4 << 30
-# A key is hot if it holds at least this share of all rows, so at most 1/share keys are.
-HOT_SHARE = 0.01
-# Slices of a hot key; fewer where both sides are sliced, since each copies the other.
-MAX_SLICES = 1024
-MAX_GRID_SLICES = 32
-# Steps of a plan that may return more rows than they read.
-_ADDS_ROWS = re.compile(r"^[\s:+-]*(Generate|Expand|Join (?!LeftSemi|LeftAnti))", re.MULTILINE)
-# For inputs that hold few rows per key by construction, such as totals by that key.
-NOT_SKEWED: tuple[dict[int, float], dict[int, float]] = ({}, {})
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all files and local rows under a frame; runs neither a job nor the optimizer.
-
-    A source that cannot tell its size counts as very large.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+How a join runs is left to Spark: it broadcasts a side by its statistics and,
+under the settings below, by the sizes it meets at run time, and it splits
+partitions that turn out too large. Nothing here looks at data or file sizes
+while a plan is built, so a join means the same for any input. What a caller
+knows of a frame is stated: that it is a fact, that it has few rows by what it
+is, or which of its keys are hot.
+"""
 
+from __future__ import annotations
 
-def bounded_bytes(df: DataFrame) -> int:
-    """A bound for the size of a frame: its input, if no step can add rows to that.
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-    Filters, column pruning and aggregates only make it smaller; files are
-    compressed, which ``BROADCAST_BYTES`` leaves room for. Explodes and joins
-    may multiply rows, so a frame with one has no bound.
-    """
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return sys.maxsize if _ADDS_ROWS.search(plan) else input_bytes(df)
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Skewed partitions are split at run time, also where that costs another shuffle later.
+RUNTIME_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+KINDS = ("inner", "left")
 
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Broadcast hint behind a size check; beyond it Spark shuffles as usual."""
-    bound = BROADCAST_BYTES if limit is None else limit
-    return F.broadcast(df) if bounded_bytes(df) <= bound else df
 
+def apply_runtime_settings(spark: SparkSession) -> SparkSession:
+    """Turns on the run-time handling of skew that the joins rely on."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
-def reduce_to(dim: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of a large dimension whose key is among the few given ones; it is not shuffled."""
-    return dim.join(F.broadcast(keys.distinct()), keys.columns, "left_semi")
 
+def _check(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> list[str]:
+    if how not in KINDS:
+        raise ValueError(f"a {how} join is not one of {KINDS}")
+    kinds = [[df.schema[c].dataType for c in on] for df in (left, right)]
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"join columns {list(on)} differ in type: {kinds[0]} and {kinds[1]}")
+    return list(on)
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> dict[int, float]:
-    """Hashes of the keys that hold at least ``share`` of the rows, with their shares.
 
-    Candidates come from a frequent-items pass, which keeps at most 1/share
-    counters per task and misses no such key; a second pass counts them exactly.
-    Only these few numbers reach the driver. NULL counts as a key.
-    """
-    hashed = df.select(F.xxhash64(*on).alias("key"))
-    candidates = hashed.freqItems(["key"], share).first()[0] or []
-    if not candidates:
-        return {}
-    total, *counts = hashed.agg(
-        F.count(F.lit(1)),
-        *[F.count_if(F.col("key") == key) for key in candidates],
-    ).first()
-    return {k: n / total for k, n in zip(candidates, counts) if n and n >= share * total}
+def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join on columns of the same types; Spark chooses the way."""
+    return left.join(right, _check(left, right, on, how), how)
 
 
-def _slices(hot: dict[int, float], partitions: int, most: int) -> int:
-    """Slices that bring the hottest key down to about the size of a partition."""
-    return max(2, min(most, math.ceil(max(hot.values()) * partitions))) if hot else 1
+def fact_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of two facts: both are shuffled and sorted, neither is ever broadcast."""
+    return left.join(right.hint("merge"), _check(left, right, on, how), how)
 
 
-def _pick(hot: dict[int, float], on: list[str], slices: int, columns: list[str]) -> Column:
-    """Slice of a row: fixed by its content and input partition, so a rerun agrees."""
-    mixed = F.xxhash64(F.spark_partition_id(), *columns)
-    chosen = F.pmod(mixed, F.lit(slices)).cast("int")
-    return F.when(F.xxhash64(*on).isin(list(hot)), chosen).otherwise(F.lit(0))
+def few_rows(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a frame whose rows are bounded by what it is: one per region, channel or store."""
+    return F.broadcast(df)
 
 
-def _copy(hot: dict[int, float], on: list[str], slices: int) -> Column:
-    """All slices for a row whose key is hot on the other side, else the one."""
-    every = F.sequence(F.lit(0), F.lit(slices - 1))
-    one = F.array(F.lit(0))
-    return F.explode(F.when(F.xxhash64(*on).isin(list(hot)), every).otherwise(one))
+def _is_hot(on: list[str], hot: Sequence[Sequence[object]]) -> Column:
+    keys = [reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key, strict=True))) for key in hot]
+    return reduce(or_, keys)
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
-    on: list[str],
-    hot_left: dict[int, float],
-    hot_right: dict[int, float] | None = None,
-    how: str = "inner",
-) -> DataFrame:
-    """Join in which the rows of hot keys are spread over many tasks.
-
-    Rows of a key that is hot on one side take one slice there and are copied
-    to every slice on the other side. A key hot on both sides forms a grid.
-    Each pair of rows meets in exactly one slice, so the result is the plain
-    join. In a left join the left rows must not be copied, so only they are sliced.
-    """
-    hot_right = hot_right or {}
-    if how not in ("inner", "left") or (how == "left" and hot_right):
-        raise ValueError(f"cannot slice both sides of a {how} join")
-    if [left.schema[c].dataType for c in on] != [right.schema[c].dataType for c in on]:
-        raise TypeError(f"join columns {on} differ in type")
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = MAX_GRID_SLICES if hot_left and hot_right else MAX_SLICES
-    keys = list(on)
-    lhs, rhs = left, right
-    if hot_left:
-        n = _slices(hot_left, partitions, most)
-        lhs = lhs.withColumn("_slice_l", _pick(hot_left, on, n, left.columns))
-        rhs = rhs.withColumn("_slice_l", _copy(hot_left, on, n))
-        keys.append("_slice_l")
-    if hot_right:
-        n = _slices(hot_right, partitions, most)
-        rhs = rhs.withColumn("_slice_r", _pick(hot_right, on, n, right.columns))
-        lhs = lhs.withColumn("_slice_r", _copy(hot_right, on, n))
-        keys.append("_slice_r")
-    return lhs.join(rhs, keys, how).drop("_slice_l", "_slice_r")
-
-
-def skew_of(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    threshold: int | None = None,
-) -> tuple[dict[int, float], dict[int, float]]:
-    """Hot keys of both sides, found by two narrow passes over each.
-
-    A side below the threshold is not probed, and neither is any if one of them
-    is small enough to be broadcast, since then nothing is shuffled by key.
-    """
-    if threshold is None and min(map(bounded_bytes, (left, right))) <= BROADCAST_BYTES:
-        return NOT_SKEWED
-    bound = SKEW_BYTES if threshold is None else threshold
-    sides = (left, right) if how == "inner" else (left,)
-    hot = [hot_keys(df, on) if input_bytes(df) > bound else {} for df in sides]
-    return hot[0], hot[1] if len(hot) > 1 else {}
-
-
-def sized_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
+    on: Sequence[str],
+    hot: Sequence[Sequence[object]],
+    slices: int,
     how: str = "inner",
-    limit: int | None = None,
-    threshold: int | None = None,
-    hot: tuple[dict[int, float], dict[int, float]] | None = None,
 ) -> DataFrame:
-    """Inner or left join that takes each way only on a checked size.
+    """Join in which rows of the named keys of the left side are spread over ``slices`` parts.
 
-    A small right side is broadcast. So is a small left side: directly, or for
-    a left join to cut the right side down to its keys. Two large sides are
-    shuffled, and rows of keys that turn out hot are spread over many tasks.
-    ``hot`` gives these keys if they are known already.
+    A left row of a hot key takes one slice, fixed by its content and input
+    partition, so that a rerun agrees; right rows of hot keys are copied to all.
+    Each pair of rows meets in exactly one slice, so the result is the plain join.
     """
-    bound = BROADCAST_BYTES if limit is None else limit
-    if bounded_bytes(right) <= bound:
-        return left.join(F.broadcast(right), on, how)
-    if bounded_bytes(left) <= bound:
-        if how == "inner":
-            return F.broadcast(left).join(right, on)
-        return left.join(reduce_to(right, left.select(on)), on, how)
-    if hot is None:
-        hot = skew_of(left, right, on, how, threshold)
-    return salted_join(left, right, on, *hot, how) if any(hot) else left.join(right, on, how)
+    keys = _check(left, right, on, how)
+    if not hot or slices < 2:
+        return left.join(right, keys, how)
+    mixed = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(slices)).cast("int")
+    every, one = F.sequence(F.lit(0), F.lit(slices - 1)), F.array(F.lit(0))
+    is_hot = _is_hot(keys, hot)
+    lhs = left.withColumn("_slice", F.when(is_hot, mixed).otherwise(F.lit(0)))
+    rhs = right.withColumn("_slice", F.explode(F.when(is_hot, every).otherwise(one)))
+    return lhs.join(rhs, [*keys, "_slice"], how).drop("_slice")

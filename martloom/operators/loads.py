@@ -21,8 +21,7 @@ from martloom.functions.dates import (
     month_window,
     months_between,
 )
-from martloom.operators.joins import hot_keys
-from martloom.operators.quality import LoadError, conform, not_empty_predicate, require
+from martloom.operators.quality import conform, not_empty_predicate, require
 from martloom.sources.tables import MONTH, empty_table
 
 COMPRESSION = "zstd"
@@ -91,11 +90,9 @@ def save_bucketed(
     """Store a catalog table bucketed by ``columns`` and read it back.
 
     Tables with the same buckets are joined and totalled by these columns
-    without a shuffle. A bucket is one task's work and cannot be split, so a
-    table with hot keys is refused: ``sized_join`` serves those.
+    without a shuffle. A bucket is one task's work, so the columns should be
+    ones whose keys are small, such as bill numbers.
     """
-    if hot_keys(df, columns):
-        raise LoadError(f"{table}: some {columns} hold too many rows for one bucket")
     (
         df.repartition(buckets, *columns)
         .write.mode("overwrite")

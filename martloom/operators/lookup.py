@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
-from martloom.operators.joins import (
-    BROADCAST_BYTES,
-    bounded_bytes,
-    reduce_to,
-    sized_join,
-)
+from martloom.operators.joins import checked_join
 
 
 def type_default(kind: DataType) -> object:
@@ -38,28 +33,18 @@ def dict_lookup(
     on: str | None = None,
     pick: list[str] | None = None,
     defaults: Mapping[str, object] | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
     """Add ``attributes`` (source column -> output name) of the entry of each row's key.
 
-    The dictionary is broadcast when small. A large one that serves a small
-    stored mart is cut down to the mart's keys before its entries are picked;
-    otherwise entries are picked and joined by a shuffle on the key.
+    Entries are picked by an aggregate whose tasks keep one entry per key, and
+    joined to the rows by key. Lookups by the same key cost one join if their
+    dictionaries are joined first.
     """
     on = on or key
-    bound = BROADCAST_BYTES if limit is None else limit
     entries = source.select(F.col(key).alias(on), *attributes, *_extra(pick, attributes))
     renamed = {a: f"_{out}" for a, out in attributes.items()}
-    small_source, small_df = (bounded_bytes(f) <= bound for f in (entries, df))
-    if small_df and not small_source:
-        entries = reduce_to(entries, df.select(on))
     table = dictionary(entries, on, list(attributes), pick or []).withColumnsRenamed(renamed)
-    if small_source:
-        found = df.join(F.broadcast(table), on, "left")
-    elif small_df:
-        found = df.join(table, on, "left")
-    else:
-        found = sized_join(df, table, [on], "left", limit=bound)
+    found = checked_join(df, table, [on], "left")
     defaults = defaults or {}
     columns = []
     for attribute, out in attributes.items():

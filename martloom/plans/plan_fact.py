@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_bounds, period_range
 from martloom.functions.rounding import ratio
-from martloom.operators.joins import NOT_SKEWED, broadcast_if_small, sized_join
+from martloom.operators.joins import checked_join, few_rows
 
 LINE = ["region", "matdirec", "distr_chan"]
 
@@ -32,7 +32,7 @@ def sales_by_material(sales: DataFrame, product: DataFrame, yyyymm: str) -> Data
         .agg(F.sum("quantity").alias("quantity"))
     )
     directions = product.select("material", "matdirec")
-    return sized_join(totals, directions, ["material"], hot=NOT_SKEWED)
+    return checked_join(totals, directions, ["material"])
 
 
 def _by_direction(totals: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def _best(totals: DataFrame) -> DataFrame:
         .otherwise(F.max("sales_qt"))
         .alias("largest")
     )
-    top = broadcast_if_small(largest.withColumnRenamed("region", "top_region"))
+    top = few_rows(largest.withColumnRenamed("region", "top_region"))
     same = F.col("region").eqNullSafe(F.col("top_region")) & F.col("sales_qt").eqNullSafe(
         F.col("largest")
     )
@@ -122,21 +122,19 @@ def plan_fact_view(
     Lines whose region, channel or material is unknown drop out; a missing
     price stays NULL.
     """
-    named = sized_join(
-        mart, region.select("region", F.col("txt").alias("region_name")), ["region"]
+    regions = region.select("region", F.col("txt").alias("region_name"))
+    channels = channel.select(
+        F.col("dist_chan").alias("distr_chan"), F.col("txtsh").alias("chan_name")
     )
-    named = sized_join(
-        named,
-        channel.select(F.col("dist_chan").alias("distr_chan"), F.col("txtsh").alias("chan_name")),
-        ["distr_chan"],
-    )
-    named = sized_join(
+    named = checked_join(mart, few_rows(regions), ["region"])
+    named = checked_join(named, few_rows(channels), ["distr_chan"])
+    named = checked_join(
         named,
         product.select("material", "brand", F.col("txt").alias("product_name")),
         ["material"],
     )
     listed = prices.select("material", "region", F.col("dist_chan").alias("distr_chan"), "price")
-    priced = sized_join(named, listed, ["material", "region", "distr_chan"], "left")
+    priced = checked_join(named, listed, ["material", "region", "distr_chan"], "left")
     return priced.select(
         "region", "region_name", "matdirec", "distr_chan", "chan_name", "plan_exec_perc",
         "material", "brand", "product_name", "price",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, parse_day
 from martloom.functions.rounding import cents, half_up, ratio, unscale
-from martloom.operators.joins import salted_join, sized_join, skew_of
+from martloom.operators.joins import checked_join, fact_join
 from martloom.operators.quality import not_empty_predicate
 
 # How a promotion's discount is meant.
@@ -82,22 +82,18 @@ def promos_rejects(promos: DataFrame) -> DataFrame:
 # ---- detail layer ----------------------------------------------------------
 
 
-def bills_dds(items: DataFrame, heads: DataFrame, threshold: int | None = None) -> DataFrame:
+def bills_dds(items: DataFrame, heads: DataFrame) -> DataFrame:
     """Bill items with the store of their bill.
 
     Items without a header are dropped and a repeated header repeats its items.
-    The bill number is the only join key, so a bill with very many items is
-    spread by ``sized_join``.
+    The bill number is the only join key; a partition that a bill with very many
+    items makes too large is split at run time.
     """
-    joined = sized_join(
-        items, heads.select("billnum", "plant"), ["billnum"], threshold=threshold
-    )
+    joined = fact_join(items, heads.select("billnum", "plant"), ["billnum"])
     return joined.select(schemas.DDS_BILLS.names)
 
 
-def coupons_dds(
-    coupons: DataFrame, items: DataFrame, promos: DataFrame, threshold: int | None = None
-) -> DataFrame:
+def coupons_dds(coupons: DataFrame, items: DataFrame, promos: DataFrame) -> DataFrame:
     """Coupons with the unit price paid and the discount in money.
 
     Inner joins drop coupons without a matching item or promotion; the
@@ -106,20 +102,14 @@ def coupons_dds(
     rows are merged on the exact values and only then rounded to money, so
     rows that look alike after rounding can remain.
 
-    When a (material, bill) pair is hot, equal rows are merged on both sides
-    before they meet. Otherwise merging the joined rows is enough and needs no
-    shuffle of its own, as they are already placed by that pair.
+    Lines of a (material, bill) pair with the same unit price are made one first,
+    and the joined rows are merged again, so repeated coupons and lines do not
+    multiply. A pair too large for one task is split at run time.
     """
     on = ["material", "billnum"]
-    lines = items.select(*on, "rpa_sat", "qty")
-    hot = skew_of(coupons, lines, on, threshold=threshold)
-    if any(hot):
-        priced = salted_join(coupons.distinct(), _one_per_price(lines, on), on, *hot)
-    else:
-        priced = sized_join(coupons, lines, on, hot=hot)
-
+    priced = fact_join(coupons, _one_per_price(items.select(*on, "rpa_sat", "qty"), on), on)
     kinds = promos.select("promo_id", "promo_type", F.col("discount").alias("_promo"))
-    rows = sized_join(priced, kinds, ["promo_id"])
+    rows = checked_join(priced, kinds, ["promo_id"])
     absolute, percent = F.col("promo_type") == ABSOLUTE, F.col("promo_type") == PERCENT
     price = ratio(F.col("rpa_sat"), F.col("qty"))
     exact = rows.withColumn("_price", price).withColumn(

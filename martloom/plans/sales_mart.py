@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import as_date
 from martloom.functions.rounding import cents, ratio, round_ratio
-from martloom.operators.joins import sized_join
+from martloom.operators.joins import checked_join, few_rows
 
 DAY = ["calday", "plant"]
 TOTAL = "decimal(27,2)"
@@ -131,7 +131,7 @@ def sales_mart_view(mart: DataFrame, stores: DataFrame) -> DataFrame:
     Stores that are not in the store table drop out. A ratio over zero is NULL.
     """
     names = stores.select("plant", F.col("txt").alias("plant_name"))
-    totals = store_totals(sized_join(mart, names, ["plant"]), ["plant_name", "plant"])
+    totals = store_totals(checked_join(mart, few_rows(names), ["plant"]), ["plant_name", "plant"])
     items, bills, visitors = (
         F.col(c) for c in ("count_materials", "bills_count", "total_traffic")
     )

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from martloom.operators.joins import RUNTIME_SETTINGS
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -19,12 +21,8 @@ def local_session(cores: int | str = 8, app: str = "martloom", **conf: object) -
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # A skewed join may sit under an aggregate that reuses its partitioning.
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
-    for key, value in conf.items():
+    for key, value in (RUNTIME_SETTINGS | conf).items():
         builder = builder.config(key, str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from martloom.operators import joins, lookup  # noqa: E402
 from martloom.session import local_session  # noqa: E402
 
 
@@ -29,10 +28,8 @@ def frame(spark):
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
+def no_broadcast(spark):
     """As on large tables: nothing is small enough to be broadcast."""
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

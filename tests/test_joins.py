@@ -1,11 +1,14 @@
-"""Joins over skewed keys: same rows as the plain join, spread over many tasks."""
+"""Joins: same meaning for any input, no jobs while planning, hot keys spread over many tasks."""
 
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from martloom.catalogue.queries import all_queries
 from martloom.operators import joins, lookup
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def facts(spark):
@@ -31,149 +34,159 @@ def counted(df):
     return sorted(map(tuple, df.groupBy(names).count().collect()), key=repr)
 
 
-def test_hot_keys_are_found_with_exact_shares(spark, facts):
-    hot = joins.hot_keys(facts, ["k"])
-    seven, null = (
-        spark.range(1).select(F.xxhash64(F.lit(k).cast("bigint"))).first()[0] for k in (7, None)
-    )
-    total = facts.count()
-    assert hot == {
-        seven: facts.filter("k = 7").count() / total,
-        null: facts.filter("k is null").count() / total,
-    }
+WAYS = {
+    "checked": joins.checked_join,
+    "fact": joins.fact_join,
+    "salted": lambda a, b, on, how="inner": joins.salted_join(a, b, on, [[7], [None]], 8, how),
+}
 
 
-def test_many_hot_keys_over_many_partitions(spark):
-    df = spark.range(0, 60_000, 1, 24).select(
-        F.when(F.col("id") % 2 == 0, F.pmod(F.xxhash64("id"), F.lit(20))).otherwise(F.col("id"))
-        .alias("k")
-    )
-    exact = df.groupBy("k").count().filter("count >= 600").count()
-    assert len(joins.hot_keys(df, ["k"])) == exact == 20
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_every_way_equals_the_plain_join(facts, heads, way, how):
+    right = heads.filter("k % 2 = 1")
+    assert counted(WAYS[way](facts, right, ["k"], how)) == counted(facts.join(right, "k", how))
+    assert counted(WAYS[way](right, facts, ["k"], how)) == counted(right.join(facts, "k", how))
 
 
-def test_uniform_or_empty_frames_have_no_hot_keys(spark, heads):
-    assert joins.hot_keys(heads, ["k"]) == {}
-    assert joins.hot_keys(heads.filter("k < 0"), ["k"]) == {}
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("how", ["right", "full", "left_anti", "cross"])
+@pytest.mark.parametrize("size", [1, 1000])
+def test_other_kinds_are_refused_at_every_size(facts, heads, way, how, size):
+    with pytest.raises(ValueError):
+        WAYS[way](facts.limit(size), heads, ["k"], how)
 
 
-@pytest.mark.parametrize("side", ["left", "right"])
-def test_salted_join_equals_plain_join(facts, heads, side):
-    left, right = (facts, heads) if side == "left" else (heads, facts)
-    expected = counted(left.join(right, "k"))
-    assert counted(joins.sized_join(left, right, ["k"], limit=0, threshold=0)) == expected
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("size", [1, 1000])
+def test_keys_of_different_types_are_refused_at_every_size(facts, heads, way, size):
+    with pytest.raises(TypeError):
+        WAYS[way](facts.limit(size), heads.withColumn("k", F.col("k").cast("int")), ["k"])
 
 
-def test_salted_left_join_keeps_unmatched_and_null_keys(facts, heads):
-    right = heads.filter("k % 2 = 1")
-    expected = counted(facts.join(right, "k", "left"))
-    salted = joins.sized_join(facts, right, ["k"], "left", limit=0, threshold=0)
-    assert "_slice_l" in salted._jdf.queryExecution().analyzed().toString()
-    assert counted(salted) == expected
-    # Skew on the right is left to the engine: left rows must not be copied.
-    turned = joins.sized_join(heads, facts, ["k"], "left", limit=0, threshold=0)
-    assert counted(turned) == counted(heads.join(facts, "k", "left"))
-    with pytest.raises(ValueError):
-        joins.salted_join(facts, right, ["k"], {1: 0.5}, {1: 0.5}, "left")
+def test_composite_keys(facts):
+    left = facts.withColumn("m", F.col("v"))
+    right = facts.select("k", F.col("v").alias("m")).distinct().withColumn("h", F.lit(1))
+    joined = joins.salted_join(left, right, ["k", "m"], [[7, 0], [7, 1]], 4)
+    assert counted(joined) == counted(left.join(right, ["k", "m"]))
 
 
-def test_key_hot_on_both_sides_forms_a_grid(spark, facts):
-    other = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7))
-        .otherwise(1000 + F.col("id"))
-        .cast("bigint")
-        .alias("k"),
-        (F.col("id") % 4).alias("h"),
+@pytest.fixture
+def plain_shuffles(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def tasks_of(df, key):
+    held = df.filter(F.col("k") == key).groupBy(F.spark_partition_id()).count()
+    return sorted(r["count"] for r in held.collect())
+
+
+def test_hot_rows_are_spread(facts, heads, plain_shuffles):
+    assert tasks_of(joins.checked_join(facts, heads, ["k"]), 7) == [10_000]
+    spread = tasks_of(joins.salted_join(facts, heads, ["k"], [[7]], 16), 7)
+    assert len(spread) >= 8 and max(spread) < 3_500
+
+
+def test_a_key_with_half_a_percent_of_the_rows_is_split(spark, heads, plain_shuffles):
+    facts = spark.range(100_000).select(
+        F.when(F.col("id") % 200 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
     )
-    hot = joins.skew_of(facts, other, ["k"], threshold=0)
-    assert all(hot)
-    joined = joins.sized_join(facts, other, ["k"], limit=0, threshold=0)
-    assert counted(joined) == counted(facts.join(other, "k"))
+    assert tasks_of(joins.salted_join(facts, heads, ["k"], [[5]], 8), 5)[-1] < 200
+    assert len(tasks_of(joins.salted_join(facts, heads, ["k"], [[5]], 8), 5)) >= 4
 
 
-def test_hot_rows_are_spread(spark, facts, heads):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
+def test_runtime_settings_split_a_skewed_partition(spark, heads):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    joins.apply_runtime_settings(spark)
+    busy = spark.range(0, 90_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v")
+    )
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        def fullest(df):
-            tasks = df.groupBy(F.spark_partition_id()).count()
-            return tasks.agg(F.max("count")).first()[0]
-
-        plain = fullest(facts.join(heads, "k"))
-        salted = fullest(joins.sized_join(facts, heads, ["k"], limit=0, threshold=0))
+        joined = joins.fact_join(busy, heads, ["k"])
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
     finally:
+        for k in conf:
+            spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plain >= 10_000
-    assert salted < plain / 3
 
 
-def test_composite_keys_and_types(spark, facts):
-    left = facts.withColumn("m", F.col("v"))
-    right = facts.select("k", F.col("v").alias("m")).distinct().withColumn("h", F.lit(1))
-    joined = joins.sized_join(left, right, ["k", "m"], limit=0, threshold=0)
-    assert counted(joined) == counted(left.join(right, ["k", "m"]))
-    with pytest.raises(TypeError):
-        joins.salted_join(left, right.withColumn("k", F.col("k").cast("int")), ["k"], {1: 0.5})
+# Queries that write look at what they wrote; a month load asks whether its source is empty.
+RUNS_JOBS = {
+    "full_load", "insert_select", "csv_scan", "csv_rejects", "pipeline_run", "plan_fact_pipeline_run",
+    "delta_partition_load", "load_traffic_ods", "load_bills_dds", "load_months", "reject_limit",
+    "audit_log", "daily_export", "sharded_copy", "plan_fact_copy",
+}
 
 
-def test_small_facts_are_not_probed(facts, heads):
-    joined = joins.sized_join(facts.limit(10), heads, ["k"], limit=0)
-    assert "_slice" not in joined._jdf.queryExecution().analyzed().toString()
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - RUNS_JOBS))
+def test_building_a_query_runs_no_job(spark, name):
+    # A frame knows its schema by now; what is counted is what the joins and plans add.
+    all_queries()[name](spark, FOLDER)
+    group = f"plan-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    try:
+        all_queries()[name](spark, FOLDER)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    footers = [j for j in jobs if _tasks(spark, j) > 1]
+    assert not footers
 
 
-# ---- dimensions: each way of joining gives the same rows -------------------------
+def _tasks(spark, job):
+    """Tasks of a job; reading the schema from one file's footer is a job of one task."""
+    info = spark.sparkContext.statusTracker().getJobInfo(job)
+    stages = [spark.sparkContext.statusTracker().getStageInfo(s) for s in info.stageIds]
+    return sum(s.numTasks for s in stages if s)
 
 
-@pytest.fixture(scope="module")
-def stored(spark, tmp_path_factory):
-    root = tmp_path_factory.mktemp("dims")
+@pytest.mark.parametrize("name", ["load_coupons_dds", "load_bills_dds", "sales_mart_view"])
+def test_the_fact_is_never_broadcast(spark, name):
+    plan = plan_of(all_queries()[name](spark, FOLDER)).splitlines()
+    for i, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = []
+            for other in plan[i + 1 :]:
+                if len(other) - len(other.lstrip(" :+-")) <= depth:
+                    break
+                below.append(other)
+            assert not any("l_orderkey" in b for b in below)
+
+
+# ---- lookups ------------------------------------------------------------------------
+
+
+def test_lookup_picks_and_fills(spark):
     dim = spark.range(1000).select(
         F.format_string("K%03d", F.col("id") % 500).alias("k"),
         F.col("id").alias("price"),
         (F.col("id") % 7).cast("string").alias("pick"),
     )
-    mart = spark.range(20).select(
-        F.format_string("K%03d", F.col("id") * 40).alias("k"), F.col("id").alias("n")
-    )
-    dim.write.parquet(f"{root}/dim")
-    mart.coalesce(1).write.parquet(f"{root}/mart")
-    return spark.read.parquet(f"{root}/mart"), spark.read.parquet(f"{root}/dim")
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_dimension_join_ways(stored, how):
-    mart, dim = stored
-    mart_bytes, dim_bytes = joins.bounded_bytes(mart), joins.bounded_bytes(dim)
-    assert mart_bytes < dim_bytes
-    expected = rows(mart.join(dim, "k", how))
-    for limit in (dim_bytes, dim_bytes - 1, mart_bytes, 0):
-        assert rows(joins.sized_join(mart, dim, ["k"], how, limit)) == expected
-    # Beyond the bound nothing is hinted; the mart side is while it is within it.
-    assert "rightHint=(strategy=broadcast)" in hints(joins.sized_join(mart, dim, ["k"]))
-    assert "strategy=broadcast" not in hints(joins.sized_join(mart, dim, ["k"], how, 0))
-
-
-def hints(df):
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_lookup_ways_and_defaults(stored):
-    mart, dim = stored
+    mart = spark.range(20).select(F.format_string("K%03d", F.col("id") * 40).alias("k"), F.col("id").alias("n"))
     mart = mart.unionByName(mart.limit(1).selectExpr("cast(null as string) as k", "-1L as n"))
-    attributes = {"price": "price", "pick": "choice"}
-    big = joins.bounded_bytes(dim)
-    found = [
-        rows(lookup.dict_lookup(mart, dim, "k", attributes, pick=["pick"], limit=limit))
-        for limit in (big, big - 1, 0)
-    ]
-    assert found[0] == found[1] == found[2]
-    assert len(found[0]) == 21
-    by_key = {r[0]: r[2:] for r in found[0]}
-    assert by_key[None] == (0, "")
-    assert by_key["K800" if "K800" in by_key else "K760"] == (0, "")
+    found = rows(lookup.dict_lookup(mart, dim, "k", {"price": "price", "pick": "choice"}, pick=["pick"]))
+    assert len(found) == 21
+    by_key = {r[0]: r[2:] for r in found}
+    assert by_key[None] == (0, "") and by_key["K760"] == (0, "")
     # Of K040's entries 40 (pick 5) and 540 (pick 1) the one with the last pick stays.
     assert by_key["K040"] == (40, "5")
 
@@ -185,31 +198,3 @@ def test_lookup_takes_given_defaults(frame):
     assert rows(found) == [("a", "?", 4), ("b", "?", 0)]
 
 
-def test_broadcast_only_behind_the_size_check(stored):
-    mart, dim = stored
-    limit = joins.bounded_bytes(dim)
-    assert "strategy=broadcast" in hints(mart.join(joins.broadcast_if_small(dim, limit), "k"))
-    assert "strategy=broadcast" not in hints(
-        mart.join(joins.broadcast_if_small(dim, limit - 1), "k")
-    )
-
-
-def test_reduced_dimension_is_not_shuffled(stored):
-    mart, dim = stored
-    plan = plan_of(joins.reduce_to(dim, mart.select("k")))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-def test_frames_that_may_grow_have_no_bound(stored):
-    mart, dim = stored
-    files = joins.input_bytes(dim)
-    assert joins.bounded_bytes(dim.filter("price > 3").groupBy("k").count()) == files
-    assert joins.bounded_bytes(dim.distinct().union(dim)) == 2 * files
-    semi = dim.join(mart, "k", "left_semi")
-    assert joins.bounded_bytes(semi) == files + joins.input_bytes(mart)
-    for grown in (
-        dim.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(1000)))),
-        dim.join(mart, "k"),
-        dim.cube("k").count(),
-    ):
-        assert joins.bounded_bytes(grown) > 1 << 60

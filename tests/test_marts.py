@@ -101,8 +101,7 @@ def test_a_bill_with_a_third_of_all_items(spark, no_broadcast):
     heads = spark.range(9000).selectExpr(
         "id as billnum", "concat('M', id % 5) as plant", "date'2021-01-05' as calday"
     )
-    spread = refine.bills_dds(items, heads, threshold=0)
-    assert "_slice_l" in spread._jdf.queryExecution().analyzed().toString()
+    spread = refine.bills_dds(items, heads)
     plain = items.join(heads.select("billnum", "plant"), "billnum").select(spread.columns)
     assert rows(spread) == rows(plain)
     days = [sales_mart.bills_daily(df, "2021-01-05") for df in (spread, plain)]
@@ -144,9 +143,8 @@ def coupon_case(frame):
     return coupons, items, promos
 
 
-@pytest.mark.parametrize("threshold", [None, 0])
-def test_coupon_discounts(coupon_case, threshold):
-    found = refine.coupons_dds(*coupon_case, threshold=threshold)
+def test_coupon_discounts(coupon_case):
+    found = refine.coupons_dds(*coupon_case)
     assert found.columns == schemas.DDS_COUPONS.names
     seen = [(r.coupon_nm, r.unit_price, r.promo_type, r.discount) for r in found.collect()]
     assert sorted(seen, key=repr) == sorted(
