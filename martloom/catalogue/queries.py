@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,10 @@ from martloom import schemas
 from martloom.catalogue.frames import Frames
 from martloom.functions import dates, text
 from martloom.operators import filters, loads, lookup, partitions, quality, shards, stats
-from martloom.plans import audit, pipeline, plan_fact, refine, sales_mart, serving
+from martloom.plans import pipeline, plan_fact, refine, sales_mart, serving
 from martloom.session import fresh_path
 from martloom.sources import delimited
-from martloom.sources.tables import empty_table, read_table
+from martloom.sources.tables import empty_table, read_partitioned, read_table
 
 # Periods of the test tables with interesting rows.
 START, END = "1995-01-01", "1995-02-28"
@@ -223,8 +225,7 @@ def delta_partition_load(f):
 def month_partitions(f):
     """Months declared for the first sales month, extended past the last sale."""
     span = f.bills_item.agg(F.min("calday").alias("lo"), F.max("calday").alias("hi"))
-    declared = partitions.month_partitions(span, "lo", "lo")
-    return partitions.extend_partitions(declared, span, "hi")
+    return partitions.declared_months(span, "lo", "lo", "hi")
 
 
 @query
@@ -247,7 +248,21 @@ def partition_validation(f):
 
 @query
 def table_stats(f):
-    return stats.table_stats(f.bills_item, distinct=False)
+    found = stats.table_stats(f.bills_item, exact=("billitem", "qty"))
+    known = F.col("column_name").isin("billitem", "qty")
+    return found.withColumn("distinct_count", F.when(known, F.col("distinct_count")))
+
+
+@query
+def load_months(f):
+    """Items on disk: months declared for three years, two reloaded, the second by nothing."""
+    path = fresh_path(f.spark, "bills_item")
+    loads.load_all_months(
+        _older(f.bills_item), path, schemas.BILLS_ITEM, "calday", "1994-01-01", "1997-01-01"
+    )
+    delta = f.bills_item.filter(~dates.in_window("calday", *dates.month_window(END, END)))
+    loads.load_months(delta, path, schemas.BILLS_ITEM, "calday", START, END)
+    return read_partitioned(f.spark, path, schemas.BILLS_ITEM, keep_month=True)
 
 
 # ---- serving -------------------------------------------------------------------
@@ -255,12 +270,11 @@ def table_stats(f):
 
 @query
 def dict_lookup(f):
-    named = lookup.dict_lookup(
-        f.sales, f.product, "material", {"brand": "brand", "txt": "product_name"}
-    )
-    priced = lookup.dict_lookup(
-        named, f.prices, "material", {"price": "price"}, pick=["region", "dist_chan"]
-    )
+    by_material = [
+        lookup.Dictionary(f.product, "material", {"brand": "brand", "txt": "product_name"}),
+        lookup.Dictionary(f.prices, "material", {"price": "price"}, ("region", "dist_chan")),
+    ]
+    priced = lookup.dict_lookups(f.sales, "material", by_material)
     return priced.select("check_nm", "check_pos", "material", "brand", "product_name", "price")
 
 
@@ -274,6 +288,35 @@ def plan_fact_export(f):
     return serving.export_types(_plan_fact(f), schemas.SERVING_PLAN_FACT)
 
 
+def _written(f: Frames, mart: DataFrame, name: str) -> DataFrame:
+    """A mart as later steps find it: stored."""
+    path = fresh_path(f.spark, name)
+    loads.create_table_as(mart, path)
+    return f.spark.read.schema(mart.schema).parquet(path)
+
+
+@query
+def daily_export(f):
+    return serving.export_types(_written(f, _daily(f), "daily"), schemas.SERVING_SALES_DAILY)
+
+
+@query
+def sharded_copy(f):
+    """The daily mart, stored by shard of store and day, with the number of shards of each store day."""
+    path = fresh_path(f.spark, "shards")
+    serving.publish_sales(_written(f, _daily(f), "daily"), path, 4)
+    copy = f.spark.read.parquet(path)
+    places = copy.groupBy("calday", "plant").agg(F.count_distinct("bucket").alias("shards"))
+    return copy.drop("bucket").join(places, ["calday", "plant"])
+
+
+@query
+def plan_fact_copy(f):
+    path = fresh_path(f.spark, "shards")
+    serving.publish_plan_fact(_written(f, _plan_fact(f), "plan_fact"), path, 2)
+    return f.spark.read.parquet(path).drop("bucket")
+
+
 @query
 def sales_report(f):
     return serving.sales_report(_daily(f), f.stores)
@@ -430,23 +473,44 @@ def csv_rejects(f):
     )
 
 
+@query
+def reject_limit(f):
+    """One file of promotions with unreadable discounts, read with a limit above and at their number."""
+    discount = F.when(F.col("discount") == 50, F.lit("fifty")).otherwise(F.col("discount").cast("string"))
+    path = _as_file(f, f.promos.withColumn("discount", discount), "promos.csv")
+    staging = fresh_path(f.spark, "promos_staging")
+    scan = delimited.scan_delimited(f.spark, path, schemas.PROMOS)
+    scan.write.parquet(staging)
+    bad = delimited.rejected(f.spark.read.schema(scan.schema).parquet(staging)).count()
+    outcomes = []
+    for over in (1, 0):
+        limit = F.lit(over).alias("limit_over_rejects")
+        try:
+            read = delimited.read_delimited(
+                f.spark, path, schemas.PROMOS, reject_limit=bad + over, staging=f"{staging}_{over}"
+            )
+            counted = read.agg(F.count(F.lit(1)).alias("row_count"), F.sum("discount").cast("decimal(27,2)").alias("sum_discount"))
+            outcomes.append(counted.select(limit, F.lit(True).alias("loaded"), "row_count", "sum_discount"))
+        except delimited.RejectLimitReached:
+            none = [F.lit(None).cast(t).alias(n) for n, t in (("row_count", "bigint"), ("sum_discount", "decimal(27,2)"))]
+            outcomes.append(f.spark.range(1).select(limit, F.lit(False).alias("loaded"), *none))
+    return reduce(DataFrame.unionByName, outcomes)
+
+
 @query
 def audit_log(f):
-    return audit.audit_log(
-        [
-            audit.load_metrics(
-                f.product, quality.not_empty_predicate(schemas.PRODUCT), "Full_Load.Product"
-            ),
-            audit.load_metrics(
-                f.traffic, quality.not_empty_predicate(schemas.TRAFFIC), "Full_Load.Traffic"
-            ),
-            audit.load_metrics(
-                f.bills_item,
-                dates.in_window("calday", *dates.month_window(START, END)),
-                "Load_Months.Bills_Item",
-            ),
-        ]
-    )
+    """Journal of real loads: whole, by month, from an empty source, and one that fails."""
+    house = pipeline.Warehouse(f.spark, fresh_path(f.spark, "audited"))
+    house.full("Product", schemas.PRODUCT, f.product)
+    house.full("Traffic", schemas.TRAFFIC, f.traffic)
+    house.full("Region", schemas.REGION, empty_table(f.spark, schemas.REGION).limit(0))
+    house.months("Bills_Item", schemas.BILLS_ITEM, f.bills_item, "calday", START, END)
+    unknown = f.channel.unionByName(f.channel.withColumn("dist_chan", F.lit(None).cast("string")))
+    try:
+        house.replace("Channel", quality.require(unknown, schemas.CHANNEL))
+    except PySparkException:
+        pass  # The journal has it, as it has what the others did.
+    return house.journal.outcomes()
 
 
 @query

@@ -21,12 +21,23 @@ from martloom.functions.dates import (
     month_window,
     months_between,
 )
-from martloom.operators.quality import conform, not_empty_predicate, require
-from martloom.sources.tables import MONTH, empty_table
+from martloom.operators.partitions import route_partitions
+from martloom.operators.quality import conform, inside_window, not_empty_predicate, require
+from martloom.sources.tables import MONTH, remove_months
 
 COMPRESSION = "zstd"
 
 
+@dataclass(frozen=True)
+class ColumnStats:
+    """What a load knows of a column it wrote."""
+
+    nulls: int
+    least: str | None
+    most: str | None
+    distinct: int
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a load wrote; ``skipped`` means the source was empty and nothing was touched."""
@@ -34,11 +45,31 @@ class LoadResult:
     rows: int
     skipped: bool = False
     months: dict[str, int] = field(default_factory=dict)
+    stats: dict[str, ColumnStats] = field(default_factory=dict)
+
+
+def _measures(columns: list[str]) -> dict[str, Column]:
+    """Aggregates of ``ColumnStats``; the writing tasks compute them as they go."""
+    found = {}
+    for i, name in enumerate(columns):
+        column = F.col(f"`{name}`")
+        found[f"nulls{i}"] = F.count_if(column.isNull())
+        found[f"least{i}"] = F.min(column).cast("string")
+        found[f"most{i}"] = F.max(column).cast("string")
+        found[f"distinct{i}"] = F.approx_count_distinct(column)
+    return found
+
+
+def _stats(columns: list[str], written: dict) -> dict[str, ColumnStats]:
+    kinds = ("nulls", "least", "most", "distinct")
+    return {c: ColumnStats(*(written[f"{k}{i}"] for k in kinds)) for i, c in enumerate(columns)}
 
 
 def _write(df: DataFrame, path: str, mode: str, by: str | None = None, **metrics: Column) -> dict:
-    """Write and return the metrics of the written rows."""
+    """Write and return the metrics of the written rows, statistics of their columns among them."""
     seen = Observation()
+    columns = [c for c in df.columns if c != by]
+    metrics = _measures(columns) | metrics
     if by:
         # Each month gets its own files; a month with most rows is split over tasks.
         df = df.hint("rebalance", by)
@@ -49,7 +80,7 @@ def _write(df: DataFrame, path: str, mode: str, by: str | None = None, **metrics
     if by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(by)
     writer.parquet(path)
-    return seen.get
+    return seen.get | {"stats": _stats(columns, seen.get)}
 
 
 def insert_select(
@@ -63,7 +94,7 @@ def insert_select(
     rows = conform(source, schema).filter(F.lit(True) if where is None else where)
     rows = require(rows, schema)
     written = _write(rows, path, "overwrite" if truncate else "append")
-    return LoadResult(written["rows"])
+    return LoadResult(written["rows"], stats=written["stats"])
 
 
 def full_load(
@@ -81,7 +112,8 @@ def full_load(
 
 def create_table_as(df: DataFrame, path: str) -> LoadResult:
     """Replace a stored table by a query result."""
-    return LoadResult(_write(df, path, "overwrite")["rows"])
+    written = _write(df, path, "overwrite")
+    return LoadResult(written["rows"], stats=written["stats"])
 
 
 def save_bucketed(
@@ -105,10 +137,26 @@ def save_bucketed(
     return df.sparkSession.table(table)
 
 
-def load_all_months(source: DataFrame, path: str, schema: StructType, key: str) -> LoadResult:
-    """Write a whole partitioned table; rows without a date go to the default partition."""
-    rows = conform(source, schema).withColumn(MONTH, month_key(key))
-    return LoadResult(_write(rows, path, "overwrite", MONTH)["rows"])
+def load_all_months(
+    source: DataFrame,
+    path: str,
+    schema: StructType,
+    key: str,
+    lo: dt.date | str | None = None,
+    hi: dt.date | str | None = None,
+) -> LoadResult:
+    """Write a whole partitioned table.
+
+    Rows without a date go to the default partition, and if months are declared
+    from ``lo`` up to ``hi``, so do rows outside of them.
+    """
+    rows = conform(source, schema)
+    if lo is None or hi is None:
+        rows = rows.withColumn(MONTH, month_key(key))
+    else:
+        rows = route_partitions(rows, key, lo, hi, MONTH)
+    written = _write(rows, path, "overwrite", MONTH)
+    return LoadResult(written["rows"], stats=written["stats"])
 
 
 def load_months(
@@ -123,10 +171,11 @@ def load_months(
     """Replace the months from ``start`` through ``end`` by the source's rows.
 
     One job writes all months of the window; folders outside it are not read
-    or written. Months without source rows end up empty: dynamic overwrite
-    would leave their old rows, so each is overwritten by an empty file.
-    ``guard`` names the frame whose emptiness skips the load, if it is not the
-    source itself.
+    or written. Every row is checked to lie in the window as it is written, in
+    its declared type, and a stray one fails the job before anything is swapped.
+    Months without source rows end up empty: dynamic overwrite would leave their
+    old rows, so their folders are removed. ``guard`` names the frame whose
+    emptiness skips the load, if it is not the source itself.
 
     The job swaps its folders when all its tasks are done. Plain files have no
     transaction over several folders, so a load that failed between the swaps
@@ -136,12 +185,11 @@ def load_months(
         return LoadResult(0, skipped=True)
     lo, hi = month_window(start, end)
     rows = conform(source.filter(in_window(key, lo, hi)), schema)
-    rows = require(rows, schema).withColumn(MONTH, F.date_format(key, YEAR_MONTH))
+    rows = inside_window(require(rows, schema), key, lo, hi)
+    rows = rows.withColumn(MONTH, F.date_format(key, YEAR_MONTH))
     names = [f"{first:%Y%m}" for first in months_between(lo, hi)]
     counts = {f"m{name}": F.count_if(F.col(MONTH) == name) for name in names}
     written = _write(rows, path, "overwrite", MONTH, **counts)
     months = {name: written[f"m{name}"] for name in names}
-    for name in (name for name, count in months.items() if not count):
-        nothing = empty_table(source.sparkSession, schema)
-        nothing.write.mode("overwrite").parquet(f"{path}/{MONTH}={name}")
-    return LoadResult(written["rows"], months=months)
+    remove_months(source.sparkSession, path, [name for name, count in months.items() if not count])
+    return LoadResult(written["rows"], months=months, stats=written["stats"])

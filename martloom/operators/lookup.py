@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,41 +20,67 @@ def type_default(kind: DataType) -> object:
     return 0 if isinstance(kind, NumericType) else None
 
 
-def dictionary(df: DataFrame, key: str, attributes: list[str], pick: list[str]) -> DataFrame:
-    """One entry per key. Where a key repeats, the entry last in order of ``pick`` stays."""
-    order = F.struct(*(pick or attributes))
-    entry = F.max_by(F.struct(*attributes), order).alias("entry")
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(entry).select(key, "entry.*")
+@dataclass(frozen=True)
+class Dictionary:
+    """Entries of a source by key: ``attributes`` (source column -> output name).
 
+    Where a key repeats, the entry last in order of ``pick`` stays.
+    """
 
-def dict_lookup(
+    source: DataFrame
+    key: str
+    attributes: Mapping[str, str]
+    pick: tuple[str, ...] = ()
+
+    def entries(self, on: str) -> DataFrame:
+        order = F.struct(*(self.pick or self.attributes))
+        entry = F.struct(*(F.col(a).alias(out) for a, out in self.attributes.items()))
+        known = self.source.filter(F.col(self.key).isNotNull())
+        return known.select(F.col(self.key).alias(on), entry.alias("entry"), order.alias("rank"))
+
+
+def dict_lookups(
     df: DataFrame,
-    source: DataFrame,
-    key: str,
-    attributes: Mapping[str, str],
-    on: str | None = None,
-    pick: list[str] | None = None,
+    on: str,
+    dictionaries: list[Dictionary],
     defaults: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Add ``attributes`` (source column -> output name) of the entry of each row's key.
+    """Add the attributes of several dictionaries that are looked up by the same key.
 
-    Entries are picked by an aggregate whose tasks keep one entry per key, and
-    joined to the rows by key. Lookups by the same key cost one join if their
-    dictionaries are joined first.
+    The entries are brought together by one aggregate, whose tasks keep one
+    entry per key and dictionary, and the rows are joined to them once. A key
+    that is unknown gives a typed default.
     """
-    on = on or key
-    entries = source.select(F.col(key).alias(on), *attributes, *_extra(pick, attributes))
-    renamed = {a: f"_{out}" for a, out in attributes.items()}
-    table = dictionary(entries, on, list(attributes), pick or []).withColumnsRenamed(renamed)
-    found = checked_join(df, table, [on], "left")
-    defaults = defaults or {}
+    parts = [d.entries(on) for d in dictionaries]
+    kinds = [df.schema["entry"].dataType for df in parts], [df.schema["rank"].dataType for df in parts]
+    rows = []
+    for i, part in enumerate(parts):
+        blanks = [
+            (F.col(c) if j == i else F.lit(None)).cast(kind).alias(f"_{c}{j}")
+            for c, of_all in zip(("entry", "rank"), kinds)
+            for j, kind in enumerate(of_all)
+        ]
+        rows.append(part.select(on, *blanks))
+    every = reduce(DataFrame.unionByName, rows)
+    picked = [F.max_by(f"_entry{i}", f"_rank{i}").alias(f"_entry{i}") for i in range(len(parts))]
+    found = checked_join(df, every.groupBy(on).agg(*picked), [on], "left")
     columns = []
-    for attribute, out in attributes.items():
-        kind = source.schema[attribute].dataType
-        default = F.lit(defaults.get(out, type_default(kind))).cast(kind)
-        columns.append(F.coalesce(F.col(f"_{out}"), default).alias(out))
+    for i, dictionary in enumerate(dictionaries):
+        for attribute, out in dictionary.attributes.items():
+            kind = dictionary.source.schema[attribute].dataType
+            default = F.lit((defaults or {}).get(out, type_default(kind))).cast(kind)
+            columns.append(F.coalesce(F.col(f"_entry{i}")[out], default).alias(out))
     return found.select(*df.columns, *columns)
 
 
-def _extra(pick: list[str] | None, attributes: Mapping[str, str]) -> list[str]:
-    return [c for c in pick or [] if c not in attributes]
+def dict_lookup(
+    df: DataFrame,
+    source: DataFrame,
+    key: str,
+    attributes: Mapping[str, str],
+    on: str | None = None,
+    pick: list[str] | None = None,
+    defaults: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Add ``attributes`` of the entry of each row's key, as ``dict_lookups`` for one dictionary."""
+    return dict_lookups(df, on or key, [Dictionary(source, key, attributes, tuple(pick or ()))], defaults)

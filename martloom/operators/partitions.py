@@ -28,6 +28,19 @@ def month_partitions(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataF
     )
 
 
+def declared_months(
+    bounds: DataFrame, first: str, last: str, needed: str
+) -> DataFrame:
+    """Months declared from ``first`` through ``last``, extended until one ends past ``needed``.
+
+    As ``month_partitions`` followed by ``extend_partitions``, from one row with
+    these dates, so the table they come from is read once.
+    """
+    # A month that ends on the needed date does not hold it yet.
+    end = F.greatest(F.trunc(last, "month"), F.trunc(needed, "month"))
+    return month_partitions(bounds.select(F.col(first).alias("lo"), end.alias("hi")))
+
+
 def extend_partitions(partitions: DataFrame, needed: DataFrame, value: str) -> DataFrame:
     """Add months after the last partition until one ends past the needed date.
 

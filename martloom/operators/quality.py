@@ -64,6 +64,13 @@ def outside_partition(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> Data
     return df.filter(outside_window(key, lo, hi))
 
 
+def inside_window(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Fail the job on a row outside ``[lo, hi)``, in the same pass that writes the rows."""
+    failure = F.raise_error(F.lit(f"row with {key} outside [{lo}, {hi})")).cast(df.schema[key].dataType)
+    checked = F.when(outside_window(key, lo, hi), failure).otherwise(F.col(key))
+    return df.withColumn(key, checked.alias(key, metadata=df.schema[key].metadata))
+
+
 def assert_in_partition(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> DataFrame:
     """Check staged rows before they replace a partition."""
     if not outside_partition(df, key, lo, hi).isEmpty():

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def table_stats(df: DataFrame, distinct: bool = True) -> DataFrame:
+def table_stats(df: DataFrame, distinct: bool = True, exact: tuple[str, ...] = ()) -> DataFrame:
     """One row per column: row count, null count, smallest and largest value as text.
 
-    ``distinct`` adds an approximate distinct count. One pass over the table;
+    ``distinct`` adds an approximate distinct count, which is exact for the columns
+    named in ``exact``; those should have few values. One pass over the table;
     tasks combine into a single small row.
     """
     measures = []
@@ -23,7 +24,8 @@ def table_stats(df: DataFrame, distinct: bool = True) -> DataFrame:
             F.max(column).cast("string").alias("max_value"),
         ]
         if distinct:
-            fields.append(F.approx_count_distinct(column).alias("distinct_count"))
+            count = F.count_distinct(column) if name in exact else F.approx_count_distinct(column)
+            fields.append(count.alias("distinct_count"))
         measures.append(F.struct(*fields))
     return df.agg(F.array(*measures).alias("measures")).select(F.inline("measures"))
 

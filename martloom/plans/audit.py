@@ -6,7 +6,6 @@ import datetime as dt
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,27 +57,13 @@ def entries(df: DataFrame) -> DataFrame:
     )
 
 
-def load_metrics(source: DataFrame, keep: Column, location: str) -> DataFrame:
-    """One entry for a load: rows read, kept and turned away, in one pass."""
-    counted = source.agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(keep).alias("rows_kept"),
-    ).withColumn("rows_rejected", F.col("rows_read") - F.col("rows_kept"))
-    return entries(
-        counted.select(
-            F.lit("info").alias("log_type"),
-            F.concat(F.col("rows_kept").cast("string"), F.lit(" rows inserted")).alias("log_msg"),
-            F.lit(location).alias("log_location"),
-            "rows_read",
-            "rows_kept",
-            "rows_rejected",
-        )
+def _stats_note(result: LoadResult) -> str:
+    """Statistics of the loaded rows, one clause per column."""
+    clauses = (
+        f"{name} nulls={s.nulls} distinct~{s.distinct} min={s.least} max={s.most}"
+        for name, s in result.stats.items()
     )
-
-
-def audit_log(loads: list[DataFrame]) -> DataFrame:
-    """Entries of several loads as one frame."""
-    return reduce(DataFrame.unionByName, loads)
+    return "statistics: " + "; ".join(clauses)
 
 
 class Journal:
@@ -108,6 +93,8 @@ class Journal:
             for result in results:
                 note = "source table is empty" if result.skipped else f"{result.rows} rows inserted"
                 noted.append((INFO, note, location))
+                if result.stats:
+                    noted.append((INFO, _stats_note(result), location))
             noted.append((INFO, f"END {location}", location))
         except Exception as failure:
             noted.append((ERROR, f"FAILED {location}: {failure}", location))
@@ -118,6 +105,20 @@ class Journal:
     def read(self) -> DataFrame:
         return read_table(self.spark, self.path, schemas.AUDIT)
 
+    def outcomes(self) -> DataFrame:
+        """What became of each location's loads, without times and users."""
+        inserted = F.regexp_extract("log_msg", r"^(\d+) rows inserted$", 1)
+        return (
+            self.read()
+            .groupBy("log_location")
+            .agg(
+                F.count(F.lit(1)).alias("entries"),
+                F.count_if("is_error").alias("errors"),
+                F.count_if(F.col("log_msg") == "source table is empty").alias("skipped"),
+                F.sum(F.when(inserted != "", inserted.cast("bigint"))).alias("rows_inserted"),
+            )
+        )
+
     def summary(self) -> DataFrame:
         """Entries and errors per location."""
         return (

@@ -7,12 +7,14 @@ earlier one wrote, so a run that stops can be started again from the top.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martloom import schemas
+from martloom.functions.dates import in_window, month_window, months_between, next_month
 from martloom.functions.text import (
     plan_fact_name,
     plan_fact_view_name,
@@ -20,6 +22,7 @@ from martloom.functions.text import (
     sales_view_name,
 )
 from martloom.operators.loads import LoadResult, create_table_as, full_load, load_months
+from martloom.operators.partitions import month_partitions
 from martloom.plans import refine
 from martloom.plans.audit import ERROR, Journal
 from martloom.plans.plan_fact import plan_fact_mart, plan_fact_view
@@ -56,6 +59,8 @@ class Warehouse:
             results.append(
                 load_months(source, self.path(table), schema, key, start, end, guard)
             )
+            if not results[0].skipped:
+                self.declare(table, start, end)
         return results[0]
 
     def replace(self, table: str, df: DataFrame) -> DataFrame:
@@ -64,12 +69,30 @@ class Warehouse:
             results.append(create_table_as(df, self.path(table)))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
-    def set_aside(self, table: str, rejects: DataFrame) -> None:
-        """Keep rows a refinement could not read, and say so in the journal."""
-        path = self.path(f"rejects/{table}")
-        found = create_table_as(rejects, path).rows
-        if found:
-            self.journal.write((ERROR, f"{found} rows set aside in {path}", table))
+    def set_aside(self, table: str, rejects: refine.Rejects) -> None:
+        """Keep rows a refinement could not read, and say so in the journal.
+
+        The refinement has counted them, so the raw table is read again only if there are any.
+        """
+        if rejects.found:
+            path = self.path(f"rejects/{table}")
+            create_table_as(rejects.rows, path)
+            self.journal.write((ERROR, f"{rejects.found} rows set aside in {path}", table))
+
+    def declare(self, table: str, start: Day, end: Day) -> DataFrame:
+        """Months declared for a table, extended so that the window lies within them.
+
+        One row per month; rows of a whole load outside of them go to the default partition.
+        """
+        path = self.path(f"partitions/{table}")
+        known = [r["partition_start"] for r in read_table(self.spark, path, schemas.PARTITIONS).collect()]
+        lo, hi = month_window(start, end)
+        first, last = min([lo, *known]), max([hi, *(next_month(day) for day in known)])
+        months = months_between(first, last)
+        if set(months) != set(known):
+            span = self.spark.range(1).select(F.lit(first).alias("lo"), F.lit(months[-1]).alias("hi"))
+            month_partitions(span).coalesce(1).write.mode("overwrite").parquet(path)
+        return read_table(self.spark, path, schemas.PARTITIONS)
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)
@@ -85,7 +108,9 @@ def refresh_sales_mart(house: Warehouse, start: Day, end: Day | None = None) ->
     traffic = read_months(
         house.spark, house.path("ods_traffic"), schemas.ODS_TRAFFIC, "calday", start, last
     )
-    coupons = house.read("dds_coupons", schemas.DDS_COUPONS)
+    coupons = read_months(
+        house.spark, house.path("dds_coupons"), schemas.DDS_COUPONS, "calday", start, last
+    )
     daily = house.replace(
         sales_mart_name(start, end), sales_mart_daily(bills, coupons, traffic, start, end)
     )
@@ -116,24 +141,27 @@ def run_sales_pipeline(
     ):
         house.months(table, schema, sources[table], "calday", start, end)
 
-    coupons = read("coupons", schemas.COUPONS)
-    house.set_aside("coupons", refine.coupons_rejects(coupons))
-    _retype(house, "ods_coupons", schemas.ODS_COUPONS, coupons, refine.coupons_ods(coupons))
-    promos = read("promos", schemas.PROMOS)
-    house.set_aside("promos", refine.promos_rejects(promos))
-    _retype(house, "ods_promos", schemas.ODS_PROMOS, promos, refine.promos_ods(promos))
-    traffic = read("traffic", schemas.TRAFFIC)
-    house.set_aside("traffic", refine.traffic_rejects(traffic))
-    house.months(
-        "ods_traffic", schemas.ODS_TRAFFIC, refine.traffic_ods(traffic), "calday", start, end,
-        guard=traffic,
+    coupons = refine.coupons_rejects(read("coupons", schemas.COUPONS))
+    _retype(house, "ods_coupons", schemas.ODS_COUPONS, coupons, refine.coupons_ods)
+    promos = refine.promos_rejects(read("promos", schemas.PROMOS))
+    _retype(house, "ods_promos", schemas.ODS_PROMOS, promos, refine.promos_ods)
+    traffic = refine.traffic_rejects(read("traffic", schemas.TRAFFIC))
+    loaded = house.months(
+        "ods_traffic", schemas.ODS_TRAFFIC, refine.traffic_ods(traffic.watch()), "calday", start, end,
+        guard=traffic.raw,
     )
+    if not loaded.skipped:
+        house.set_aside("ods_traffic", traffic)
 
     items = read_partitioned(house.spark, house.path("bills_item"), schemas.BILLS_ITEM)
     heads = read_partitioned(house.spark, house.path("bills_head"), schemas.BILLS_HEAD)
     ods_coupons = read("ods_coupons", schemas.ODS_COUPONS)
-    detail = refine.coupons_dds(ods_coupons, items, read("ods_promos", schemas.ODS_PROMOS))
-    _retype(house, "dds_coupons", schemas.DDS_COUPONS, ods_coupons, detail)
+    # A coupon of the window may be for a bill of any month.
+    recent = ods_coupons.filter(in_window("calday", *month_window(start, end)))
+    detail = refine.coupons_dds(recent, items, read("ods_promos", schemas.ODS_PROMOS))
+    house.months(
+        "dds_coupons", schemas.DDS_COUPONS, detail, "calday", start, end, guard=ods_coupons
+    )
     window = read_months(
         house.spark, house.path("bills_item"), schemas.BILLS_ITEM, "calday", start, end
     )
@@ -145,14 +173,19 @@ def run_sales_pipeline(
 
 
 def _retype(
-    house: Warehouse, table: str, schema: StructType, source: DataFrame, rows: DataFrame
+    house: Warehouse,
+    table: str,
+    schema: StructType,
+    source: refine.Rejects,
+    refined: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Replace a refined table, unless the table it is refined from is empty."""
-    if source.isEmpty():
+    if source.raw.isEmpty():
         with house.journal.load(table) as results:
             results.append(LoadResult(0, skipped=True))
     else:
-        house.replace(table, rows.select(schema.names))
+        house.replace(table, refined(source.watch()).select(schema.names))
+        house.set_aside(table, source)
 
 
 def run_plan_fact_pipeline(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom import schemas
@@ -24,6 +24,28 @@ def _readable(values: dict[str, Column]) -> Column:
     return reduce(and_, tests)
 
 
+class Rejects:
+    """Counts unreadable rows of a raw table while another job reads it.
+
+    ``watch`` wraps the raw rows; once a job over them has run, ``found`` is the
+    number of rows it could not read, and ``rows`` are these rows.
+    """
+
+    def __init__(self, raw: DataFrame, values: dict[str, Column]):
+        self.raw, self.values, self.seen = raw, values, Observation()
+
+    def watch(self) -> DataFrame:
+        return self.raw.observe(self.seen, F.count_if(~_readable(self.values)).alias("found"))
+
+    @property
+    def found(self) -> int:
+        return self.seen.get["found"]
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.raw.filter(~_readable(self.values))
+
+
 # ---- traffic ---------------------------------------------------------------
 
 
@@ -34,8 +56,8 @@ def traffic_ods(traffic: DataFrame) -> DataFrame:
     )
 
 
-def traffic_rejects(traffic: DataFrame) -> DataFrame:
-    return traffic.filter(~_readable({"date": parse_day("date", DOTTED_DAY)}))
+def traffic_rejects(traffic: DataFrame) -> Rejects:
+    return Rejects(traffic, {"date": parse_day("date", DOTTED_DAY)})
 
 
 # ---- coupons and promotions ------------------------------------------------
@@ -64,8 +86,8 @@ def coupons_ods(coupons: DataFrame) -> DataFrame:
     return kept.withColumns(values).select(schemas.ODS_COUPONS.names)
 
 
-def coupons_rejects(coupons: DataFrame) -> DataFrame:
-    return coupons.filter(~_readable(_coupon_values()))
+def coupons_rejects(coupons: DataFrame) -> Rejects:
+    return Rejects(coupons, _coupon_values())
 
 
 def promos_ods(promos: DataFrame) -> DataFrame:
@@ -75,8 +97,8 @@ def promos_ods(promos: DataFrame) -> DataFrame:
     return kept.withColumns(values).select(schemas.ODS_PROMOS.names)
 
 
-def promos_rejects(promos: DataFrame) -> DataFrame:
-    return promos.filter(~_readable(_promo_values()))
+def promos_rejects(promos: DataFrame) -> Rejects:
+    return Rejects(promos, _promo_values())
 
 
 # ---- detail layer ----------------------------------------------------------

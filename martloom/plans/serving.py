@@ -10,7 +10,7 @@ from pyspark.sql.types import FloatType, IntegerType, StructType
 
 from martloom.functions.dates import day_number
 from martloom.functions.rounding import ratio
-from martloom.operators.lookup import dict_lookup
+from martloom.operators.lookup import Dictionary, dict_lookup, dict_lookups
 from martloom.operators.shards import write_sharded
 from martloom.plans.sales_mart import store_totals
 
@@ -89,10 +89,11 @@ def plan_fact_report(
     """
     named = dict_lookup(mart, region, "region", {"txt": "region_name"})
     named = dict_lookup(named, channel, "dist_chan", {"txtsh": "chan_name"}, on="distr_chan")
-    named = dict_lookup(named, product, "material", {"brand": "brand", "txt": "product_name"})
-    priced = dict_lookup(
-        named, prices, "material", {"price": "price"}, pick=["region", "dist_chan"]
-    )
+    by_material = [
+        Dictionary(product, "material", {"brand": "brand", "txt": "product_name"}),
+        Dictionary(prices, "material", {"price": "price"}, ("region", "dist_chan")),
+    ]
+    priced = dict_lookups(named, "material", by_material)
     return priced.select(
         "region", "region_name", "matdirec", "distr_chan", "chan_name", "sales_qt", "plan_qt",
         "plan_exec_perc", "material", "brand", "product_name", "price",

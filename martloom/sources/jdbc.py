@@ -37,16 +37,26 @@ def read_jdbc(
     table: str,
     schema: StructType,
     slices: list[str] | None = None,
+    key: str | None = None,
+    bounds: tuple[int, int, int] | None = None,
 ) -> DataFrame:
-    """A database table in its declared schema.
+    """A database table in its declared schema, read by several tasks.
 
-    ``options`` carries url, user, password, driver and such; nothing is built in.
-    Column selection and filters of the query are pushed to the database.
+    The table is cut by ``slices``, predicates that together cover it, or by a
+    numeric ``key`` with ``bounds`` (lower, upper, parts); without either a
+    whole table would be one task's work, so that is refused. ``options``
+    carries url, user, password, driver and such; nothing is built in. Column
+    selection and filters of the query are pushed to the database.
     """
+    if not slices and not (key and bounds):
+        raise ValueError(f"{table}: name slices, or a numeric key and its bounds")
     properties = {"fetchsize": "10000", **options}
     url = properties.pop("url")
     if slices:
         source = spark.read.jdbc(url, table, predicates=slices, properties=properties)
     else:
-        source = spark.read.jdbc(url, table, properties=properties)
+        lower, upper, parts = bounds
+        source = spark.read.jdbc(
+            url, table, column=key, lowerBound=lower, upperBound=upper, numPartitions=parts, properties=properties
+        )
     return conform(source, schema)

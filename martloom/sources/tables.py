@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,18 +20,27 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table; one that was never loaded reads as empty."""
-    try:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_table(spark, schema)
+    return empty_table(spark, schema)
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All months of a partitioned table, without the folder column."""
+def read_partitioned(
+    spark: SparkSession, path: str, schema: StructType, keep_month: bool = False
+) -> DataFrame:
+    """All months of a partitioned table, as a rule without the folder column."""
     with_month = StructType([*schema.fields, StructField(MONTH, StringType())])
-    return read_table(spark, path, with_month).drop(MONTH)
+    table = read_table(spark, path, with_month)
+    return table if keep_month else table.drop(MONTH)
+
+
+def remove_months(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Removes the folders of the given months; no job is run."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={name}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def read_months(

@@ -191,6 +191,43 @@ def test_month_load_from_an_empty_source_changes_nothing(spark, frame, tmp_path)
     assert read_partitioned(spark, path, DATED).count() == 5
 
 
+def test_a_stray_row_fails_the_load_before_anything_is_swapped(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    loads.load_all_months(frame(DAYS, *OLD), path, DATED, "d")
+    before = rows(read_partitioned(spark, path, DATED))
+    # A source whose rows change between the filter and the write, as a view over a busy table may.
+    monkeypatch.setattr(loads, "in_window", lambda *_: F.lit(True))
+    with pytest.raises(PySparkException, match="outside"):
+        loads.load_months(frame(DAYS, *NEW), path, DATED, "d", "2021-01-01", "2021-02-28")
+    assert rows(read_partitioned(spark, path, DATED)) == before
+
+
+def test_rows_outside_the_declared_months_go_to_the_default_folder(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    loads.load_all_months(frame(DAYS, *OLD), path, DATED, "d", "2021-01-01", "2021-03-01")
+    found = read_partitioned(spark, path, DATED, keep_month=True)
+    assert sorted((r.n, r.month) for r in found.collect()) == [
+        (1, "def"), (2, "202101"), (3, "202102"), (4, "def"), (5, "def"),
+    ]
+
+
+def test_a_load_knows_its_columns(frame, tmp_path):
+    df = frame("k string, n int", ("a", 1), ("b", None), ("b", 7))
+    stats = loads.insert_select(df, str(tmp_path / "t"), KEYED).stats
+    assert stats["k"] == loads.ColumnStats(0, "a", "b", 2)
+    assert stats["n"] == loads.ColumnStats(1, "1", "7", 2)
+
+
+def test_declared_months_extend_past_the_needed_date(frame):
+    def starts(needed):
+        bounds = frame("a date, b date, c date", (day("2021-01-05"), day("2021-01-20"), day(needed)))
+        made = partitions.declared_months(bounds, "a", "b", "c")
+        return [str(r[0])[:7] for r in made.orderBy("partition_start").collect()]
+
+    assert starts("2021-01-31") == ["2021-01"] == starts("2020-06-01")
+    assert starts("2021-02-01") == ["2021-01", "2021-02"]
+
+
 def test_reading_months_prunes_folders(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     loads.load_all_months(frame(DAYS, *OLD), path, DATED, "d")

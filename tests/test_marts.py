@@ -46,7 +46,7 @@ def test_unreadable_rows_are_set_aside_not_lost(frame):
         (None, "20210105", "c6", "P", "5", "1"),
     )
     assert [r.coupon_nm for r in refine.coupons_ods(raw).collect()] == ["c1", "c4"]
-    assert [r.coupon_nm for r in refine.coupons_rejects(raw).collect()] == ["c2", "c3"]
+    assert [r.coupon_nm for r in refine.coupons_rejects(raw).rows.collect()] == ["c2", "c3"]
 
 
 def test_traffic_days(frame):
@@ -56,7 +56,7 @@ def test_traffic_days(frame):
         ("M1", "31.02.2021", "101500", "f", 4),
     )
     assert [r.calday for r in refine.traffic_ods(raw).collect()] == [D1, None]
-    assert [r.quantity for r in refine.traffic_rejects(raw).collect()] == [4]
+    assert [r.quantity for r in refine.traffic_rejects(raw).rows.collect()] == [4]
 
 
 def test_promos(frame):
@@ -67,7 +67,7 @@ def test_promos(frame):
         ("P3", "t", "001", "x", money("1.00")),
     )
     assert [r.promo_id for r in refine.promos_ods(raw).collect()] == ["P1"]
-    assert [r.promo_id for r in refine.promos_rejects(raw).collect()] == ["P3"]
+    assert [r.promo_id for r in refine.promos_rejects(raw).rows.collect()] == ["P3"]
 
 
 def test_items_without_header_drop_and_repeated_headers_repeat(frame):

@@ -142,9 +142,9 @@ def house(spark, sources, tmp_path_factory):
 
 
 def test_run_sets_unreadable_rows_aside(spark, house):
-    assert spark.read.parquet(house.path("rejects/traffic")).count() == 1
+    assert spark.read.parquet(house.path("rejects/ods_traffic")).count() == 1
     errors = house.journal.read().filter("is_error").collect()
-    assert [e.log_location for e in errors] == ["traffic"]
+    assert [e.log_location for e in errors] == ["ods_traffic"]
 
 
 def test_layers_of_a_run(spark, house, sources):

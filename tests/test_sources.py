@@ -136,11 +136,20 @@ def test_jdbc_options_and_types(frame):
     found = jdbc.read_jdbc(reader, options, "bills_head", schemas.BILLS_HEAD, slices)
     assert rows(found) == [(5, "M1", day("2021-01-01"))]
     assert found.schema["billnum"].dataType == schemas.BILLS_HEAD["billnum"].dataType
-    jdbc.read_jdbc(reader, options, "bills_head", schemas.BILLS_HEAD)
+    jdbc.read_jdbc(reader, options, "bills_head", schemas.BILLS_HEAD, key="billnum", bounds=(0, 900, 9))
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(reader, options, "bills_head", schemas.BILLS_HEAD)
     properties = {"fetchsize": "10000", "user": "u", "driver": "some.Driver"}
     assert reader.calls == [
         ("jdbc:any:db", "bills_head", {"predicates": slices, "properties": properties}),
-        ("jdbc:any:db", "bills_head", {"properties": properties}),
+        (
+            "jdbc:any:db",
+            "bills_head",
+            {
+                "column": "billnum", "lowerBound": 0, "upperBound": 900, "numPartitions": 9,
+                "properties": properties,
+            },
+        ),
     ]
     assert options["url"] == "jdbc:any:db"
 
@@ -151,8 +160,9 @@ def test_a_mart_is_read_back_in_its_types(frame):
         " plan_exec_perc double, material string",
         ("R1", "A", "1", 10, 20, 50.0, "m1"),
     )
+    regions = [f"region = 'R{i}'" for i in range(5)]
     mart = jdbc.read_jdbc(
-        Reader(arrived), {"url": "jdbc:any:db"}, "plan_fact_202101", schemas.SERVING_PLAN_FACT
+        Reader(arrived), {"url": "jdbc:any:db"}, "plan_fact_202101", schemas.SERVING_PLAN_FACT, regions
     )
     assert [f.dataType for f in mart.schema] == [f.dataType for f in schemas.SERVING_PLAN_FACT]
     assert rows(mart) == [("R1", "A", "1", 10, 20, 50.0, "m1")]
