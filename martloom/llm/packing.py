@@ -12,6 +12,8 @@ in the plan by their number among the pieces of their length.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -26,9 +28,11 @@ from pyspark.sql import functions as F
 from martloom.llm.common import by_batches, slices, stored, texts_of
 
 # Entries after which a task starts its table of words anew.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 600_000
 # A longer word is encoded without being remembered.
 LONG_WORD = 64
+# A word of plain Latin letters and ASCII signs after it: two groups of tokens that never merge.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u012f\u0131-\u024f]*)([!-/:-@\[-`{-~]*)")
 # Counts (one per task and length, 24 bytes each) that are broadcast.
 FEW_COUNTS = 500_000
 
@@ -37,8 +41,9 @@ class WordTable:
     """Ids of the words of a text, each distinct word encoded by the library once.
 
     White space ends every token of this kind of vocabulary and is dropped, so
-    the ids of a text are those of its words in order. Words are lower-cased
-    first only where that agrees with the vocabulary's own lower-casing.
+    the ids of a text are those of its words in order. A word of Latin letters,
+    signs, or letters and then signs is two pre-tokens at most, whose ids are
+    remembered as well; any other word goes to the library as it is.
     """
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
@@ -46,6 +51,7 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         probe = "Ab cD\\n12,x. it's"
         apart = [i for w in probe.split() for i in self._encode([w])[0]]
@@ -53,6 +59,33 @@ class WordTable:
             raise ValueError(f"{path} is no vocabulary of words")
         self.entries = entries
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        # How byte-level vocabularies spell bytes: visible ones as themselves, the others from 256 on.
+        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in visible]
+        self.spelling = {b: chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)}
+        probes = ["Hello,", "naïve!!", "ÆØÅ", "groß)", "dž%%%", "'", "it's", "a_b", "İx", "x²", "×"]
+        self.by_parts = True
+        wanted = (np.array(i, "<u4").tobytes() for i in self._encode(probes))
+        self.by_parts = all(self._word(w) in (None, ids) for w, ids in zip(probes, wanted))
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one run of letters or signs, straight from the merges."""
+        ids = self.parts.get(part)
+        if ids is None:
+            spelled = part if part.isascii() else "".join(map(self.spelling.__getitem__, part.encode()))
+            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word whose pre-tokens are plain to see; None for any other word."""
+        found = _PLAIN.fullmatch(word) if self.by_parts else None
+        if not found or not word:
+            return b"" if not word else None
+        letters, signs = found.groups()
+        if letters and not letters.isalpha():
+            return None
+        return (self._part(letters.lower()) if letters else b"") + (self._part(signs) if signs else b"")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -62,10 +95,14 @@ class WordTable:
         known = self.known
         if len(known) > self.entries:
             known.clear()
+            self.parts.clear()
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         words = [[] if i in whole else self._words(t) for i, t in enumerate(texts)]
-        new = [w for w in set(chain.from_iterable(words)) if w not in known]
-        known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, self._encode(new)))
+        new = set(chain.from_iterable(words)).difference(known)
+        plain = {w: self._word(w) for w in new}
+        other = [w for w, ids in plain.items() if ids is None]
+        known.update(plain)
+        known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(other, self._encode(other)))
         found = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in words]
         for i in whole:
             found[i] = np.array(self._encode([texts[i]])[0], "<u4")
