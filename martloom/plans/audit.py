@@ -72,11 +72,32 @@ class Journal:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self.held: list[tuple] | None = None
 
     def write(self, *raw: tuple[str, str | None, str | None]) -> None:
         """Store entries given as (type, message, location)."""
         now = dt.datetime.now(dt.timezone.utc)
         rows = [(f"{uuid.uuid4()}", now, check_type(kind), *texts) for kind, *texts in raw]
+        if self.held is None:
+            self._store(rows)
+        else:
+            self.held += rows
+
+    @contextmanager
+    def together(self) -> Iterator[None]:
+        """Store the entries of several loads in one write, also when one of them fails."""
+        if self.held is not None:
+            yield
+            return
+        self.held = []
+        try:
+            yield
+        finally:
+            rows, self.held = self.held, None
+            if rows:
+                self._store(rows)
+
+    def _store(self, rows: list[tuple]) -> None:
         # An Arrow table becomes rows of the plan itself: no Python worker is started.
         columns = [pa.array(v, t) for v, t in zip(zip(*rows), _ENTRY.types)]
         given = self.spark.createDataFrame(pa.Table.from_arrays(columns, schema=_ENTRY))

@@ -10,7 +10,6 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martloom import schemas
@@ -22,12 +21,17 @@ from martloom.functions.text import (
     sales_view_name,
 )
 from martloom.operators.loads import LoadResult, create_table_as, full_load, load_months
-from martloom.operators.partitions import month_partitions
 from martloom.plans import refine
 from martloom.plans.audit import ERROR, Journal
 from martloom.plans.plan_fact import plan_fact_mart, plan_fact_view
 from martloom.plans.sales_mart import sales_mart_daily, sales_mart_view
-from martloom.sources.tables import read_months, read_partitioned, read_table
+from martloom.sources.tables import (
+    declare_folders,
+    declared_folders,
+    read_months,
+    read_partitioned,
+    read_table,
+)
 
 Day = dt.date | str
 
@@ -79,20 +83,16 @@ class Warehouse:
             create_table_as(rejects.rows, path)
             self.journal.write((ERROR, f"{rejects.found} rows set aside in {path}", table))
 
-    def declare(self, table: str, start: Day, end: Day) -> DataFrame:
-        """Months declared for a table, extended so that the window lies within them.
-
-        One row per month; rows of a whole load outside of them go to the default partition.
-        """
-        path = self.path(f"partitions/{table}")
-        known = [r["partition_start"] for r in read_table(self.spark, path, schemas.PARTITIONS).collect()]
+    def declare(self, table: str, start: Day, end: Day) -> list[str]:
+        """Months declared for a table, by folder, extended without gaps to hold the window."""
+        path = self.path(table)
         lo, hi = month_window(start, end)
-        first, last = min([lo, *known]), max([hi, *(next_month(day) for day in known)])
-        months = months_between(first, last)
-        if set(months) != set(known):
-            span = self.spark.range(1).select(F.lit(first).alias("lo"), F.lit(months[-1]).alias("hi"))
-            month_partitions(span).coalesce(1).write.mode("overwrite").parquet(path)
-        return read_table(self.spark, path, schemas.PARTITIONS)
+        known = declared_folders(self.spark, path)
+        days = [dt.datetime.strptime(name, "%Y%m").date() for name in known]
+        months = months_between(min([lo, *days]), max([hi, *map(next_month, days)]))
+        names = [f"{first:%Y%m}" for first in months]
+        declare_folders(self.spark, path, [name for name in names if name not in known])
+        return names
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)
@@ -126,6 +126,14 @@ def run_sales_pipeline(
     ``sources`` holds coupons, stores, promos, promo_types, traffic, bills_head
     and bills_item as they arrive.
     """
+    with house.journal.together():
+        _load_sales_layers(house, sources, start, end)
+        return refresh_sales_mart(house, start, end)
+
+
+def _load_sales_layers(
+    house: Warehouse, sources: Mapping[str, DataFrame], start: Day, end: Day
+) -> None:
     read = house.read
     for table, schema in (
         ("coupons", schemas.COUPONS),
@@ -169,7 +177,6 @@ def run_sales_pipeline(
         "dds_bills", schemas.DDS_BILLS, refine.bills_dds(window, heads), "calday", start, end,
         guard=items,
     )
-    return refresh_sales_mart(house, start, end)
 
 
 def _retype(

@@ -115,9 +115,6 @@ SERVING_SALES_REPORT = table(
     "avg_materials float, conversion float, avg_bill float, avg_revenue_per_visitor float"
 )
 
-# Months declared for a partitioned table
-PARTITIONS = table("partition_start date, partition_end date")
-
 # Load journal
 AUDIT = table(
     "log_id text!, log_timestamp timestamp!, log_type text!, log_msg text!,"

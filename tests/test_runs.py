@@ -12,7 +12,7 @@ from martloom.operators.loads import LoadResult
 from martloom.plans import audit, pipeline, refine, sales_mart, serving
 from martloom.session import fresh_path, shared_dir
 from martloom.sources import delimited
-from martloom.sources.tables import read_partitioned
+from martloom.sources.tables import declared_folders, read_partitioned
 
 FOLDER = "/root/testdata/sf0.001"
 START, END = "1995-01-01", "1995-02-28"
@@ -147,6 +147,23 @@ def test_run_sets_unreadable_rows_aside(spark, house):
     assert [e.log_location for e in errors] == ["ods_traffic"]
 
 
+def test_a_failed_run_still_has_its_journal(spark, sources, tmp_path):
+    house = pipeline.Warehouse(spark, str(tmp_path / "house"))
+    broken = {**sources, "promos": sources["promos"].drop("discount")}
+    with pytest.raises(Exception):
+        pipeline.run_sales_pipeline(house, broken, START, END)
+    found = {r.log_location: r.errors for r in house.journal.outcomes().collect()}
+    assert found == {"coupons": 0, "stores": 0, "promos": 1}
+
+
+def test_loads_declare_their_months(spark, house):
+    assert house.declare("dds_bills", START, END) == ["199501", "199502"]
+    assert declared_folders(spark, house.path("dds_bills")) == ["199501", "199502"]
+    other = pipeline.Warehouse(spark, f"{house.root}/other")
+    assert other.declare("t", "2021-03-05", "2021-03-06") == ["202103"]
+    assert other.declare("t", "2021-01-05", "2021-01-06") == ["202101", "202102", "202103"]
+
+
 def test_layers_of_a_run(spark, house, sources):
     window = f"calday between date'{START}' and date'{END}'"
     items = sources["bills_item"].filter(window)
