@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, topk, toxicity
+from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, topk, toxicity, url_filters
 from martloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,45 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), vocabulary, keep_ids=False)
 
 
+# The pages have no fetch days and come without lists, so both are derived from them: days from the
+# page's number, and entries from the hosts and paths that occur, by two digits of an MD5.
+FIRST_DAY = "2024-01-01"
+
+
+def _digit(text: str, at: int) -> str:
+    return f"(ascii(substr(md5({text}), {at}, 1)) * 7 + ascii(substr(md5({text}), {at + 1}, 1)) * 31)"
+
+
+# kind, pattern over (host, domain, section), how often (one in n), then (action, days after the first) in turn.
+LISTS = (
+    ("host", "host", 3, (("block", 0), ("remove", 60), ("block", 120))),
+    ("domain", "domain", 4, (("block", 0), ("allow", 90), ("allow", 90))),
+    ("prefix", "host || '/' || section", 5, (("allow", 0), ("block", 200), ("remove", 200))),
+)
+
+
+def _entries(pages: DataFrame) -> DataFrame:
+    """Log of list entries for hosts, their domains, and sections of hosts."""
+    host = url_filters.host_of(F.col("url"))
+    named = pages.select(host.alias("host"), F.get(url_filters.segments_of(F.col("url")), F.lit(0)).alias("section"))
+    named = named.filter("host is not null").distinct()
+    named = named.withColumn("domain", F.substring_index("host", ".", -3))
+    logs = []
+    for kind, pattern, one_in, steps in LISTS:
+        patterns = named.selectExpr(f"{pattern} as pattern").filter("pattern is not null").distinct()
+        chosen = patterns.filter(f"{_digit('pattern', 1)} % {one_in} = 0")
+        for action, days in steps:
+            day = f"date_add(date '{FIRST_DAY}', {_digit('pattern', 3)} % 200 + {days})"
+            logs.append(chosen.selectExpr(f"'{kind}' as kind", "pattern", f"'{action}' as action", f"{day} as day"))
+    return reduce(DataFrame.unionByName, logs)
+
+
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    fetched = F.expr(f"date_add(date '{FIRST_DAY}', cast(page_id % 366 as int))")
+    return url_filters.filter_urls(pages.withColumn("fetched", fetched), _entries(pages))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = _labelled(spark, folder, "quality").filter(fold("doc_id", 4) != 2)
     found = quality.score_quality(documents(spark, folder), quality.fit_quality(rows))
@@ -97,6 +137,7 @@ def llm_queries() -> dict[str, Query]:
             op5_near_dedup,
             op6_exact_dedup,
             op7_best_fit_packing,
+            op8_url_filters,
             op9_quality,
             op10_sentencepiece,
         )
@@ -106,7 +147,57 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {"op2_exact_topk": OP2_SQL, "op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op2_exact_topk": OP2_SQL, "op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op8_url_filters": OP8_SQL}
+
+
+_WEB = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?([^/?#:@]+)(?::[0-9]*)?([^?#]*)"
+_LOGS = " union all ".join(
+    f"""select {url_filters.KINDS.index(kind)} as kind, pattern, {url_filters.ACTIONS.index(action)} as effect,
+        date '{FIRST_DAY}' + cast({_digit('pattern', 3)} % 200 + {days} as int) as day
+    from (select distinct {pattern} as pattern from named) where {_digit('pattern', 1)} % {one_in} = 0"""
+    for kind, pattern, one_in, steps in LISTS
+    for action, days in steps
+)
+OP8_SQL = f"""
+with parts as (
+    select page_id, url, date '{FIRST_DAY}' + cast(page_id % 366 as int) as fetched,
+        nullif(regexp_replace(lower(regexp_extract(url, '{_WEB}', 1)), '\\.$', ''), '') as host,
+        list_filter(string_split(regexp_extract(url, '{_WEB}', 2), '/'), lambda s: s <> '') as segments
+    from pages
+),
+captures as (select * replace (if(length(host) <= 253, host, null) as host) from parts),
+named as (
+    select host, segments[1] as section,
+        array_to_string(string_split(host, '.')[-3:], '.') as domain
+    from captures where host is not null
+),
+log as (select kind, pattern, day, max(effect) as effect from ({_LOGS}) where pattern is not null group by all),
+keys as (
+    select page_id, url, fetched, 0 as kind, n as parts, array_to_string(string_split(host, '.')[-n:], '.') as pattern
+    from captures, unnest(range(least(2, len(string_split(host, '.'))), len(string_split(host, '.')) + 1)) as t(n)
+    where host is not null
+    union all
+    select page_id, url, fetched, 1, len(string_split(host, '.')), host from captures where host is not null
+    union all
+    select page_id, url, fetched, 2, n, host || '/' || array_to_string(segments[1:n], '/')
+    from captures, unnest(range(1, least(3, len(segments)) + 1)) as t(n)
+    where host is not null
+),
+active as (
+    select k.page_id, k.url, k.fetched, k.kind, k.parts, k.pattern, l.effect, l.day
+    from keys k asof join log l on k.kind = l.kind and k.pattern = l.pattern and k.fetched >= l.day
+),
+decided as (
+    select page_id, url, fetched, max({{'kind': kind, 'parts': parts, 'effect': effect, 'pattern': pattern, 'day': day}}) as rule
+    from active where effect > 0 group by all
+)
+select c.page_id, c.url, cast(c.fetched as date) as fetched, c.host,
+    case when c.host is null then 'invalid' when d.rule is null then 'unlisted'
+        when d.rule.effect = 2 then 'allowed' else 'blocked' end as verdict,
+    (['domain', 'host', 'prefix'])[d.rule.kind + 1] as rule_kind,
+    d.rule.pattern as rule_pattern, cast(d.rule.day as date) as rule_since
+from captures c left join decided d using (page_id, url, fetched)
+"""
 
 
 OP2_SQL = """

@@ -1,5 +1,6 @@
 """Odd input of every operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import datetime as dt
 import zlib
 
 import numpy as np
@@ -18,6 +19,7 @@ from martloom.llm import (
     sentencepiece_codec,
     topk,
     toxicity,
+    url_filters,
 )
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -197,3 +199,57 @@ def test_long_words_and_numbers_are_bounded():
     assert len(hashing.shingles(f"{word} a b {word} a b", 3)) == 3
     assert len(hashing.shingles(" ".join(map(str, range(20_000))), 4)) == 19_997
     assert np.array_equal(hashing.shingles("A b\tC  d", 5), hashing.shingles("a b c d", 4))
+
+
+def _filtered(spark, captures, entries):
+    given = spark.createDataFrame(captures, "page_id long, url string, fetched date, kind string, host string")
+    log = spark.createDataFrame(entries, "kind string, pattern string, action string, day date")
+    return {r["page_id"]: r for r in url_filters.filter_urls(given, log).collect()}
+
+
+def test_url_filters_follow_the_list_as_of_each_day(spark):
+    jan, feb, mar = (dt.date(2024, m, 1) for m in (1, 2, 3))
+    entries = [
+        ("domain", "Bad.example", "block", jan),
+        ("domain", "bad.example", "remove", feb),
+        ("host", "www.bad.example", "allow", jan),
+        ("prefix", "www.bad.example/x/y", "block", jan),
+        ("prefix", "www.bad.example/x/y", "allow", mar),
+        ("prefix", "www.bad.example/x/y", "block", mar),
+        ("host", None, "block", jan),
+        ("host", "ok.example", "explode", jan),
+        ("colour", "ok.example", "block", jan),
+        ("host", "ok.example", "block", None),
+    ]
+    asked = [
+        ("http://a.b.bad.example/", jan, "blocked"),
+        ("http://a.b.bad.example/", feb, "unlisted"),
+        ("http://a.b.bad.example/", dt.date(2023, 12, 31), "unlisted"),
+        ("https://user@WWW.bad.example.:8080//x", jan, "allowed"),
+        ("http://www.bad.example/x/y/z?q", jan, "blocked"),
+        ("http://www.bad.example/x/y/z?q", mar, "allowed"),
+        ("http://www.bad.example/x/yy", jan, "allowed"),
+        ("http://bad.example", jan, "blocked"),
+        ("http://notbad.example", jan, "unlisted"),
+        ("http://ok.example", mar, "unlisted"),
+        ("http://bad.example", None, "unlisted"),
+        (None, jan, "invalid"),
+        ("", jan, "invalid"),
+        ("mailto:a@b", jan, "invalid"),
+        ("http://" + "a." * 200 + "bad.example/", jan, "invalid"),
+        ("http://bad.example/" + "s/" * 20_000, jan, "blocked"),
+    ]
+    captures = [(i, url, day, "k", "h") for i, (url, day, _) in enumerate(asked)]
+    found = _filtered(spark, captures, entries)
+    assert [found[i]["verdict"] for i in range(len(asked))] == [v for _, _, v in asked]
+    assert (found[0]["rule_kind"], found[0]["rule_pattern"], found[0]["rule_since"]) == ("domain", "bad.example", jan)
+    assert found[5]["rule_since"] == mar
+
+
+def test_url_filters_of_repeated_rows_and_empty_tables(spark):
+    day = dt.date(2024, 1, 1)
+    given = spark.createDataFrame([(1, "http://a.example", day)] * 3, "page_id long, url string, fetched date")
+    log = spark.createDataFrame([("host", "a.example", "block", day)] * 2, "kind string, pattern string, action string, day date")
+    assert [r["verdict"] for r in url_filters.filter_urls(given, log).collect()] == ["blocked"] * 3
+    assert [r["verdict"] for r in url_filters.filter_urls(given, log.limit(0)).collect()] == ["unlisted"] * 3
+    assert url_filters.filter_urls(given.limit(0), log).collect() == []
