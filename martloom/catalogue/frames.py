@@ -76,7 +76,7 @@ class Frames:
             "copy", F.expr("explode(sequence(0, if(l_partkey % 10 = 0, 1, 0)))")
         ).selectExpr(
             "plant",
-            "date_format(l_shipdate, 'yyyyMMdd') as calday",
+            "replace(cast(cast(l_shipdate as date) as string), '-', '') as calday",
             "lpad(cast(l_linenumber as string), 7, '0') as coupon_nm",
             "if(l_tax = 0.08 or l_discount < 0.05, 'UNKNOWN',"
             " 'PROMO' || cast(l_partkey % 60 as string)) as promo_id",

@@ -162,8 +162,13 @@ def coupons_dds(coupons: DataFrame, items: DataFrame, promos: DataFrame) -> Data
 def _one_per_price(lines: DataFrame, on: list[str]) -> DataFrame:
     """One line for all those of a bill and material with the same unit price."""
     price = ratio(F.col("rpa_sat"), F.col("qty")).alias("_price")
-    line = F.min(F.struct("rpa_sat", "qty")).alias("line")
-    return lines.groupBy(*on, price).agg(line).select(*on, "line.*")
+    # Of one unit price, amount and quantity rise together, or against each other
+    # below zero; plain extremes are aggregated by hash, a struct would be sorted.
+    merged = lines.groupBy(*on, price).agg(
+        F.min("qty").alias("qty"), F.min("rpa_sat").alias("_least"), F.max("rpa_sat").alias("_most")
+    )
+    amount = F.when(F.col("_price") < 0, F.col("_most")).otherwise(F.col("_least"))
+    return merged.select(*on, amount.alias("rpa_sat"), "qty")
 
 
 def discount_by_store(coupons: DataFrame) -> DataFrame:
