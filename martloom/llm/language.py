@@ -171,14 +171,20 @@ def keep_languages(
 ) -> DataFrame:
     """The rows, with the columns they came with, that have a language with a share of at least ``least_score``.
 
-    Texts that are null, empty or without letters are rejected.
+    Texts that are null, empty or without letters are rejected. A model that knows
+    no language rejects nothing else.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                shares = (mixture(sent.value, t) for t in texts_of(part, text_col))
-                yield part.filter(pa.array([max(m.values(), default=0.0) >= least_score for m in shares], pa.bool_()))
+                texts = texts_of(part, text_col)
+                if sent.value.languages:
+                    shares = (mixture(sent.value, t) for t in texts)
+                    keep = [max(m.values(), default=0.0) >= least_score for m in shares]
+                else:
+                    keep = [any(map(str.isalpha, t)) for t in texts]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return by_batches(docs, work, docs.schema)

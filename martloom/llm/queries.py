@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 import corpus_pipeline
 import public_tokenizers
@@ -91,14 +90,15 @@ def _entries(pages: DataFrame) -> DataFrame:
     named = pages.select(host.alias("host"), F.get(url_filters.segments_of(F.col("url")), F.lit(0)).alias("section"))
     named = named.filter("host is not null").distinct()
     named = named.withColumn("domain", F.substring_index("host", ".", -3))
-    logs = []
-    for kind, pattern, one_in, steps in LISTS:
-        patterns = named.selectExpr(f"{pattern} as pattern").filter("pattern is not null").distinct()
-        chosen = patterns.filter(f"{_digit('pattern', 1)} % {one_in} = 0")
-        for action, days in steps:
-            day = f"date_add(date '{FIRST_DAY}', {_digit('pattern', 3)} % 200 + {days})"
-            logs.append(chosen.selectExpr(f"'{kind}' as kind", "pattern", f"'{action}' as action", f"{day} as day"))
-    return reduce(DataFrame.unionByName, logs)
+    listed = [
+        f"struct('{kind}' as kind, {pattern} as pattern, {one_in} as one_in, "
+        f"array({', '.join(f"struct('{action}' as action, {days} as days)" for action, days in steps)}) as steps)"
+        for kind, pattern, one_in, steps in LISTS
+    ]
+    patterns = named.selectExpr(f"inline(array({', '.join(listed)}))").filter("pattern is not null").distinct()
+    chosen = patterns.filter(f"{_digit('pattern', 1)} % one_in = 0").selectExpr("kind", "pattern", "inline(steps)")
+    day = f"date_add(date '{FIRST_DAY}', {_digit('pattern', 3)} % 200 + days) as day"
+    return chosen.selectExpr("kind", "pattern", "action", day)
 
 
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:

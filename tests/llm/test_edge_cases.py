@@ -132,6 +132,12 @@ def test_nothing_to_learn_from(spark, odd):
     assert {r["lang_pred"] for r in language.detect_languages(odd, model).collect()} == {"und"}
 
 
+def test_a_model_without_languages_rejects_only_texts_without_letters(spark, odd):
+    model = language.fit_languages(odd.withColumn("lang", F.lit(None).cast("string")))
+    kept = language.keep_languages(odd, model).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "2", "6", "7", "None"]
+
+
 def test_drop_exact_duplicates_keeps_one_of_repeated_rows(odd):
     more = odd.withColumn("source", F.lit("s")).withColumn("digest", F.lit(1))
     kept = exact_dedup.drop_exact_duplicates(more)
