@@ -8,10 +8,11 @@ start, so copies are never paired.
 
 Lists are kept short by order: a class is listed only under its rarest values,
 as many as any pair that shares half a sketch must have in common with. Groups
-of many different near copies do have long lists. There, a few members of each
-list are compared with all others first and what they connect is contracted;
-only pairs from different components are compared in the end. That last step
-always runs, over all lists, so no link is lost to the order of the work.
+of many different near copies do have long lists. Classes that long lists hold
+together form a family, which is cut into blocks; a task compares all full sets
+of two blocks by a matrix product and returns links that connect what is linked,
+fewer than it has classes. So no pair that is not a link is ever written for a
+family, and no link is lost.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,12 @@ SKETCH = 64
 FEW_IDS = 500_000
 # Classes with at least this share of all rows; at most 1 / HOT_SHARE exist.
 HOT_SHARE = 1e-3
-# Pairs per list entry up to which lists are compared without contraction first.
-PAIRS_PER_ENTRY = 8
-STAR_ROUNDS = 6
-# Lists of one group take different centres, this many kinds of them.
-CENTRES = 4
+# Entries up to which all pairs of a list are written; longer lists form families.
+SHORT = 8
+# Classes and shingles of a block of a family, about.
+BLOCK_CLASSES, BLOCK_SHINGLES = 2048, 1 << 20
+# Columns of the matrices that are multiplied at a time.
+COLUMNS = 1 << 13
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -109,15 +112,29 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(2 * F.size(common) >= F.size(union)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have a Jaccard similarity of at least ``percent`` hundredths."""
+def _sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Full sets (cid, data) of the given documents, as sorted 64-bit hashes."""
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = [hashing.shingles(t, words).tobytes() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("cid"), pa.array(sets, pa.binary())], names=["cid", "data"])
 
+    ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    slim = docs.select(F.col(id_col).cast("bigint").alias("cid"), F.col(text_col).alias("text"))
+    wanted = slim.join(ids, "cid", "left_semi")
+    return stored(by_batches(wanted, work, "cid bigint, data binary").dropDuplicates(["cid"]), "sets")
+
+
+def _alike(both: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of x and y elements, ``both`` of them common, have the similarity."""
+    return 100 * both >= percent * (x + y - both)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have a Jaccard similarity of at least ``percent`` hundredths."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column("da"), batch.column("db")
@@ -125,55 +142,105 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, wor
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+                keep.append(bool(_alike(both, len(x), len(y), percent)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = stored(pairs, "candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-    slim = docs.select(F.col(id_col).cast("bigint").alias("cid"), F.col(text_col).alias("text"))
-    wanted = slim.join(ids, "cid", "left_semi")
-    sets = stored(by_batches(wanted, to_sets, "cid bigint, data binary").dropDuplicates(["cid"]), "sets")
     joined = pairs.join(sets.toDF("a", "da"), "a").join(sets.toDF("b", "db"), "b")
     return by_batches(joined.select("a", "b", "da", "db"), compare, "a bigint, b bigint")
 
 
-def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Lists with the component (comp) of each entry, and the component most entries of a list have (big)."""
-    if labels is None:
-        marked = lists.withColumn("comp", F.col("cid"))
-    else:
-        marked = lists.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
-        marked = marked.withColumn("comp", F.coalesce("label", "cid")).drop("label")
-    sizes = marked.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("c"))
-    lead = sizes.groupBy("v").agg(
-        F.max(F.struct("c", F.col("comp").alias("big"))).alias("top"), F.sum("c").alias("entries"), F.count(F.lit(1)).alias("comps")
+def _split(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of the short lists whose sizes allow the similarity; families (cid, family) of the long ones."""
+    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("entries"), F.min("cid").alias("head"))
+    marked = stored(lists.join(sizes.filter("entries > 1"), "v"), "lists")
+    short = marked.filter(F.col("entries") <= SHORT).select("v", "cid", "n")
+    other = short.toDF("v", "y", "yn")
+    close = 100 * F.least("n", "yn") >= percent * F.greatest("n", "yn")
+    pairs = short.join(other, "v").filter(F.col("cid") < F.col("y")).filter(close)
+    edges = marked.filter(F.col("entries") > SHORT).select(F.col("head").alias("a"), F.col("cid").alias("b"))
+    families = components(edges).select(F.col("id").alias("cid"), F.col("label").alias("family"))
+    return pairs.select(F.col("cid").alias("a"), F.col("y").alias("b")).distinct(), families
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other."""
+    values = [np.unique(np.concatenate(side)) for side in (left, right)]
+    shared = np.intersect1d(*values, assume_unique=True)
+    places = []
+    for side in (left, right):
+        rows = np.repeat(np.arange(len(side)), [len(s) for s in side])
+        flat = np.concatenate(side)
+        at = np.searchsorted(shared, flat)
+        known = at < len(shared)
+        known[known] = shared[at[known]] == flat[known]
+        order = np.argsort(at[known], kind="stable")
+        places.append((rows[known][order], at[known][order]))
+    total = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(shared), COLUMNS):
+        pair = []
+        for (rows, at), side in zip(places, (left, right)):
+            first, last = np.searchsorted(at, [start, start + COLUMNS])
+            matrix = np.zeros((len(side), min(COLUMNS, len(shared) - start)), np.float32)
+            matrix[rows[first:last], at[first:last] - start] = 1
+            pair.append(matrix)
+        total += pair[0] @ pair[1].T
+    # Counts below 2**24 are exact in single precision; a block has fewer common shingles.
+    return total.astype(np.int64)
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (row, column) that connect all that a matrix of links connects, and no more."""
+    new_row, new_column = np.ones(linked.shape[0], bool), np.ones(linked.shape[1], bool)
+    edges = []
+    for start in np.flatnonzero(linked.any(axis=1)):
+        if not new_row[start]:
+            continue
+        new_row[start] = False
+        rows = [start]
+        while rows:
+            row = rows.pop()
+            for column in np.flatnonzero(linked[row] & new_column):
+                new_column[column] = False
+                edges.append((row, column))
+                for other in np.flatnonzero(linked[:, column] & new_row):
+                    new_row[other] = False
+                    edges.append((other, column))
+                    rows.append(other)
+    return edges
+
+
+def _family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is linked within each family."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        sides = []
+        for name in ("i", "j"):
+            side = table.filter(pc.equal(table.column("block"), table.column(name)))
+            data = side.column("data").combine_chunks()
+            sides.append((side.column("cid").to_numpy(), [np.frombuffer(d.as_buffer(), np.uint64) for d in data]))
+        (a_ids, a_sets), (b_ids, b_sets) = sides
+        edges = []
+        if len(a_sets) and len(b_sets):
+            x, y = (np.array([len(s) for s in side], np.int64) for side in (a_sets, b_sets))
+            both = _common(a_sets, b_sets)
+            linked = _alike(both, x[:, None], y[None, :], percent) & (a_ids[:, None] != b_ids[None, :])
+            edges = _forest(linked)
+        rows, columns = (np.array([e[k] for e in edges], np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a_ids[rows], pa.int64()), "b": pa.array(b_ids[columns], pa.int64())})
+
+    held = sets.join(families, "cid").withColumn("n", F.length("data") / 8)
+    sizes = held.groupBy("family").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
+    many = F.ceil(F.greatest(F.col("classes") / BLOCK_CLASSES, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = stored(sizes.select("family", many.alias("blocks")), "families")
+    sizes = F.broadcast(sizes) if sizes.count() <= FEW_IDS else sizes
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    placed = held.join(sizes, "family").select("family", "cid", "data", block.alias("block"), "blocks")
+    # Each class meets every block of its family once.
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = met.select(
+        "family", "cid", "data", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-    # A list within one component has nothing more to tell.
-    lead = lead.filter("comps > 1").selectExpr("v", "top.big as big", "entries", "entries - top.c as others")
-    return marked.join(lead, "v")
-
-
-def _centre_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Each list's centre, from outside its largest component, with all other components' entries."""
-    order = F.xxhash64(F.lit(turn), F.pmod("v", F.lit(CENTRES)), "cid")
-    outside = lists.filter("comp <> big").groupBy("v")
-    centres = outside.agg(F.min(F.struct(order.alias("o"), "cid", "comp", "n")).alias("t"))
-    centres = centres.selectExpr("v", "t.cid as c_cid", "t.comp as c_comp", "t.n as c_n")
-    return lists.join(centres, "v").filter("comp <> c_comp").select(F.col("c_cid").alias("x"), F.col("c_n").alias("xn"), F.col("cid").alias("y"), F.col("n").alias("yn"))
-
-
-def _cross_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of entries of different components."""
-    left = lists.filter("comp <> big").select("v", F.col("cid").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"))
-    right = lists.select("v", "big", F.col("cid").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"))
-    return left.join(right, "v").filter("xc <> yc and (yc = big or x < y)").select("x", "xn", "y", "yn")
-
-
-def _distinct_pairs(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) whose set sizes allow the similarity."""
-    fits = pairs.filter(100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
-    return fits.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return units.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -192,25 +259,14 @@ def near_duplicates(
     """
     members = stored(_members(docs, id_col, text_col, words), "members")
     classes = members.filter("sketch is not null").dropDuplicates(["cid"]).select("cid", "n", "sketch")
-    lists = stored(_postings(classes), "lists")
-    total, links, labels = lists.count(), None, None
-    for turn in range(STAR_ROUNDS + 1):
-        current = stored(_labelled(lists, labels), "lists")
-        work = current.agg(F.sum(F.when(F.col("comp") != F.col("big"), F.col("entries")))).first()[0] or 0
-        if not work:
-            break
-        last = work <= PAIRS_PER_ENTRY * total or turn == STAR_ROUNDS
-        pairs = _distinct_pairs(_cross_pairs(current) if last else _centre_pairs(current, turn), percent)
-        found = _verified(_estimated(pairs, classes), docs, id_col, text_col, words, percent)
-        links = found if links is None else links.unionByName(found)
-        links = stored(links, "links")
-        labels = components(links)
-        if last:
-            break
-    answer = F.col("cid")
-    if labels is not None:
-        members = members.join(labels.select(F.col("id").alias("cid"), "label"), "cid", "left")
-        answer = F.coalesce("label", "cid")
+    pairs, families = _split(_postings(classes), percent)
+    pairs, families = stored(_estimated(pairs, classes), "candidates"), stored(families, "families")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(families.select("cid")).distinct()
+    sets = _sets(ids, docs, id_col, text_col, words)
+    links = _verified(pairs, sets, percent).unionByName(_family_links(families, sets, percent))
+    labels = components(links)
+    members = members.join(labels.select(F.col("id").alias("cid"), "label"), "cid", "left")
+    answer = F.coalesce("label", "cid")
     return members.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

@@ -31,7 +31,7 @@ def run(spark, name):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in (1, 2, 3, 4, 5, 6, 7, 9, 10)]
+    names = [f"op{n}_" for n in range(1, 11)]
     assert all(sum(q.startswith(n) for q in contract.queries()) == 1 for n in names)
     assert "pipeline" in contract.queries() and corpus_pipeline.ORACLE_SQL is None
     assert set(llm_sql()) <= set(contract.oracle_sql())
@@ -128,10 +128,12 @@ def test_near_duplicates_equal_brute_force(spark, docs):
         assert found[i]["component_id"] == label[i] and found[i]["kept"] == (i == label[i])
 
 
-@pytest.mark.parametrize("per_entry", [8, 0])
-def test_large_group_of_different_near_copies(spark, monkeypatch, per_entry):
-    """With and without contraction of long lists before all pairs are compared."""
-    monkeypatch.setattr(near_dedup, "PAIRS_PER_ENTRY", per_entry)
+@pytest.mark.parametrize("short,block,columns", [(8, 2048, 1 << 13), (1, 16, 7), (1000, 2048, 1 << 13)])
+def test_large_group_of_different_near_copies(spark, monkeypatch, short, block, columns):
+    """By families of one block and of many small ones, and by pairs of lists alone."""
+    monkeypatch.setattr(near_dedup, "SHORT", short)
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(near_dedup, "COLUMNS", columns)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(150)]
     texts = {}
