@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,6 +14,7 @@ from martloom import schemas
 from martloom.catalogue.frames import Frames
 from martloom.functions import dates, text
 from martloom.operators import filters, loads, lookup, partitions, quality, shards, stats
+from martloom.operators.joins import fact_join
 from martloom.plans import pipeline, plan_fact, refine, sales_mart, serving
 from martloom.session import fresh_path
 from martloom.sources import delimited
@@ -317,6 +319,21 @@ def plan_fact_copy(f):
     return f.spark.read.parquet(path).drop("bucket")
 
 
+@query
+def colocated_join(f):
+    """Bills of both facts from tables bucketed alike, totalled without a shuffle."""
+    run = uuid.uuid4().hex
+    stored = []
+    for name, fact in (("items", f.bills_item), ("heads", f.bills_head)):
+        path = fresh_path(f.spark, name)
+        stored.append(loads.save_bucketed(fact, f"{name}_{run}", path, ["billnum"], 8))
+    items, heads = stored
+    joined = fact_join(items, heads.select("billnum", "plant"), ["billnum"])
+    return joined.groupBy("billnum", "plant").agg(
+        F.count(F.lit(1)).alias("item_count"), F.sum("rpa_sat").cast("decimal(27,2)").alias("turnover")
+    )
+
+
 @query
 def sales_report(f):
     return serving.sales_report(_daily(f), f.stores)

@@ -132,7 +132,7 @@ def test_runtime_settings_split_a_skewed_partition(spark, heads):
 RUNS_JOBS = {
     "full_load", "insert_select", "csv_scan", "csv_rejects", "pipeline_run", "plan_fact_pipeline_run",
     "delta_partition_load", "load_traffic_ods", "load_bills_dds", "load_months", "reject_limit",
-    "audit_log", "daily_export", "sharded_copy", "plan_fact_copy",
+    "audit_log", "daily_export", "sharded_copy", "plan_fact_copy", "colocated_join",
 }
 
 

@@ -84,6 +84,11 @@ def test_coupons_meet_lines_by_material_and_bill(spark, no_broadcast):
     assert sum(k.startswith("material, billnum, _price") or "material, billnum, " in k for k in keys) <= 2
 
 
+def test_bucketed_facts_are_joined_where_they_are(spark, no_broadcast):
+    plan = plan_of(all_queries()["colocated_join"](spark, FOLDER))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_best_seller_join_is_spread_by_total(spark, no_broadcast):
     plan = plan_of(all_queries()["top_material_by_region"](spark, FOLDER))
     assert any("sales_qt" in k or "coalesce" in k for k in re.findall(r"Exchange (.*)", plan))
