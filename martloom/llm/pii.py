@@ -121,12 +121,13 @@ def _spans(kind: Kind, gaps: Column, found: Column) -> Column:
     return F.aggregate(pairs, start, add, lambda state: state["out"])
 
 
-def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``pii_spans``: all spans by kind, in the order of ``KINDS``, then by start.
+def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii_spans") -> DataFrame:
+    """Adds ``out``: all spans by kind, in the order of ``KINDS``, then by start.
 
     Starts and stops are code points, the stop exclusive. A null or empty text
     has none. Spans of different kinds may overlap; those of one kind do not.
-    Repeated rows get the same spans. Other columns pass through.
+    Repeated rows get the same spans. Other columns pass through, but for one
+    that is named ``out`` itself.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     empty_gap = F.array().cast("array<struct<n:int,tail:string>>")
@@ -136,13 +137,13 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.split(text, kind.pattern, -1),
             lambda g: F.struct(F.length(g).alias("n"), F.lower(F.substring(g, -CONTEXT, CONTEXT)).alias("tail")),
         )
-        gaps[f"_gap_{kind.name}"] = F.when(F.contains(text, F.lit(kind.sign)), cut).otherwise(empty_gap) if kind.sign else cut
-        holds = F.size(f"_gap_{kind.name}") > 1
+        gaps[f"_pii_gap_{kind.name}"] = F.when(F.contains(text, F.lit(kind.sign)), cut).otherwise(empty_gap) if kind.sign else cut
+        holds = F.size(f"_pii_gap_{kind.name}") > 1
         matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-        found[f"_hit_{kind.name}"] = F.when(holds, matches).otherwise(F.array().cast("array<string>"))
+        found[f"_pii_hit_{kind.name}"] = F.when(holds, matches).otherwise(F.array().cast("array<string>"))
     marked = docs.withColumns(gaps).withColumns(found)
-    parts = [_spans(k, F.col(f"_gap_{k.name}"), F.col(f"_hit_{k.name}")) for k in KINDS]
-    return marked.withColumn("pii_spans", F.concat(*parts)).drop(*gaps, *found)
+    parts = [_spans(k, F.col(f"_pii_gap_{k.name}"), F.col(f"_pii_hit_{k.name}")) for k in KINDS]
+    return marked.withColumn(out, F.concat(*parts)).drop(*gaps, *found)
 
 
 def spans_text(spans: Column) -> Column:
@@ -156,10 +157,10 @@ def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0) ->
     Overlapping spans are replaced together, under the kind that starts first.
     A null text stays null. Columns stay as they are, but for the text.
     """
-    marked = with_spans(docs, text_col)
+    marked = with_spans(docs, text_col, "_pii_spans")
     chosen = F.array_sort(
         F.transform(
-            F.filter("pii_spans", lambda s: s["score"] >= least_score),
+            F.filter("_pii_spans", lambda s: s["score"] >= least_score),
             lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")),
         )
     )

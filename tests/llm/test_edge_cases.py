@@ -154,8 +154,10 @@ def test_drop_near_duplicates_keeps_columns(odd):
 
 def test_redact_passes_columns_and_nulls(spark):
     rows = [(1, "mail a@b.org or +1 (499) 555-6503 now", 1), (2, None, 2), (3, "", 3), (4, "😀 a@b.org", 4)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans_kind int")
-    found = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans int")
+    rows = pii.redact(df).collect()
+    assert all(r["pii_spans"] == r["doc_id"] for r in rows)
+    found = {r["doc_id"]: r["text"] for r in rows}
     assert found == {1: "mail <EMAIL> or <PHONE> now", 2: None, 3: "", 4: "😀 <EMAIL>"}
     assert pii.redact(df.limit(0)).columns == df.columns
 
