@@ -51,15 +51,15 @@ def _dds_bills(f: Frames) -> DataFrame:
     return refine.bills_dds(f.bills_item, f.bills_head)
 
 
-def _dds_coupons(f: Frames) -> DataFrame:
+def _dds_coupons(f: Frames, start=None, end=None) -> DataFrame:
     return refine.coupons_dds(
-        refine.coupons_ods(f.coupons), f.bills_item, refine.promos_ods(f.promos)
+        refine.coupons_ods(f.coupons, start, end), f.bills_item, refine.promos_ods(f.promos)
     )
 
 
 def _daily(f: Frames, start=START, end=END, **options) -> DataFrame:
     return sales_mart.sales_mart_daily(
-        _dds_bills(f), _dds_coupons(f), _ods_traffic(f), start, end, **options
+        _dds_bills(f), _dds_coupons(f, start, end), _ods_traffic(f), start, end, **options
     )
 
 
@@ -79,7 +79,7 @@ def _window(f: Frames, schema, rows: DataFrame, key: str = "calday") -> DataFram
 
 @query
 def discounts_daily(f):
-    return sales_mart.discounts_daily(_dds_coupons(f), START, END)
+    return sales_mart.discounts_daily(_dds_coupons(f, START, END), START, END)
 
 
 @query

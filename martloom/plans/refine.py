@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 from operator import and_
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom import schemas
-from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, parse_day
+from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, as_date, parse_day
 from martloom.functions.rounding import cents, half_up, ratio, unscale
 from martloom.operators.joins import checked_join, fact_join
 from martloom.operators.quality import not_empty_predicate
@@ -75,12 +76,20 @@ def _promo_values() -> dict[str, Column]:
     return {"material": F.col("material").try_cast("bigint")}
 
 
-def coupons_ods(coupons: DataFrame) -> DataFrame:
-    """Coupons with typed day, material and bill.
+def coupons_ods(
+    coupons: DataFrame, start: dt.date | str | None = None, end: dt.date | str | None = None
+) -> DataFrame:
+    """Coupons with typed day, material and bill; of a period, if one is given.
 
     Rows with a blank text value that stays text are dropped; rows with an
-    unreadable value are left to ``coupons_rejects``.
+    unreadable value are left to ``coupons_rejects``. The period is compared with
+    the day as the text it arrives in, which sorts as the day does, so rows
+    outside of it are not parsed at all.
     """
+    if start is not None:
+        lo = as_date(start)
+        hi = lo if end is None else as_date(end)
+        coupons = coupons.filter(F.col("calday").between(f"{lo:%Y%m%d}", f"{hi:%Y%m%d}"))
     values = _coupon_values()
     kept = coupons.filter(_readable(values) & not_empty_predicate(schemas.ODS_COUPONS))
     return kept.withColumns(values).select(schemas.ODS_COUPONS.names)

@@ -108,6 +108,18 @@ def test_a_bill_with_a_third_of_all_items(spark, no_broadcast):
     assert rows(days[0]) == rows(days[1])
 
 
+def test_coupons_of_a_period_are_those_of_the_whole(frame):
+    days = ["20210131", "20210201", "20210228", "20210301", "20210230", "2021021", None, "202102011"]
+    raw = frame(
+        "plant string, calday string, coupon_nm string, promo_id string, material string, billnum string",
+        *[("M1", d, f"c{i}", "P1", "7", "9") for i, d in enumerate(days)],
+    )
+    whole = refine.coupons_ods(raw).filter("calday between '2021-02-01' and '2021-02-28'")
+    assert rows(refine.coupons_ods(raw, "2021-02-01", "2021-02-28")) == rows(whole)
+    assert whole.count() == 2
+    assert rows(refine.coupons_ods(raw, "2021-02-01")) == rows(whole.filter("calday = '2021-02-01'"))
+
+
 @pytest.fixture
 def coupon_case(frame):
     coupons = frame(
