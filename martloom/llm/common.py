@@ -14,7 +14,7 @@ from martloom.session import fresh_path
 # Rows of a batch that are turned into Python objects at a time.
 SLICE = 256
 # Arrow batches of whole texts stay within this size, however long the texts are.
-BATCH_BYTES = "64m"
+BATCH_BYTES = "16m"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

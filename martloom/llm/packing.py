@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import by_batches, slices, stored, texts_of
 
-# Entries after which a task starts its table of words anew.
+# Entries (about 200 bytes each) after which a task starts its table of words anew.
 TABLE_ENTRIES = 600_000
 # A longer word is encoded without being remembered.
 LONG_WORD = 64
@@ -93,7 +93,7 @@ class WordTable:
     def convert(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit numbers."""
         known = self.known
-        if len(known) > self.entries:
+        if len(known) + len(self.parts) > self.entries:
             known.clear()
             self.parts.clear()
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
