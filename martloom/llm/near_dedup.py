@@ -30,9 +30,11 @@ from martloom.llm import hashing
 from martloom.llm.common import by_batches, slices, stored
 from martloom.llm.components import components
 
-# Sketch size. A pair at the threshold of 0.8 shares less than half of it with a
-# chance below one in a million.
+# Sketch size, and how far below the threshold the share of a union sketch that a
+# linked pair has in common may fall, in hundredths. At a threshold of 0.8 a pair
+# shares less than half of a sketch with a chance below one in a million.
 SKETCH = 64
+MARGIN = 30
 # Ids of at most this many documents are broadcast (16 bytes each).
 FEW_IDS = 500_000
 # Classes with at least this share of all rows; at most 1 / HOT_SHARE exist.
@@ -89,27 +91,32 @@ def _members(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
     return marked.select("id", "n", cid.alias("cid"), F.when(first, F.col("sketch")).alias("sketch"))
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _least_share(percent: int) -> int:
+    """Hundredths of a sketch that a linked pair has in common, but for a negligible chance."""
+    return max(percent - MARGIN, 2)
+
+
+def _postings(classes: DataFrame, percent: int) -> DataFrame:
     """Inverted lists (v, cid, n) of the rarest kept values of each class."""
     entries = classes.select("cid", F.explode("sketch").alias("v"))
     shared = entries.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ranked = entries.join(shared, "v").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("found"))
-    half = F.ceil(F.size("sketch") / 2).cast("int")
+    needed = F.ceil(F.size("sketch") * _least_share(percent) / 100).cast("int")
     # Values of one class alone come first in the order and take part in no list.
-    chosen = ranked.join(classes, "cid").withColumn("many", F.size("found") - half + 1).filter("many > 0")
+    chosen = ranked.join(classes, "cid").withColumn("many", F.size("found") - needed + 1).filter("many > 0")
     return chosen.select("cid", "n", F.explode(F.slice("found", 1, F.col("many"))).alias("e")).selectExpr(
         "e.v as v", "cid", "n"
     )
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose union sketch has at least half of its values in common."""
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that have enough of their union sketch in common."""
     sketches = classes.select("cid", "sketch")
     joined = pairs.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
     size = F.greatest(F.size("sa"), F.size("sb"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, size)
     common = F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb"))
-    return joined.filter(2 * F.size(common) >= F.size(union)).select("a", "b")
+    return joined.filter(100 * F.size(common) >= _least_share(percent) * F.size(union)).select("a", "b")
 
 
 def _sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -257,10 +264,12 @@ def near_duplicates(
     null component. Repeated rows are copies of one document and get the same
     answer. An empty table gives no rows; other columns are not read.
     """
+    if not 0 < percent <= 100 or words < 1:
+        raise ValueError("percent is 1 to 100, words at least 1")
     members = stored(_members(docs, id_col, text_col, words), "members")
     classes = members.filter("sketch is not null").dropDuplicates(["cid"]).select("cid", "n", "sketch")
-    pairs, families = _split(_postings(classes), percent)
-    pairs, families = stored(_estimated(pairs, classes), "candidates"), stored(families, "families")
+    pairs, families = _split(_postings(classes, percent), percent)
+    pairs, families = stored(_estimated(pairs, classes, percent), "candidates"), stored(families, "families")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(families.select("cid")).distinct()
     sets = _sets(ids, docs, id_col, text_col, words)
     links = _verified(pairs, sets, percent).unionByName(_family_links(families, sets, percent))

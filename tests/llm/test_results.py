@@ -149,6 +149,24 @@ def test_large_group_of_different_near_copies(spark, monkeypatch, short, block,
     assert found == label and len(set(label.values())) > 61
 
 
+@pytest.mark.parametrize("percent", [40, 60, 100])
+def test_other_thresholds(spark, percent):
+    rng = np.random.default_rng(percent)
+    base = [f"w{i}" for i in range(90)]
+    texts = {}
+    for i in range(60):
+        words = list(base) if i % 2 else [f"{i // 8}v{k}" for k in range(70)]
+        for at in rng.choice(70, rng.integers(0, 12), replace=False):
+            words[at] = f"x{rng.integers(1 << 40)}"
+        texts[i] = " ".join(words)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    _, label = _components(texts, 3, percent)
+    found = near_dedup.near_duplicates(frame, words=3, percent=percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == label
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(frame, percent=0)
+
+
 def test_packing_is_exact_and_tight(spark, docs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = run(spark, "op7_best_fit_packing")
