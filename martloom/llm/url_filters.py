@@ -61,12 +61,16 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
     ``valid_to`` is exclusive and null for the last one. Of several entries for a
     pattern on a day the one that does most counts: allow, then block, then
-    remove. Entries with a null or an unknown kind or action are left out.
+    remove. Entries with a null or an unknown kind or action are left out. The
+    host of a pattern is taken in lower case, its path as it is.
     Intervals in which a pattern is off the list are not returned.
     """
     rank = F.array_position(F.lit(list(ACTIONS)), F.col("action")).cast("int")
     kind = (F.array_position(F.lit(list(KINDS)), F.col("kind")) - 1).cast("int")
-    known = entries.select(kind.alias("kind"), F.lower("pattern").alias("pattern"), rank.alias("rank"), F.col("day").cast("date").alias("day"))
+    # Hosts have no case, paths do.
+    host = F.substring_index("pattern", "/", 1)
+    pattern = F.concat(F.lower(host), F.substring(F.col("pattern"), F.length(host) + 1, F.length("pattern")))
+    known = entries.select(kind.alias("kind"), pattern.alias("pattern"), rank.alias("rank"), F.col("day").cast("date").alias("day"))
     known = known.filter("kind >= 0 and rank > 0 and pattern is not null and day is not null")
     # One row per pattern and day at most reaches the window.
     daily = known.groupBy("kind", "pattern", "day").agg(F.max("rank").alias("rank"))

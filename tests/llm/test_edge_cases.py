@@ -254,6 +254,15 @@ def test_url_filters_follow_the_list_as_of_each_day(spark):
     assert found[5]["rule_since"] == mar
 
 
+def test_url_filters_keep_the_case_of_a_path(spark):
+    day = dt.date(2024, 1, 1)
+    entries = [("prefix", "Site.example/Articles/New", "block", day), ("host", "site.example", "allow", day)]
+    captures = [(1, "http://SITE.example/Articles/New/1", day, "k", "h"), (2, "http://site.example/articles/new/1", day, "k", "h")]
+    found = _filtered(spark, captures, entries)
+    assert (found[1]["verdict"], found[1]["rule_pattern"]) == ("blocked", "site.example/Articles/New")
+    assert (found[2]["verdict"], found[2]["rule_kind"]) == ("allowed", "host")
+
+
 def test_url_filters_of_repeated_rows_and_empty_tables(spark):
     day = dt.date(2024, 1, 1)
     given = spark.createDataFrame([(1, "http://a.example", day)] * 3, "page_id long, url string, fetched date")
