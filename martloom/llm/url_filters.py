@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 # Kinds of patterns, from the widest to the most specific, and what an entry can do.
 KINDS = ("domain", "host", "prefix")
 ACTIONS = ("remove", "block", "allow")
-# Path segments a prefix pattern can have; deeper ones match nothing.
-DEPTH = 3
 # Characters of the longest name a host can have; a longer one is invalid.
 LONGEST_HOST = 253
 _URL = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?([^/?#:@]+)(?::[0-9]*)?([^?#]*)"
@@ -30,28 +28,36 @@ def host_of(url: Column) -> Column:
 
 
 def segments_of(url: Column) -> Column:
-    """The first segments of the path, as many as a prefix pattern can have; empty ones are skipped."""
-    return F.slice(F.filter(F.split(F.regexp_extract(url, _URL, 2), "/"), lambda s: s != ""), 1, DEPTH)
+    """The segments of the path; empty ones are skipped."""
+    return F.filter(F.split(F.regexp_extract(url, _URL, 2), "/"), lambda s: s != "")
 
 
-def _keys(host: Column, segments: Column) -> Column:
-    """All patterns (kind, pattern, parts) that match an address, whatever the list holds."""
+def _depths(spans: DataFrame) -> Column:
+    """The numbers of labels of domain patterns and of segments of prefix patterns that occur, one row of a subquery."""
+    counts = spans.select(
+        F.when(F.col("kind") == 0, F.size(F.split("pattern", r"\."))).alias("labels"),
+        F.when(F.col("kind") == 2, F.size(F.split("pattern", "/")) - 1).alias("segments"),
+    )
+    # At most as many values as the longest pattern has parts.
+    return counts.agg(F.struct(F.collect_set("labels").alias("labels"), F.collect_set("segments").alias("segments"))).scalar()
+
+
+def _keys(host: Column, segments: Column, depths: Column) -> Column:
+    """All patterns (kind, pattern, parts) of the given depths that match an address."""
 
     def key(kind: int, pattern: Column, parts: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"), parts.cast("int").alias("parts"))
 
     labels = F.split(host, r"\.")
     count = F.size(labels)
-    # Every ending of at least two labels; a host of one label is its own domain.
-    last = F.greatest(count - 1, F.lit(1))
     domains = F.transform(
-        F.sequence(F.lit(1), last),
-        lambda i: key(0, F.array_join(F.slice(labels, i, count - i + 1), "."), count - i + 1),
+        F.filter(depths["labels"], lambda n: n <= count),
+        lambda n: key(0, F.array_join(F.slice(labels, -n, n), "."), n),
     )
     hosts = F.array(key(1, host, count))
     prefixes = F.transform(
-        F.filter(F.sequence(F.lit(0), F.size(segments)), lambda i: i > 0),
-        lambda i: key(2, F.concat_ws("/", host, F.array_join(F.slice(segments, 1, i), "/")), i),
+        F.filter(depths["segments"], lambda n: (n > 0) & (n <= F.size(segments))),
+        lambda n: key(2, F.concat_ws("/", host, F.array_join(F.slice(segments, 1, n), "/")), n),
     )
     return F.concat(domains, hosts, prefixes)
 
@@ -90,7 +96,8 @@ def filter_urls(
     """One row per capture: id, url, day, host, verdict, rule_kind, rule_pattern, rule_since.
 
     The most specific active entry decides: a prefix over a host over a domain,
-    the longer one of a kind, allow over block. ``verdict`` is ``allowed``,
+    the longer one of a kind, allow over block. Domains of any number of labels,
+    one included, and prefixes of any number of segments count. ``verdict`` is ``allowed``,
     ``blocked``, ``unlisted`` if no entry is active, or ``invalid`` for a null
     url, one that is no web address or has an overlong host. A capture without a
     day has no active entries. Repeated captures repeat; an empty list leaves
@@ -100,10 +107,13 @@ def filter_urls(
     given = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), day.alias("day"))
     given = given.withColumn("host", host_of(F.col("url")))
     asked = given.filter("host is not null and day is not null").select("url", "host", "day").distinct()
-    keys = asked.select("url", "day", F.explode(_keys(F.col("host"), segments_of(F.col("url")))).alias("k"))
+    spans = validity_intervals(entries)
+    # Keys only of the depths that the list holds, however deep they are.
+    asked = asked.withColumn("depths", _depths(spans))
+    keys = asked.select("url", "day", F.explode(_keys(F.col("host"), segments_of(F.col("url")), F.col("depths"))).alias("k"))
     keys = keys.select("url", "day", "k.*")
     active = (F.col("valid_from") <= F.col("day")) & (F.col("valid_to").isNull() | (F.col("day") < F.col("valid_to")))
-    found = keys.join(validity_intervals(entries), ["kind", "pattern"]).filter(active)
+    found = keys.join(spans, ["kind", "pattern"]).filter(active)
     rule = F.max(F.struct("kind", "parts", "rank", "pattern", F.col("valid_from").alias("since"))).alias("rule")
     decided = found.groupBy("url", "day").agg(rule)
     answer = given.join(decided, ["url", "day"], "left")

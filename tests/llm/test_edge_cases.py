@@ -263,6 +263,26 @@ def test_url_filters_keep_the_case_of_a_path(spark):
     assert (found[2]["verdict"], found[2]["rule_kind"]) == ("allowed", "host")
 
 
+def test_url_filters_take_entries_of_any_depth(spark):
+    day = dt.date(2024, 1, 1)
+    entries = [
+        ("domain", "example", "block", day),
+        ("domain", "b.c.d.e.f.example", "allow", day),
+        ("prefix", "b.example/1/2/3/4", "allow", day),
+        ("prefix", "b.example/1/2/3/4/5/6", "block", day),
+    ]
+    asked = [
+        ("http://b.example/1/2/3", "blocked", "example"),
+        ("http://b.example/1/2/3/4/5", "allowed", "b.example/1/2/3/4"),
+        ("http://b.example//1/2/3/4/5/6/7", "blocked", "b.example/1/2/3/4/5/6"),
+        ("http://a.b.c.d.e.f.example", "allowed", "b.c.d.e.f.example"),
+        ("http://example", "blocked", "example"),
+        ("http://notexample", "unlisted", None),
+    ]
+    found = _filtered(spark, [(i, url, day, "k", "h") for i, (url, _, _) in enumerate(asked)], entries)
+    assert [(found[i]["verdict"], found[i]["rule_pattern"]) for i in range(len(asked))] == [(v, p) for _, v, p in asked]
+
+
 def test_url_filters_of_repeated_rows_and_empty_tables(spark):
     day = dt.date(2024, 1, 1)
     given = spark.createDataFrame([(1, "http://a.example", day)] * 3, "page_id long, url string, fetched date")
