@@ -1,6 +1,8 @@
 """Toxicity by compression distance: two zstandard dictionaries compete for each word window.
 
-A window is one word with its borders. Each of its bytes is spelled as four, so
+A window is one word with its borders, however short the word. Scripts without
+spaces give a window for every two neighbouring letters, other runs of more than
+``LONGEST`` letters one for every four. Each byte of a window is spelled as four, so
 that a compressed length counts the pieces a window is made of rather than its
 letters: a window that stands in a dictionary as a whole costs one match. The
 toxic dictionary holds the words, of toxic training text, that are toxic by the
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -29,8 +32,11 @@ from martloom.llm.common import by_batches, hashed_sample, slices, stored, texts
 
 _WORD = re.compile(r"\w+")
 _SPELLING = [bytes(random.Random(n).sample(range(256), 4)) for n in range(256)]
-# Shorter words are too short for compressed lengths to tell apart.
-SHORTEST, LONGEST = 4, 40
+# Letters of a run that is taken as one word at most, and of the windows a longer one is cut into.
+LONGEST, CUT = 40, 4
+# Runs in scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+)")
+UNSPACED_CUT = 2
 # Words a task remembers before it starts anew.
 REMEMBERED = 400_000
 # Windows counted per pair of thresholds while calibrating.
@@ -46,8 +52,26 @@ class ToxicityModel:
     weights: tuple[float, float, float] = (-3.0, 4.0, 0.0)
 
 
-def words_of(text: str) -> list[str]:
-    return [w for w in _WORD.findall(text.lower()) if SHORTEST <= len(w) <= LONGEST]
+def _overlapping(run: str, letters: int) -> Iterator[str]:
+    return (run[i : i + letters] for i in range(max(1, len(run) - letters + 1)))
+
+
+def words_of(text: str) -> Counter[str]:
+    """The words of the windows of a text and how often they occur; every letter is in one at least."""
+    runs = _WORD.findall(text.lower())
+    if len(max(runs, key=len, default="")) <= LONGEST and not _UNSPACED.search(text):
+        return Counter(runs)
+    words = Counter()
+    for run in runs:
+        # Runs in a script without spaces stand at odd places.
+        for k, part in enumerate(_UNSPACED.split(run)):
+            if k % 2:
+                words.update(_overlapping(part, UNSPACED_CUT))
+            elif len(part) > LONGEST:
+                words.update(_overlapping(part, CUT))
+            elif part:
+                words[part] += 1
+    return words
 
 
 def _window(word: str) -> bytes:
@@ -80,14 +104,14 @@ class WindowLengths:
         # The ordinary dictionary matters only where the toxic one does well.
         return short <= self.model.longest and len(self.ordinary.compress(window)) - short >= self.model.gain
 
-    def count(self, words: list[str]) -> int:
+    def count(self, words: Counter[str]) -> int:
         votes = self.votes
         if len(votes) > REMEMBERED:
             votes.clear()
-        for word in set(words):
+        for word in words:
             if word not in votes:
                 votes[word] = self.vote(word)
-        return sum(map(votes.__getitem__, words))
+        return sum(n for word, n in words.items() if votes[word])
 
 
 @cache
@@ -111,7 +135,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             for part in slices(batch, 1024):
                 counts: dict[str, list[int]] = {}
                 for text, label in zip(texts_of(part), part.column("label").to_pylist()):
-                    for word in set(words_of(text)):
+                    for word in words_of(text):
                         counts.setdefault(word, [0, 0])[1 - label] += 1
                 a, b = (pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), a, b], names=["word", "a", "b"])
@@ -155,7 +179,8 @@ def fit_toxicity(
     if not a_all or not b_all:
         return ToxicityModel(b"", b"", longest=0, weights=(-5.0, 0.0, 0.0))
     share = a_all / (a_all + b_all)
-    begin = "explode(transform(sequence(3, length(word)), n -> left(word, n))) as start"
+    # Beginnings have three letters at least; a word of up to three stands for itself alone.
+    begin = "explode(if(length(word) > 3, transform(sequence(3, length(word)), n -> left(word, n)), array(word || ' '))) as start"
     starts = counts.selectExpr(begin, "a", "b").groupBy("start").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     starts = starts.withColumn("toxic_share", F.lit(share)).selectExpr("start", f"{_g_root('a', 'b')} as root")
     strong = (
@@ -183,13 +208,14 @@ def _calibrated(model: ToxicityModel, rows: DataFrame) -> ToxicityModel:
                 words, votes = [], []
                 for text in texts_of(part):
                     found = words_of(text)
-                    for word in set(found):
+                    for word in found:
                         if word not in known:
                             known[word] = lengths.pair(word)
                     pairs = np.array([known[w] for w in found] or [(99, 99)])
                     gain = pairs[:, 1] - pairs[:, 0]
-                    words.append(len(found))
-                    votes.append([int(((pairs[:, 0] <= n) & (gain >= g)).sum()) for n, g in grid])
+                    often = np.array(list(found.values()) or [0])
+                    words.append(found.total())
+                    votes.append([int(often[(pairs[:, 0] <= n) & (gain >= g)].sum()) for n, g in grid])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("label"), pa.array(words, pa.int64()), pa.array(votes, pa.list_(pa.int64()))],
                     names=["label", "words", "votes"],
@@ -223,9 +249,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
         lengths = _lengths(model)
         for batch in batches:
             for part in slices(batch):
-                found = [words_of(t) for t in texts_of(part)]
-                words = np.array([len(ws) for ws in found], np.int64)
-                votes = np.array([lengths.count(ws) for ws in found], np.int64)
+                found = [(ws.total(), lengths.count(ws)) for ws in map(words_of, texts_of(part))]
+                words, votes = np.array(found, np.int64).reshape(-1, 2).T
                 logit = np.clip(_features(votes, words) @ np.array(model.weights), -30, 30)
                 score = np.where(words > 0, 1 / (1 + np.exp(-logit)), 0.0)
                 yield pa.RecordBatch.from_arrays(

@@ -290,3 +290,23 @@ def test_url_filters_of_repeated_rows_and_empty_tables(spark):
     assert [r["verdict"] for r in url_filters.filter_urls(given, log).collect()] == ["blocked"] * 3
     assert [r["verdict"] for r in url_filters.filter_urls(given, log.limit(0)).collect()] == ["unlisted"] * 3
     assert url_filters.filter_urls(given.limit(0), log).collect() == []
+
+
+@pytest.mark.parametrize("insult", ["oaf", "傻逼", "q"])
+def test_toxicity_of_short_words_and_of_scripts_without_spaces(spark, insult):
+    plain = [f"the {w} was fine and so was its sea" for w in ("sky", "air", "bay", "sun")]
+    clause = "今天天气很好我们一起去公园散步然后回家吃晚饭看电视明天还要上班所以早点睡觉大家晚安"
+    if not insult.isascii():
+        plain = [clause[i:] + clause[:i] for i in range(0, 20, 5)]
+    text = (lambda i: plain[i % 4][: i % 9 + 3] + f" {insult} " * insult.isascii() + insult * (not insult.isascii()) + plain[i % 4][i % 9 + 3 :])
+    rows = [(i, plain[i % 4], 0) for i in range(40)] + [(100 + i, text(i), 1) for i in range(40)]
+    model = toxicity.fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    asked = spark.createDataFrame([(1, text(13)), (2, plain[1]), (3, insult)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in toxicity.score_toxicity(asked, model).collect()}
+    assert found[1]["score"] > 0.5 > found[2]["score"]
+    assert found[3]["windows"] == 1 and found[3]["toxic_windows"] == 1 and found[3]["score"] > 0.5
+
+
+def test_no_letter_is_without_a_window():
+    assert toxicity.words_of("A bc " + "xyz" * 14) == {"a": 1, "bc": 1, "xyzx": 13, "yzxy": 13, "zxyz": 13}
+    assert toxicity.words_of("ab你好吗c 傻") == {"ab": 1, "你好": 1, "好吗": 1, "c": 1, "傻": 1}
