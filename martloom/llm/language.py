@@ -166,13 +166,11 @@ def detect_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     return by_batches(slim, work, schema).withColumnRenamed("id", id_col)
 
 
-def keep_languages(
-    docs: DataFrame, model: LanguageModel, least_score: float = 0.3, text_col: str = "text"
-) -> DataFrame:
-    """The rows, with the columns they came with, that have a language with a share of at least ``least_score``.
+def keep_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows, with the columns they came with, in which a language is found, in whatever mixture.
 
-    Texts that are null, empty or without letters are rejected. A model that knows
-    no language rejects nothing else.
+    Texts that are null, empty or without letters are rejected, also by a model
+    that knows no language, and nothing else is.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -181,8 +179,7 @@ def keep_languages(
             for part in slices(batch):
                 texts = texts_of(part, text_col)
                 if sent.value.languages:
-                    shares = (mixture(sent.value, t) for t in texts)
-                    keep = [max(m.values(), default=0.0) >= least_score for m in shares]
+                    keep = [bool(mixture(sent.value, t)) for t in texts]
                 else:
                     keep = [any(map(str.isalpha, t)) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))

@@ -310,3 +310,19 @@ def test_toxicity_of_short_words_and_of_scripts_without_spaces(spark, insult):
 def test_no_letter_is_without_a_window():
     assert toxicity.words_of("A bc " + "xyz" * 14) == {"a": 1, "bc": 1, "xyzx": 13, "yzxy": 13, "zxyz": 13}
     assert toxicity.words_of("ab你好吗c 傻") == {"ab": 1, "你好": 1, "好吗": 1, "c": 1, "傻": 1}
+
+
+def test_the_language_stage_keeps_an_even_mixture_of_four_languages(spark):
+    parts = {
+        "en": "the weather was nice and the water was cold that day ",
+        "de": "das wetter ist schön und das wasser war gestern kalt ",
+        "fr": "le temps est beau et la mer était très froide hier ",
+        "es": "el tiempo es bueno pero el agua estaba muy fría ayer ",
+    }
+    rows = [(i, text * 3, lang) for i, (lang, text) in enumerate(list(parts.items()) * 10)]
+    both = [(900, "".join(t * 40 for t in parts.values()), None), (901, "12 !?", None), (902, None, None)]
+    docs = spark.createDataFrame([*rows, *both], "doc_id long, text string, lang string")
+    mixed = language.mixture(language.fit_languages(docs), both[0][1])
+    assert set(mixed) == set(parts) and max(mixed.values()) < 0.3
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {i for i, _, _ in rows} | {900}
