@@ -31,6 +31,24 @@ class Kind:
 
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
+# Characters of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK ST TN VG",
+    25: "LY PT", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _spaced_iban(length: int, countries: str) -> str:
+    """Groups of four, the last one shorter, of a number of known length that ends there."""
+    groups, rest = divmod(length - 4, 4)
+    last = rf"\x20[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20[A-Z0-9]{{4}}){{{groups}}}{last}(?![A-Z0-9])"
+
+
+# Any of them, refused early where no number starts.
+_SPACED = rf"(?=[A-Z]{{2}}[0-9]{{2}}\x20)(?:{'|'.join(_spaced_iban(n, c) for n, c in IBAN_LENGTHS.items())})"
 # In the order in which spans are listed.
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -43,7 +61,10 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.5, "tel|phone|call|mobile|fax"),
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)",
+        # [A-Z]{2}[0-9]{2}([A-Z0-9]{11,30}|(\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,3})?), but a spaced number ends
+        # where its country says, and none runs over the beginning of such a number.
+        rf"{_SPACED}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20(?!{_SPACED})[A-Z0-9]{{4}}){{2,7}}"
+        rf"(?:\x20(?!{_SPACED})[A-Z0-9]{{1,3}})?)",
         "",
         0.6,
         "iban|account|konto|bank",

@@ -326,3 +326,19 @@ def test_the_language_stage_keeps_an_even_mixture_of_four_languages(spark):
     assert set(mixed) == set(parts) and max(mixed.values()) < 0.3
     kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
     assert kept == {i for i, _, _ in rows} | {900}
+
+
+def test_a_spaced_iban_ends_where_its_country_says(spark):
+    at, de, no = "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    texts = {
+        f"{at} EUR 500": [at],
+        f"pay {at} SWIFT or {at} 2024 ABCD": [at, at],
+        f"{at} {de} {no} X {at}": [at, de, no, at],
+        f"AB12 {at}": [at],
+        "AT61 1904 3002 3457 3202 EUR": [],
+        f"{de}, GB82 WEST 1234 5698 7654 32.": [de, "GB82 WEST 1234 5698 7654 32"],
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.with_spans(df).orderBy("doc_id").collect()
+    assert [[s["text"] for s in r["pii_spans"] if s["kind"] == "iban"] for r in rows] == list(texts.values())
+    assert pii.redact(df).orderBy("doc_id").first()["text"] == "<IBAN> EUR 500"
