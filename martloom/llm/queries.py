@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, language, near_dedup, packing, pii, quality, sentencepiece_codec, topk, toxicity, url_filters
+from martloom.llm import (
+    conversations,
+    exact_dedup,
+    language,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    sentencepiece_codec,
+    topk,
+    toxicity,
+    url_filters,
+)
 from martloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +138,39 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that their numbers and turns choose."""
+    texts = {c: F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text")}
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    chosen = F.crc32(key.cast("binary")) % 20
+    rows = rows.select("conv_id", "turn", *[c.alias(n) for n, c in texts.items()], chosen.alias("chosen"))
+    text = F.when(F.col("chosen") == 1, "").when(
+        F.col("chosen") == 2, F.regexp_replace("text", "[.!?]", "")
+    )
+    return rows.filter("chosen <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("chosen") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.otherwise(F.col("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("chosen") == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    report, pieces = conversations.repair_conversations(_damaged(rows))
+    line = "array_join(transform(rows, r -> concat(r.role, ':', r.text)), '\n')"
+    lines = pieces.filter("size(rows) > 0").selectExpr("conv_id", f"struct(place, {line} as line) as lines")
+    given = rows.select("conv_id").unionByName(report, allowMissingColumns=True)
+    given = given.unionByName(lines, allowMissingColumns=True).groupBy("conv_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return given.agg(
+        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.array_join(F.sort_array(F.collect_list("lines"))["line"], "\n").alias("repaired"),
+    ).select("conv_id", *counts, "audit", F.sha2(F.col("repaired").cast("binary"), 256).alias("repaired_sha256"))
+
+
 def llm_queries() -> dict[str, Query]:
     queries = {
         run.__name__: run
@@ -140,6 +185,7 @@ def llm_queries() -> dict[str, Query]:
             op8_url_filters,
             op9_quality,
             op10_sentencepiece,
+            op11_conversation_repair,
         )
     }
     return queries | {"pipeline": corpus_pipeline.run}
@@ -147,7 +193,13 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {"op2_exact_topk": OP2_SQL, "op4_pii": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op8_url_filters": OP8_SQL}
+    return {
+        "op2_exact_topk": OP2_SQL,
+        "op4_pii": OP4_SQL,
+        "op6_exact_dedup": OP6_SQL,
+        "op8_url_filters": OP8_SQL,
+        "op11_conversation_repair": OP11_SQL,
+    }
 
 
 _WEB = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?([^/?#:@]+)(?::[0-9]*)?([^?#]*)"
@@ -288,3 +340,115 @@ select doc_id,
 from documents
 window same as (partition by coalesce(text, ''))
 """
+
+
+# The CRC-32 of a text of ASCII characters, bit by bit.
+def _crc32(text: str) -> str:
+    bit = "lambda c, k: xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end)"
+    byte = f"lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], {bit}, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: cast(ascii(x) as bigint))"
+    return f"xor(list_reduce({codes}, {byte}, cast(4294967295 as bigint)), 4294967295)"
+
+
+# Cheapest edits up to a row, by state, from those up to the row before: a plain shortest path.
+def _step() -> str:
+    def entry(state: int, cost: str, edit: str) -> str:
+        return f"{{'cost': v[{state + 1}].cost + {cost}, 'audit': v[{state + 1}].audit || '{edit}'}}"
+
+    left = "(case when s.late then 5 else 0 end)"
+    follows = {1: (0,), 2: (0, 1, 3), 3: (2,)}
+    cells = []
+    for state in range(4):
+        ways = [entry(state, "2", "D")]
+        for before in follows.get(state, ()):
+            role = " sua"[state]
+            ways.append(entry(before, f"case when s.sign = '{role}' then {left} else 1000000000 end", "K"))
+            if role != "s":
+                ways.append(entry(before, f"case when s.sign = 'x' then 1000000000 else 1 + {left} end", "R"))
+        cells.append(f"list_min([{', '.join(ways)}])")
+    return f"[{', '.join(cells)}]"
+
+
+def _insert(state: int) -> str:
+    """Cells after inserting in front of the state, none or once."""
+    follows = {2: (0, 1, 3), 3: (2,)}[state]
+    ways = [f"v[{state + 1}]"] + [f"{{'cost': v[{b + 1}].cost + 5, 'audit': v[{b + 1}].audit || 'I'}}" for b in follows]
+    cells = [f"list_min([{', '.join(ways)}])" if q == state else f"v[{q + 1}]" for q in range(4)]
+    return f"[{', '.join(cells)}]"
+
+
+_STATES = "{'cost': cast(%s as bigint), 'audit': '%s'}"
+_BEGIN = ", ".join(_STATES % x for x in ((0, ""), (1000000000, ""), (5, "I"), (10, "II")))
+OP11_SQL = f"""
+with recursive chosen as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        {_crc32("concat(coalesce(cast(conv_id as varchar), ' '), ':', coalesce(cast(turn as varchar), ' '))")} % 20 as h
+    from conversations
+),
+damaged as (
+    select conv_id, turn, case when h = 4 then 'user' else role end as role,
+        case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+    from chosen, (values (1), (2)) as copies(copy)
+    where h <> 0 and (copy = 1 or h = 3)
+),
+placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as place,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as ending
+    from damaged
+),
+judged as (
+    select *, case when ending = '' then 'b'
+            when row_number() over (partition by conv_id, role, text order by place) > 1 then 'd'
+            when ending not in ('.', '!', '?') then 't' else '' end as fault,
+        lag(left(role, 1)) over (partition by conv_id order by place) || left(role, 1) as pair
+    from placed
+),
+counted as (
+    select conv_id, max(place) as many,
+        coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+        count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+        count(*) filter (fault = 't') as truncated,
+        count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+    from judged group by conv_id
+),
+paths as (
+    select conv_id, cast(0 as bigint) as place, [{_BEGIN}] as v from counted
+    union all
+    select conv_id, place, {_insert(3)} from (
+        select conv_id, place, {_insert(2)} as v from (
+            select p.conv_id, s.place, {_step()} as v
+            from paths p join (
+                select conv_id, place, fault = 't' as late,
+                    case when fault in ('b', 'd') then 'x' when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end as sign
+                from judged
+            ) s on s.conv_id is not distinct from p.conv_id and s.place = p.place + 1))
+),
+cheapest as (
+    select c.*, list_min([p.v[1], p.v[4]]) as best
+    from counted c join paths p on c.conv_id is not distinct from p.conv_id and c.many = p.place
+),
+edits as (
+    select conv_id, best.audit as audit, unnest(string_split(best.audit, '')) as edit,
+        unnest(range(1, length(best.audit) + 1)) as i
+    from cheapest
+),
+numbered as (
+    select *, sum(cast(edit <> 'I' as int)) over w as place, sum(cast(edit <> 'D' as int)) over w as kept,
+        length(replace(audit, 'D', '')) % 2 as system
+    from edits window w as (partition by conv_id order by i rows unbounded preceding)
+),
+lines as (
+    select n.conv_id, n.i,
+        case when edit = 'K' then j.role when (kept + system) % 2 = 1 then 'user' else 'assistant' end
+        || ':' || case when edit = 'I' then '' else j.text end as line
+    from numbered n left join judged j on n.conv_id is not distinct from j.conv_id and n.place = j.place
+    where edit <> 'D'
+),
+repaired as (select conv_id, string_agg(line, chr(10) order by i) as whole from lines group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0) as cost,
+    coalesce(best.audit, '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+    left join cheapest c on o.conv_id is not distinct from c.conv_id
+    left join repaired r on o.conv_id is not distinct from r.conv_id
+"""
