@@ -17,6 +17,7 @@ from martloom.llm import (
     packing,
     pii,
     quality,
+    ranked_search,
     sentencepiece_codec,
     topk,
     toxicity,
@@ -171,6 +172,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     ).select("conv_id", *counts, "audit", F.sha2(F.col("repaired").cast("binary"), 256).alias("repaired_sha256"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked_search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=20)
+
+
 def llm_queries() -> dict[str, Query]:
     queries = {
         run.__name__: run
@@ -186,6 +191,7 @@ def llm_queries() -> dict[str, Query]:
             op9_quality,
             op10_sentencepiece,
             op11_conversation_repair,
+            op13_ranked_search,
         )
     }
     return queries | {"pipeline": corpus_pipeline.run}
@@ -199,6 +205,7 @@ def llm_sql() -> dict[str, str]:
         "op6_exact_dedup": OP6_SQL,
         "op8_url_filters": OP8_SQL,
         "op11_conversation_repair": OP11_SQL,
+        "op13_ranked_search": OP13_SQL,
     }
 
 
@@ -452,3 +459,35 @@ from (select distinct conv_id from conversations) o
     left join cheapest c on o.conv_id is not distinct from c.conv_id
     left join repaired r on o.conv_id is not distinct from r.conv_id
 """
+
+
+def _words(table: str, key: str) -> str:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    text = f"translate(text, '{capitals}', '{capitals.lower()}')"
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    words = f"select {key}, unnest(regexp_extract_all({text}, '{pattern}')) as term from {table}"
+    return f"select {key}, term, count(*) as times from ({words}) group by all"
+
+
+OP13_SQL = f"""
+with held as ({_words("documents", "doc_id")}),
+asked as ({_words("benchmark", "item_id")}),
+lengths as (select doc_id, cast(sum(times) as bigint) as n from held group by doc_id),
+whole as (select count(*) as docs, cast(sum(n) as bigint) as terms from lengths),
+sized as (select doc_id, 75 + (25 * n * docs) // terms as m from lengths, whole),
+weighed as (
+    select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+    from held, whole group by term, docs
+),
+scored as (
+    select item_id, doc_id,
+        cast(sum(a.times * w * ((1000000000 * h.times) // (1000 * h.times + 12 * m))) as bigint) as score
+    from asked a join held h using (term) join sized using (doc_id) join weighed using (term)
+    group by item_id, doc_id
+),
+ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score
+    from scored where score > 0
+)
+select * from ranked where rank <= 20
+"""
