@@ -14,6 +14,7 @@ from martloom.llm import (
     exact_dedup,
     language,
     near_dedup,
+    neighbours,
     packing,
     pii,
     quality,
@@ -172,6 +173,11 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     ).select("conv_id", *counts, "audit", F.sha2(F.col("repaired").cast("binary"), 256).alias("repaired_sha256"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.ranked_search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=20)
 
@@ -191,6 +197,7 @@ def llm_queries() -> dict[str, Query]:
             op9_quality,
             op10_sentencepiece,
             op11_conversation_repair,
+            op12_nearest_neighbours,
             op13_ranked_search,
         )
     }

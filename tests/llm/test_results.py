@@ -31,7 +31,7 @@ def run(spark, name):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in (*range(1, 12), 13)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in contract.queries()) == 1 for n in names)
     assert "pipeline" in contract.queries() and corpus_pipeline.ORACLE_SQL is None
     assert set(llm_sql()) <= set(contract.oracle_sql())
