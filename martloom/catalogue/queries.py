@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.catalogue.frames import Frames
 from martloom.functions import dates, text
-from martloom.operators import filters, loads, lookup, partitions, quality, shards, stats
+from martloom.operators import filters, loads, lookup, partitions, quality, shards, statistics, stats
 from martloom.operators.joins import fact_join
 from martloom.plans import pipeline, plan_fact, refine, sales_mart, serving
 from martloom.session import fresh_path
@@ -256,7 +256,19 @@ def table_stats(f):
 
 
 @query
-def load_months(f):
+def replaced_load(f):
+    """A product table after a replacement that fails while its rows are written."""
+    path = fresh_path(f.spark, "product")
+    loads.full_load(f.product, path, schemas.PRODUCT, truncate=True)
+    unknown = f.product.withColumn("material", F.when(F.col("material") != "1", F.col("material")))
+    try:
+        loads.create_table_as(quality.require(unknown, schemas.PRODUCT), path)
+    except PySparkException:
+        pass  # What is read back shows that the table is as it was.
+    return read_table(f.spark, path, schemas.PRODUCT)
+
+
+def _items_on_disk(f: Frames) -> str:
     """Items on disk: months declared for three years, two reloaded, the second by nothing."""
     path = fresh_path(f.spark, "bills_item")
     loads.load_all_months(
@@ -264,7 +276,20 @@ def load_months(f):
     )
     delta = f.bills_item.filter(~dates.in_window("calday", *dates.month_window(END, END)))
     loads.load_months(delta, path, schemas.BILLS_ITEM, "calday", START, END)
-    return read_partitioned(f.spark, path, schemas.BILLS_ITEM, keep_month=True)
+    return path
+
+
+@query
+def load_months(f):
+    return read_partitioned(f.spark, _items_on_disk(f), schemas.BILLS_ITEM, keep_month=True)
+
+
+@query
+def table_stats_merged(f):
+    """Statistics of that table from those of its months; no item is read for them."""
+    found = statistics.table_stats_merged(f.spark, _items_on_disk(f), schemas.BILLS_ITEM)
+    known = F.col("column_name").isin("billitem", "qty")
+    return found.withColumn("distinct_count", F.when(known, F.col("distinct_count")))
 
 
 # ---- serving -------------------------------------------------------------------
@@ -530,13 +555,41 @@ def audit_log(f):
     return house.journal.outcomes()
 
 
+SALES_SOURCES = ("coupons", "stores", "promos", "promo_types", "traffic", "bills_head", "bills_item")
+
+
 @query
 def pipeline_run(f):
     house = pipeline.Warehouse(f.spark, fresh_path(f.spark, "warehouse"))
-    tables = (
-        "coupons", "stores", "promos", "promo_types", "traffic", "bills_head", "bills_item"
-    )
-    return pipeline.run_sales_pipeline(house, {t: getattr(f, t) for t in tables}, START, END)
+    return pipeline.run_sales_pipeline(house, {t: getattr(f, t) for t in SALES_SOURCES}, START, END)
+
+
+def _run_again(f: Frames) -> tuple[pipeline.Warehouse, DataFrame]:
+    """A run in which January's items are an older state, and one in which they are not."""
+    house = pipeline.Warehouse(f.spark, fresh_path(f.spark, "warehouse"))
+    sources = {t: getattr(f, t) for t in SALES_SOURCES}
+    january = dates.in_window("calday", *dates.month_window(START, START))
+    items = f.bills_item
+    older = items.withColumn("qty", F.when(january, F.col("qty") + 1).otherwise(F.col("qty")))
+    pipeline.run_sales_pipeline(house, sources | {"bills_item": older}, START, END)
+    return house, pipeline.run_sales_pipeline(house, sources, START, END)
+
+
+@query
+def pipeline_rerun(f):
+    return _run_again(f)[1]
+
+
+@query
+def rerun_months(f):
+    """Rows that the second of these runs wrote, for each month of each fact; NULL for a month it left alone."""
+    house, _ = _run_again(f)
+    rows = [
+        (table, month, house.results[table].months.get(month))
+        for table in ("bills_head", "bills_item", "ods_traffic", "dds_bills", "dds_coupons")
+        for month in [f"{first:%Y%m}" for first in dates.months_between(*dates.month_window(START, END))]
+    ]
+    return f.spark.createDataFrame(rows, "table_name string, month string, rows_written bigint")
 
 
 @query

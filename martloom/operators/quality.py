@@ -64,10 +64,12 @@ def outside_partition(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> Data
     return df.filter(outside_window(key, lo, hi))
 
 
-def inside_window(df: DataFrame, key: str, lo: dt.date, hi: dt.date) -> DataFrame:
-    """Fail the job on a row outside ``[lo, hi)``, in the same pass that writes the rows."""
-    failure = F.raise_error(F.lit(f"row with {key} outside [{lo}, {hi})")).cast(df.schema[key].dataType)
-    checked = F.when(outside_window(key, lo, hi), failure).otherwise(F.col(key))
+def inside_windows(df: DataFrame, key: str, windows: list[tuple[dt.date, dt.date]]) -> DataFrame:
+    """Fail the job on a row outside all of the windows ``[lo, hi)``, in the same pass that writes the rows."""
+    spans = ", ".join(f"[{lo}, {hi})" for lo, hi in windows)
+    failure = F.raise_error(F.lit(f"row with {key} outside {spans}")).cast(df.schema[key].dataType)
+    stray = reduce(and_, [outside_window(key, lo, hi) for lo, hi in windows])
+    checked = F.when(stray, failure).otherwise(F.col(key))
     return df.withColumn(key, checked.alias(key, metadata=df.schema[key].metadata))
 
 

@@ -1,33 +1,32 @@
-"""Load journal: checked entries, row counts per load, appended as loads run."""
+"""Load journal: checked entries, row counts per load, stored one by one as loads run.
+
+Each entry is a small file of its own that is there as soon as it is written. A
+driver that dies in the middle of a run leaves everything it has noted, the START
+of the load it died in included. ``compact`` joins the files.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.operators.loads import LoadResult
-from martloom.sources.tables import read_table
+from martloom.sources import storage
 
 # Kinds of entries, and the texts that stand for a missing value.
 INFO, ERROR = "INFO", "ERROR"
 NO_MESSAGE, NO_LOCATION = "empty", "null"
 
 
-_ENTRY = pa.schema(
-    [
-        ("log_id", pa.string()),
-        ("log_timestamp", pa.timestamp("us", "UTC")),
-        ("log_type", pa.string()),
-        ("log_msg", pa.string()),
-        ("log_location", pa.string()),
-    ]
+_ENTRY = (
+    "log_id string, log_timestamp timestamp, log_type string, log_msg string, log_location string, log_user string"
 )
 
 
@@ -58,73 +57,92 @@ def entries(df: DataFrame) -> DataFrame:
 
 
 def _stats_note(result: LoadResult) -> str:
-    """Statistics of the loaded rows, one clause per column."""
+    """Statistics of the loaded rows, one clause per column and piece."""
     clauses = (
-        f"{name} nulls={s.nulls} distinct~{s.distinct} min={s.least} max={s.most}"
-        for name, s in result.stats.items()
+        f"{piece} {name} nulls={s.nulls} distinct~{s.distinct} min={s.least} max={s.most}"
+        for piece, found in result.pieces.items()
+        for name, s in found.columns.items()
     )
     return "statistics: " + "; ".join(clauses)
 
 
 class Journal:
-    """Journal table of a warehouse. A load's entries are stored when it ends or fails."""
+    """Journal of a warehouse, a folder of small files. Loads may run side by side."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self.held: list[tuple] | None = None
 
     def write(self, *raw: tuple[str, str | None, str | None]) -> None:
-        """Store entries given as (type, message, location)."""
+        """Store entries given as (type, message, location) at once, in one file and without a job."""
         now = dt.datetime.now(dt.timezone.utc)
-        rows = [(f"{uuid.uuid4()}", now, check_type(kind), *texts) for kind, *texts in raw]
-        if self.held is None:
-            self._store(rows)
-        else:
-            self.held += rows
-
-    @contextmanager
-    def together(self) -> Iterator[None]:
-        """Store the entries of several loads in one write, also when one of them fails."""
-        if self.held is not None:
-            yield
-            return
-        self.held = []
-        try:
-            yield
-        finally:
-            rows, self.held = self.held, None
-            if rows:
-                self._store(rows)
-
-    def _store(self, rows: list[tuple]) -> None:
-        # An Arrow table becomes rows of the plan itself: no Python worker is started.
-        columns = [pa.array(v, t) for v, t in zip(zip(*rows), _ENTRY.types)]
-        given = self.spark.createDataFrame(pa.Table.from_arrays(columns, schema=_ENTRY))
-        stamped = entries(given).withColumn("log_user", F.current_user())
-        stamped.select(schemas.AUDIT.names).coalesce(1).write.mode("append").parquet(self.path)
+        user = self.spark.sparkContext.sparkUser()
+        lines = [
+            {
+                "log_id": f"{uuid.uuid4()}",
+                "log_timestamp": now.isoformat(timespec="microseconds"),
+                "log_type": check_type(kind),
+                "log_msg": message,
+                "log_location": location,
+                "log_user": user,
+            }
+            for kind, message, location in raw
+        ]
+        self._store(lines, f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}")
+
+    def _store(self, lines: list[dict], name: str) -> None:
+        text = "".join(json.dumps(line) + "\n" for line in lines)
+        storage.write_text(self.spark, f"{self.path}/{name}.json", text)
 
     @contextmanager
     def load(self, location: str) -> Iterator[list[LoadResult]]:
         """Journal the row count of a load, or its failure, between its start and end."""
-        noted = [(INFO, f"START {location}", location)]
+        self.write((INFO, f"START {location}", location))
+        noted: list[tuple] = []
         results: list[LoadResult] = []
         try:
             yield results
             for result in results:
-                note = "source table is empty" if result.skipped else f"{result.rows} rows inserted"
-                noted.append((INFO, note, location))
-                if result.stats:
+                if result.skipped:
+                    noted.append((INFO, "source table is empty", location))
+                elif result.pieces:
+                    noted.append((INFO, f"{result.rows} rows inserted", location))
                     noted.append((INFO, _stats_note(result), location))
+                elif not result.unchanged:
+                    noted.append((INFO, f"{result.rows} rows inserted", location))
+                if result.unchanged:
+                    noted.append((INFO, f"unchanged: {', '.join(result.unchanged)}", location))
             noted.append((INFO, f"END {location}", location))
         except Exception as failure:
             noted.append((ERROR, f"FAILED {location}: {failure}", location))
             raise
         finally:
-            self.write(*noted)
+            if noted:
+                self.write(*noted)
 
     def read(self) -> DataFrame:
-        return read_table(self.spark, self.path, schemas.AUDIT)
+        """All entries, each once: while files are joined an entry can be in two of them."""
+        found = self.spark.createDataFrame([], _ENTRY)
+        if storage.names(self.spark, self.path):
+            found = self.spark.read.schema(_ENTRY).json(self.path)
+        return entries(found.dropDuplicates(["log_id"])).select(schemas.AUDIT.names)
+
+    def compact(self) -> int:
+        """Joins the files of the journal into one and returns how many there were.
+
+        Entries of a journal are few, some per load, so they pass the driver. Files
+        written meanwhile stay as they are. If it fails in between, entries are in
+        two files, which ``read`` allows for.
+        """
+        files = [n for n in storage.names(self.spark, self.path) if not n.startswith((".", "_"))]
+        if len(files) > 1:
+            paths = [f"{self.path}/{name}" for name in files]
+            stored = self.spark.read.text(paths).distinct().orderBy("value")
+            lines = [json.loads(row["value"]) for row in stored.toLocalIterator()]
+            self._store(lines, f"joined-{uuid.uuid4().hex}")
+            for path in paths:
+                storage.remove(self.spark, path)
+        return len(files)
 
     def outcomes(self) -> DataFrame:
         """What became of each location's loads, without times and users."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martloom.functions.dates import DEFAULT_PARTITION, in_window, month_window
+from martloom.sources import storage
 
 MONTH = "month"
 
@@ -21,7 +21,8 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table; one that was never loaded reads as empty."""
-    if exists(spark, path):
+    path = storage.current(spark, path)
+    if storage.exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return empty_table(spark, schema)
 
@@ -35,39 +36,23 @@ def read_partitioned(
     return table if keep_month else table.drop(MONTH)
 
 
-def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    """A path and its file system, for what needs no job."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    folder, system = _folder(spark, path)
-    return system.exists(folder)
-
-
 def declared_folders(spark: SparkSession, path: str) -> list[str]:
     """Months a stored table has folders for, the default one left out."""
-    folder, system = _folder(spark, path)
-    if not system.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    months = [n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}=")]
+    found = storage.names(spark, path)
+    months = [n.removeprefix(f"{MONTH}=") for n in found if n.startswith(f"{MONTH}=")]
     return sorted(m for m in months if m != DEFAULT_PARTITION)
 
 
 def declare_folders(spark: SparkSession, path: str, months: list[str]) -> None:
     """Gives a stored table a folder, empty if need be, for each month."""
     for name in months:
-        folder, system = _folder(spark, f"{path}/{MONTH}={name}")
-        system.mkdirs(folder)
+        storage.make_folder(spark, f"{path}/{MONTH}={name}")
 
 
 def remove_months(spark: SparkSession, path: str, months: list[str]) -> None:
     """Removes the rows of the given months; no job is run."""
     for name in months:
-        folder, system = _folder(spark, f"{path}/{MONTH}={name}")
-        system.delete(folder, True)
+        storage.remove(spark, f"{path}/{MONTH}={name}")
 
 
 def read_months(

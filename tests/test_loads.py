@@ -8,8 +8,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from martloom import schemas
-from martloom.operators import loads, partitions, quality
+from martloom.operators import loads, partitions, quality, statistics
 from martloom.operators.stats import analyze, table_stats
+from martloom.sources import storage
 from martloom.sources.tables import read_months, read_partitioned, read_table
 
 KEYED = schemas.table("k text, n int")
@@ -293,3 +294,156 @@ def test_analyze_stores_statistics(spark, tmp_path):
         assert ("max", "9") in [(r.info_name, r.info_value) for r in detail]
     finally:
         spark.sql("DROP TABLE analyzed")
+
+
+# ---- replacement, statistics, changes -----------------------------------------------
+
+
+def failing(df):
+    """Rows of which the second task cannot write its own."""
+    broken = F.raise_error(F.lit("lost disk")).cast("int")
+    return df.repartition(2).withColumn("n", F.when(F.spark_partition_id() == 1, broken).otherwise(F.col("n")))
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    old = frame("k string, n int", ("a", 1), ("b", 2), ("c", 3))
+    loads.full_load(old, path, KEYED, truncate=True)
+    for load in (
+        lambda df: loads.full_load(df, path, KEYED, truncate=True),
+        lambda df: loads.insert_select(df, path, KEYED, truncate=True),
+        lambda df: loads.create_table_as(df, path),
+    ):
+        with pytest.raises(PySparkException, match="lost disk"):
+            load(failing(old))
+        assert rows(read_table(spark, path, KEYED)) == rows(old)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    loads.create_table_as(frame("k string, n int", ("a", 1), ("b", 2)), path)
+    loads.create_table_as(read_table(spark, path, KEYED).filter("n > 1"), path)
+    assert rows(read_table(spark, path, KEYED)) == [("b", 2)]
+
+
+@pytest.mark.parametrize("ready", [True, False])
+def test_an_interrupted_swap_is_ended_by_the_next_load(spark, frame, tmp_path, monkeypatch, ready):
+    path = str(tmp_path / "t")
+    loads.create_table_as(frame("k string, n int", ("old", 1)), path)
+
+    def dies(session, source, target):
+        if source.endswith(storage.NEXT):
+            raise KeyboardInterrupt
+        rename(session, source, target)
+
+    rename = storage.rename
+    monkeypatch.setattr(storage, "rename", dies)
+    with pytest.raises(KeyboardInterrupt):
+        loads.create_table_as(frame("k string, n int", ("new", 2)), path)
+    monkeypatch.setattr(storage, "rename", rename)
+    # Until then the old rows are read.
+    assert rows(read_table(spark, path, KEYED)) == [("old", 1)]
+    if not ready:
+        storage.remove(spark, f"{path}{storage.NEXT}/_READY")
+    loads.insert_select(frame("k string, n int", ("more", 3)), path, KEYED)
+    assert rows(read_table(spark, path, KEYED)) == [("more", 3), ("new", 2) if ready else ("old", 1)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def merged(spark, path, schema):
+    found = statistics.table_stats_merged(spark, path, schema)
+    scans = [line for line in plan_of(found).splitlines() if "Scan" in line]
+    assert len(scans) == 1 and "_statistics" in scans[0]  # no row of the table is read
+    return rows(found)
+
+
+def test_merged_statistics_equal_those_of_the_table(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(2000).selectExpr("date_add(date'2021-01-01', cast(id % 200 as int)) d", "cast(id % 90 as int) n")
+    loads.load_all_months(many.union(frame(DAYS, (None, 7), (day("2021-02-03"), None))), path, DATED, "d")
+    assert merged(spark, path, DATED) == rows(table_stats(read_partitioned(spark, path, DATED), exact=("d", "n")))
+    loads.load_months(frame(DAYS, (day("2021-01-31"), 900)), path, DATED, "d", "2021-01-01", "2021-03-31")
+    assert merged(spark, path, DATED) == rows(table_stats(read_partitioned(spark, path, DATED), exact=("d", "n")))
+    # More months than the writing tasks look at.
+    loads.load_months(many.filter("n < 10"), path, DATED, "d", "2021-01-01", "2021-06-30")
+    assert merged(spark, path, DATED) == rows(table_stats(read_partitioned(spark, path, DATED), exact=("d", "n")))
+
+
+def test_merged_statistics_cover_appended_rows(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    assert [r[1] for r in rows(statistics.table_stats_merged(spark, path, KEYED))] == [0, 0]
+    for part in ((("a", 9), ("b", None)), (("b", 10),), ((None, -1),)):
+        loads.insert_select(frame("k string, n int", *part), path, KEYED)
+    # Numbers are compared as numbers: 10 is more than 9.
+    assert merged(spark, path, KEYED) == [("k", 4, 1, "a", "b", 2), ("n", 4, 1, "-1", "10", 3)]
+    loads.insert_select(frame("k string, n int", ("z", 1)), path, KEYED, truncate=True)
+    assert merged(spark, path, KEYED) == [("k", 1, 0, "z", "z", 1), ("n", 1, 0, "1", "1", 1)]
+
+
+def test_sketches_estimate_many_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loads.create_table_as(spark.range(60_000).selectExpr("cast(id as string) k", "cast(id % 30000 as int) n"), path)
+    counts = [r.distinct_count for r in statistics.table_stats_merged(spark, path, KEYED).orderBy("column_name").collect()]
+    assert abs(counts[0] - 60_000) < 3_000 and abs(counts[1] - 30_000) < 1_500
+
+
+def test_fingerprints_do_not_depend_on_order_and_see_every_change(spark, frame):
+    given = [("a", 1, "x"), ("a", 1, "x"), (None, 2, "x"), ("b", None, "x")]
+
+    def of(*given):
+        return statistics.fingerprints_by(frame("k string, n int, m string", *given).repartition(3), "m").get("x")
+
+    base = of(*given)
+    assert of(*reversed(given)) == base and base[0] == 4
+    others = [given[1:], [*given, given[0]], [("a", 2, "x"), *given[1:]], [*given[:2], ("b", 2, "x"), (None, None, "x")],
+              [*given[2:], ("c", 1, "x"), ("c", 1, "x")]]
+    assert len({base, *(of(*g) for g in others)}) == 6
+    assert of(("a", None, "x")) != of((None, None, "x"))
+
+
+def test_only_changed_months_are_written(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    new, window = frame(DAYS, *NEW), ("d", "2020-12-01", "2021-02-01")
+    options = {"only_changed": True}
+    assert loads.load_months(new, path, DATED, *window, **options).months == {"202012": 1, "202101": 1, "202102": 1}
+    again = loads.load_months(new.repartition(2), path, DATED, *window, **options)
+    assert (again.rows, again.months, again.unchanged) == (0, {}, ("202012", "202101", "202102"))
+    # One month changed and another emptied; an emptied one is known to be empty.
+    less = new.filter("n <> 30").withColumn("n", F.when(F.col("n") == 10, 11).otherwise(F.col("n")))
+    for months in ({"202012": 1, "202102": 0}, {}):
+        assert loads.load_months(less, path, DATED, *window, **options).months == months
+        assert sorted(r.n for r in read_partitioned(spark, path, DATED).collect()) == [11, 20]
+    # A load that dies between its rows and their statistics leaves nothing wrong behind.
+    statistics.forget(spark, path, ["202101"])
+    assert loads.load_months(less, path, DATED, *window, **options).months == {"202101": 1}
+
+
+def test_months_derived_from_the_same_are_not_computed(spark, frame, tmp_path):
+    path, window = str(tmp_path / "t"), ("d", "2021-01-01", "2021-02-01")
+    new = frame(DAYS, *NEW)
+    inputs = {"202101": "one", "202102": "two"}
+    assert loads.load_months(new, path, DATED, *window, inputs=inputs).rows == 2
+    broken = new.withColumn("n", F.raise_error(F.lit("computed")).cast("int"))
+    assert loads.load_months(broken, path, DATED, *window, guard=new, inputs=inputs).unchanged == ("202101", "202102")
+    later = new.withColumn("n", F.when(F.month("d") == 1, F.raise_error(F.lit("computed")).cast("int")).otherwise(99))
+    found = loads.load_months(later, path, DATED, *window, guard=new, inputs={**inputs, "202102": "other"})
+    assert found.months == {"202102": 1} and found.unchanged == ("202101",)
+    # What is not known is never taken for unchanged.
+    unknown = {"202101": "", "202102": ""}
+    for _ in range(2):
+        assert loads.load_months(new, path, DATED, *window, inputs=unknown).rows == 2
+
+
+def test_a_full_load_of_the_same_rows_writes_nothing(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    good = frame("k string, n int", ("a", 1), (" ", 2))
+    assert loads.full_load(good, path, KEYED, truncate=True, only_changed=True).rows == 1
+    assert loads.full_load(good, path, KEYED, truncate=True, only_changed=True).unchanged == ("whole",)
+    assert loads.full_load(good.filter("n = 2"), path, KEYED, truncate=True, only_changed=True).pieces
+    assert read_table(spark, path, KEYED).isEmpty()
+    # Rows were added meanwhile, so the table is more than its first piece.
+    loads.full_load(good, path, KEYED, truncate=True)
+    loads.insert_select(good, path, KEYED)
+    assert loads.full_load(good, path, KEYED, truncate=True, only_changed=True).rows == 1
+    assert rows(read_table(spark, path, KEYED)) == [("a", 1)]

@@ -1,5 +1,9 @@
 """Journal, serving copies and whole runs on disk."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import day, rows
 from pyspark.errors import PySparkException
@@ -11,7 +15,7 @@ from martloom.operators import shards
 from martloom.operators.loads import LoadResult
 from martloom.plans import audit, pipeline, refine, sales_mart, serving
 from martloom.session import fresh_path, shared_dir
-from martloom.sources import delimited
+from martloom.sources import delimited, storage
 from martloom.sources.tables import declared_folders, read_partitioned
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,6 +66,48 @@ def test_journal_outlives_a_failed_load(spark, tmp_path):
     assert found.filter("log_user is null or log_timestamp is null").isEmpty()
 
 
+def test_a_killed_run_leaves_what_it_has_noted(spark, tmp_path):
+    """The driver dies in its third load, without any chance to store something."""
+    program = f"""
+import os
+from pyspark.sql import functions as F
+from martloom import schemas
+from martloom.plans.pipeline import Warehouse
+from martloom.session import local_session
+spark = local_session(1)
+house = Warehouse(spark, {str(tmp_path)!r})
+stores = spark.sql("select 'M1' plant, 'one' txt")
+house.full("Stores", schemas.STORES, stores)
+house.replace("Copy", stores)
+with house.journal.load("Third"):
+    os._exit(9)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ended = subprocess.run([sys.executable, "-c", program], cwd=root, timeout=300, capture_output=True)
+    assert ended.returncode == 9, ended.stderr[-2000:]
+    journal = audit.Journal(spark, str(tmp_path / "journal"))
+    found = {(r.log_location, r.log_msg.split(":")[0]) for r in journal.read().collect()}
+    assert found == {
+        ("stores", "START Stores"), ("stores", "1 rows inserted"), ("stores", "statistics"), ("stores", "END Stores"),
+        ("copy", "START Copy"), ("copy", "1 rows inserted"), ("copy", "statistics"), ("copy", "END Copy"),
+        ("third", "START Third"),
+    }
+
+
+def test_joined_journal_files_give_the_same_entries(spark, tmp_path):
+    journal = audit.Journal(spark, str(tmp_path / "journal"))
+    assert journal.compact() == 0
+    for n in range(5):
+        journal.write(("info", f"it's \n entry {n}", "Here"), ("error", None, None))
+    before, files = rows(journal.read()), storage.names(spark, journal.path)
+    assert len(before) == 10 and journal.compact() == 5
+    joined = storage.names(spark, journal.path)
+    assert len(joined) == 1 and rows(journal.read()) == before
+    # A crash between the joined file and the removal of the others leaves entries twice.
+    (tmp_path / "journal" / files[0]).write_bytes((tmp_path / "journal" / joined[0]).read_bytes())
+    assert rows(journal.read()) == before
+
+
 # ---- shards -----------------------------------------------------------------------
 
 
@@ -153,7 +199,8 @@ def test_a_failed_run_still_has_its_journal(spark, sources, tmp_path):
     with pytest.raises(Exception):
         pipeline.run_sales_pipeline(house, broken, START, END)
     found = {r.log_location: r.errors for r in house.journal.outcomes().collect()}
-    assert found == {"coupons": 0, "stores": 0, "promos": 1}
+    # Loads that run side by side with the failing one end and are noted, later ones never start.
+    assert found == dict.fromkeys(sources, 0) | {"promos": 1}
 
 
 def test_loads_declare_their_months(spark, house):
@@ -217,3 +264,36 @@ def test_an_empty_source_leaves_the_stored_layers(spark, house, sources):
     assert house.read("ods_coupons", schemas.ODS_COUPONS).count() == before > 0
     notes = house.journal.read().filter("log_location = 'coupons'").select("log_msg")
     assert ("source table is empty",) in rows(notes)
+
+
+def written(house):
+    return {t: (dict(r.months) or r.rows) for t, r in house.results.items() if r.pieces}
+
+
+def test_a_run_over_the_same_rows_writes_nothing(spark, sources, tmp_path):
+    house = pipeline.Warehouse(spark, str(tmp_path / "house"))
+    report = rows(pipeline.run_sales_pipeline(house, sources, START, END))
+    assert len(written(house)) == len(house.results) == 13
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "house").rglob("part-*.parquet")}
+    shuffled = {name: df.repartition(3) for name, df in sources.items()}
+    assert rows(pipeline.run_sales_pipeline(house, shuffled, START, END)) == report
+    assert written(house) == {}
+    assert files == {p: p.stat().st_mtime_ns for p in (tmp_path / "house").rglob("part-*.parquet")}
+    # On demand all is derived anew.
+    pipeline.run_sales_pipeline(pipeline.Warehouse(spark, house.root, only_changed=False), sources, START, END)
+    assert not set(files) & set((tmp_path / "house").rglob("part-*.parquet"))
+
+
+def test_a_run_with_a_changed_month_equals_a_full_one(spark, sources, tmp_path):
+    january = F.col("calday") < day("1995-02-01")
+    items = sources["bills_item"]
+    changed = {**sources, "bills_item": items.withColumn("qty", F.when(january, F.col("qty") + 1).otherwise(F.col("qty")))}
+    house, full = (pipeline.Warehouse(spark, str(tmp_path / n)) for n in ("house", "full"))
+    pipeline.run_sales_pipeline(house, sources, START, END)
+    report = rows(pipeline.run_sales_pipeline(house, changed, START, END))
+    assert {t: set(m) for t, m in written(house).items() if isinstance(m, dict)} == {
+        "bills_item": {"199501"}, "dds_bills": {"199501"}, "dds_coupons": {"199501", "199502"},
+    }
+    assert report == rows(pipeline.run_sales_pipeline(full, changed, START, END))
+    for table in ("dds_bills", "dds_coupons", "bills_item"):
+        assert rows(spark.read.parquet(house.path(table))) == rows(spark.read.parquet(full.path(table)))
