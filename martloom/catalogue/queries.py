@@ -87,6 +87,15 @@ def bills_daily(f):
     return sales_mart.bills_daily(_dds_bills(f), START, END)
 
 
+@query
+def distinct_bills(f):
+    """Distinct bills per store from a Tuesday to a Monday, from stored bitmaps of two months."""
+    path = fresh_path(f.spark, "bill_sets")
+    loads.create_table_as(sales_mart.bill_sets(_dds_bills(f), START, END), path)
+    sets = f.spark.read.parquet(path)
+    return sales_mart.distinct_bills(sets, ["plant"], "1995-01-10", "1995-02-20")
+
+
 @query
 def traffic_daily(f):
     return sales_mart.traffic_daily(_ods_traffic(f), START, END)
@@ -168,6 +177,20 @@ def load_coupons_ods(f):
     return refine.coupons_ods(f.coupons)
 
 
+@query
+def hot_keys(f):
+    """Promotions with at least half a percent of all coupons."""
+    return stats.hot_keys(f.coupons, ["promo_id"], 0.005)
+
+
+@query
+def skewed_coupons_dds(f):
+    """The coupon detail with the coupons of hot promotions spread over many tasks."""
+    coupons = refine.coupons_ods(f.coupons)
+    hot = [row["promo_id"] for row in stats.hot_keys(coupons, ["promo_id"]).toLocalIterator()]
+    return refine.coupons_dds(coupons, f.bills_item, refine.promos_ods(f.promos), hot)
+
+
 @query
 def load_promos_ods(f):
     return refine.promos_ods(f.promos)
@@ -370,6 +393,14 @@ def point_lookup(f):
     return serving.point_lookup(_plan_fact(f), keys)
 
 
+@query
+def stored_point_lookup(f):
+    """The same rows as ``point_lookup``, from the one shard of the published mart that has them."""
+    path, mart = fresh_path(f.spark, "shards"), _plan_fact(f)
+    serving.publish_plan_fact(mart, path, 8)
+    return serving.plan_fact_lookup(f.spark, path, mart.schema, "R2", "ECONOMY", "A")
+
+
 @query
 def shard_distribution(f):
     """Items per shard of the bill number, which other engines can compute too."""

@@ -1,8 +1,11 @@
-"""Table statistics after a load."""
+"""Statistics of a frame: its columns, and its hot keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +33,27 @@ def table_stats(df: DataFrame, distinct: bool = True, exact: tuple[str, ...] = (
     return df.agg(F.array(*measures).alias("measures")).select(F.inline("measures"))
 
 
-def analyze(spark, table: str) -> None:
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.005) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows, with their exact number of rows.
+
+    One pass keeps a sketch of frequent items, whose size depends on ``share``
+    alone: it cannot miss a key that is frequent enough, but may name others. A
+    second pass counts the named ones. Both read only the key columns, and nothing
+    but the candidates, at most ``2 / share``, reaches the driver. Null is a key too.
+    """
+    if not 0.0001 <= share <= 1:
+        raise ValueError(f"a share of {share} is not between 0.0001 and 1")
+    # A hash passes over nulls, so where they are is hashed too.
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in on])
+    keys = df.select(*on, F.xxhash64(*on, nulls).alias("_key"))
+    # The sketch errs by less than a fourth of the share, so every key asked for is among its best.
+    best = F.expr(f"approx_top_k(_key, {math.ceil(2 / share)}, {math.ceil(16 / share)})")
+    found = keys.agg(best.alias("best"), F.count(F.lit(1)).alias("total")).first()
+    candidates = [row["item"] for row in found["best"] or []]
+    counted = keys.filter(F.col("_key").isin(candidates)).groupBy(*on)
+    return counted.agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") >= share * found["total"])
+
+
+def analyze(spark: SparkSession, table: str) -> None:
     """Store optimizer statistics of a catalog table."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -27,6 +27,7 @@ from martloom.functions.text import (
 )
 from martloom.operators import statistics
 from martloom.operators.loads import LoadResult, create_table_as, full_load, load_months
+from martloom.operators.stats import hot_keys
 from martloom.plans import refine
 from martloom.plans.audit import ERROR, Journal
 from martloom.plans.plan_fact import plan_fact_mart, plan_fact_view
@@ -235,7 +236,8 @@ def _load_sales_layers(
     ods_coupons = read("ods_coupons", schemas.ODS_COUPONS)
     # A coupon of the window may be for a bill of any month.
     recent = ods_coupons.filter(in_window("calday", *month_window(start, end)))
-    detail = refine.coupons_dds(recent, items, read("ods_promos", schemas.ODS_PROMOS))
+    hot = [row["promo_id"] for row in hot_keys(recent, ["promo_id"]).toLocalIterator()]
+    detail = refine.coupons_dds(recent, items, read("ods_promos", schemas.ODS_PROMOS), hot)
     house.months(
         "dds_coupons", schemas.DDS_COUPONS, detail, "calday", start, end, guard=ods_coupons,
         derived_from={"ods_coupons": False, "bills_item": False, "ods_promos": False},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.functions.dates import COMPACT_DAY, DOTTED_DAY, as_date, parse_day
 from martloom.functions.rounding import cents, half_up, ratio, unscale
-from martloom.operators.joins import checked_join, fact_join
+from martloom.operators.joins import fact_join, salted_join
 from martloom.operators.quality import not_empty_predicate
 
 # How a promotion's discount is meant.
@@ -124,7 +125,13 @@ def bills_dds(items: DataFrame, heads: DataFrame) -> DataFrame:
     return joined.select(schemas.DDS_BILLS.names)
 
 
-def coupons_dds(coupons: DataFrame, items: DataFrame, promos: DataFrame) -> DataFrame:
+# Parts that the coupons of a hot promotion are spread over.
+SLICES = 64
+
+
+def coupons_dds(
+    coupons: DataFrame, items: DataFrame, promos: DataFrame, hot: Sequence[str | None] = ()
+) -> DataFrame:
     """Coupons with the unit price paid and the discount in money.
 
     Inner joins drop coupons without a matching item or promotion; the
@@ -133,14 +140,18 @@ def coupons_dds(coupons: DataFrame, items: DataFrame, promos: DataFrame) -> Data
     rows are merged on the exact values and only then rounded to money, so
     rows that look alike after rounding can remain.
 
+    Coupons meet the promotions first: those of an unknown one, often half of
+    all, never meet the bill items. ``hot`` names promotions, known or not, whose
+    coupons are too many for one task, as ``stats.hot_keys`` finds them.
+
     Lines of a (material, bill) pair with the same unit price are made one first,
     and the joined rows are merged again, so repeated coupons and lines do not
     multiply. A pair too large for one task is split at run time.
     """
     on = ["material", "billnum"]
-    priced = fact_join(coupons, _one_per_price(items.select(*on, "rpa_sat", "qty"), on), on)
     kinds = promos.select("promo_id", "promo_type", F.col("discount").alias("_promo"))
-    rows = checked_join(priced, kinds, ["promo_id"])
+    known = salted_join(coupons, kinds, ["promo_id"], [[key] for key in hot], SLICES)
+    rows = fact_join(known, _one_per_price(items.select(*on, "rpa_sat", "qty"), on), on)
     absolute, percent = F.col("promo_type") == ABSOLUTE, F.col("promo_type") == PERCENT
     price = ratio(F.col("rpa_sat"), F.col("qty"))
     exact = rows.withColumn("_price", price).withColumn(

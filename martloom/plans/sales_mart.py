@@ -60,6 +60,29 @@ def bills_daily(
     )
 
 
+def bill_sets(bills: DataFrame, start: dt.date | str, end: dt.date | str | None = None) -> DataFrame:
+    """Bill numbers of each store and day as bitmaps, for distinct counts over any of the days.
+
+    Counts of distinct bills cannot be added up over days, since a bill can have
+    items of several; the bitmaps can be united. Bill numbers that are close to
+    each other share a bitmap (``bucket``), so a day's bills, being numbered in a row
+    or nearly so, take few. Rows without a bill number are not counted.
+    """
+    numbered = bills.filter(_period(start, end) & F.col("billnum").isNotNull())
+    return (
+        numbered.select(*DAY, "billnum")
+        .distinct()
+        .groupBy(*DAY, F.bitmap_bucket_number("billnum").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("billnum")).alias("bills"))
+    )
+
+
+def distinct_bills(sets: DataFrame, by: list[str], start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """Distinct bills of a period from their bitmaps, exact, by store, day or both; no bill is read."""
+    united = sets.filter(_period(start, end)).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bills").alias("bills"))
+    return united.groupBy(by).agg(F.sum(F.bitmap_count("bills")).alias("bills_count"))
+
+
 def traffic_daily(
     traffic: DataFrame, start: dt.date | str, end: dt.date | str | None = None
 ) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, StructType
 
-from martloom.functions.dates import day_number
+from martloom.functions.dates import as_date, day_number
 from martloom.functions.rounding import ratio
 from martloom.operators.lookup import Dictionary, dict_lookup, dict_lookups
-from martloom.operators.shards import write_sharded
+from martloom.operators.shards import read_shard, write_sharded
 from martloom.plans.sales_mart import store_totals
 
 # Fixed value: shard keys and sort order of the two serving tables.
@@ -34,13 +37,29 @@ def export_types(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def publish_plan_fact(mart: DataFrame, path: str, shards: int) -> None:
-    write_sharded(mart, path, PLAN_FACT_SHARD, shards, PLAN_FACT_ORDER)
+    write_sharded(mart, path, PLAN_FACT_SHARD, shards, PLAN_FACT_ORDER, ["matdirec", "distr_chan"])
 
 
 def publish_sales(mart: DataFrame, path: str, shards: int) -> None:
     write_sharded(mart, path, ["plant", day_number("calday")], shards, SALES_ORDER)
 
 
+def plan_fact_lookup(
+    spark: SparkSession, path: str, schema: StructType, region: str, matdirec: str, distr_chan: str
+) -> DataFrame:
+    """Rows of a published plan-and-fact mart for one region, direction and channel, from the one shard that has them."""
+    keys = dict(zip(PLAN_FACT_SHARD, (region, matdirec, distr_chan)))
+    met = [F.col(name) == F.lit(value) for name, value in keys.items()]
+    return read_shard(spark, path, schema, [F.lit(v) for v in keys.values()], reduce(and_, met))
+
+
+def sales_lookup(spark: SparkSession, path: str, schema: StructType, plant: str, day: dt.date | str) -> DataFrame:
+    """The row of a published daily mart for one store and day, from the one shard that has it."""
+    value = F.lit(as_date(day))
+    met = (F.col("plant") == F.lit(plant)) & (F.col("calday") == value)
+    return read_shard(spark, path, schema, [F.lit(plant), day_number(value)], met)
+
+
 def point_lookup(mart: DataFrame, keys: Mapping[str, object]) -> DataFrame:
     """Rows with the given value in every key column."""
     for name, value in keys.items():

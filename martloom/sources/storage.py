@@ -61,6 +61,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot store {path}")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as ``write_text`` stores it."""
+    place, system = _at(spark, path)
+    stream = system.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def settle(spark: SparkSession, path: str) -> None:
     """Ends a replacement that was interrupted, and removes what an earlier one has left."""
     fresh, old = path + NEXT, path + OLD

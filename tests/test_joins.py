@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from martloom.catalogue.queries import all_queries
 from martloom.operators import joins, lookup
+from martloom.operators.stats import hot_keys
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -130,6 +131,8 @@ def test_runtime_settings_split_a_skewed_partition(spark, heads):
 
 # Queries that write look at what they wrote; a month load asks whether its source is empty.
 RUNS_JOBS = {
+    "hot_keys", "skewed_coupons_dds", "distinct_bills", "stored_point_lookup", "replaced_load",
+    "pipeline_rerun", "rerun_months", "table_stats_merged",
     "full_load", "insert_select", "csv_scan", "csv_rejects", "pipeline_run", "plan_fact_pipeline_run",
     "delta_partition_load", "load_traffic_ods", "load_bills_dds", "load_months", "reject_limit",
     "audit_log", "daily_export", "sharded_copy", "plan_fact_copy", "colocated_join",
@@ -198,3 +201,38 @@ def test_lookup_takes_given_defaults(frame):
     assert rows(found) == [("a", "?", 4), ("b", "?", 0)]
 
 
+
+
+# ---- hot keys -------------------------------------------------------------------------
+
+
+def test_hot_keys_are_found_and_counted_exactly(spark):
+    """Half a percent among a great many keys, two columns, nulls in either."""
+    a = F.when(F.col("id") % 200 == 0, "hot").when(F.col("id") % 100 == 1, None).otherwise(F.col("id").cast("string"))
+    b = F.when(F.col("id") % 200 == 0, 1).when(F.col("id") % 200 == 1, None).otherwise(F.col("id") % 7)
+    df = spark.range(0, 200_000, 1, 7).select(a.alias("a"), b.alias("b"), F.col("id").alias("n"))
+    found = {(r.a, r.b): r.row_count for r in hot_keys(df, ["a", "b"], 0.005).collect()}
+    exact = df.groupBy("a", "b").count().filter("count >= 1000").collect()
+    assert found == {(r[0], r[1]): r[2] for r in exact} and found[("hot", 1)] == found[(None, None)] == 1000
+    assert hot_keys(df, ["n"], 0.005).isEmpty()
+    assert [tuple(r) for r in hot_keys(df.select(F.lit("x").alias("k")), ["k"], 1).collect()] == [("x", 200_000)]
+    assert hot_keys(df.limit(0), ["a"]).isEmpty()
+    with pytest.raises(ValueError):
+        hot_keys(df, ["a"], 0)
+
+
+def test_bill_sets_count_bills_of_several_days_once(spark):
+    from conftest import day
+
+    from martloom.plans import sales_mart
+
+    rows = [("M1", day("2021-01-01"), 1), ("M1", day("2021-01-01"), 1), ("M1", day("2021-01-02"), 1), ("M1", day("2021-01-02"), 70_000),
+            ("M1", day("2021-01-03"), 5), ("M2", day("2021-01-02"), 1), ("M2", day("2021-01-02"), None), ("M1", day("2021-01-02"), -9),
+            ("M3", day("2021-01-01"), 2**62)]
+    bills = spark.createDataFrame(rows, "plant string, calday date, billnum long")
+    sets = sales_mart.bill_sets(bills, "2021-01-01", "2021-01-31")
+    for first, last in (("2021-01-01", "2021-01-02"), ("2021-01-02", "2021-01-03"), ("2021-01-02", "2021-01-02")):
+        for by in (["plant"], ["calday"], ["plant", "calday"]):
+            found = sales_mart.distinct_bills(sets, by, first, last)
+            wanted = bills.filter(F.col("calday").between(first, last)).groupBy(by).agg(F.count_distinct("billnum"))
+            assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))

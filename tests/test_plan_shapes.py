@@ -13,7 +13,8 @@ from martloom.plans import plan_fact, refine, sales_mart
 FOLDER = "/root/testdata/sf0.001"
 WRITING = {
     "pipeline_run", "plan_fact_pipeline_run", "load_months", "audit_log", "reject_limit", "daily_export",
-    "sharded_copy", "plan_fact_copy", "replaced_load", "pipeline_rerun", "rerun_months",
+    "sharded_copy", "plan_fact_copy", "replaced_load", "distinct_bills", "stored_point_lookup", "skewed_coupons_dds", "hot_keys",
+    "pipeline_rerun", "rerun_months",
 }
 
 
@@ -84,6 +85,33 @@ def test_coupons_meet_lines_by_material_and_bill(spark, no_broadcast):
     assert sum(k.startswith("material, billnum, _price") or "material, billnum, " in k for k in keys) <= 2
 
 
+def test_promotions_are_met_below_the_join_of_the_facts(spark, no_broadcast):
+    f = Frames(spark, FOLDER)
+    detail = refine.coupons_dds(refine.coupons_ods(f.coupons), f.bills_item, refine.promos_ods(f.promos), ["UNKNOWN"])
+    lines = [line for line in plan_of(detail).splitlines() if "SortMergeJoin" in line]
+    promo, fact = (next(l for l in lines if key in l) for key in ("[promo_id", "[material"))
+    # Deeper in the tree is further to the right, and further down.
+    assert promo.index("SortMergeJoin") > fact.index("SortMergeJoin") and lines.index(promo) > lines.index(fact)
+    assert "_slice" in promo
+
+
+def test_a_stored_lookup_reads_one_shard(spark, tmp_path):
+    from martloom.plans import serving
+
+    path, schema = str(tmp_path / "copy"), "region string, matdirec string, distr_chan string, n int"
+    rows = [(f"R{r}", f"M{m}", f"C{c}", r * m * c) for r in range(9) for m in range(9) for c in range(3)]
+    mart = spark.createDataFrame(rows, schema)
+    serving.publish_plan_fact(mart, path, 8)
+    found = serving.plan_fact_lookup(spark, path, mart.schema, "R3", "M4", "C2")
+    assert [tuple(r) for r in found.collect()] == [("R3", "M4", "C2", 24)]
+    assert serving.plan_fact_lookup(spark, path, mart.schema, "R3", "M4", "C9").isEmpty()
+    plan = formatted_plan_of(found)
+    assert re.search(r"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = \d\)\]", plan)
+    assert "EqualTo(region,R3), EqualTo(matdirec,M4), EqualTo(distr_chan,C2)" in plan
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.selectedPartitions().partitionCount() == 1
+
+
 def test_bucketed_facts_are_joined_where_they_are(spark, no_broadcast):
     plan = plan_of(all_queries()["colocated_join"](spark, FOLDER))
     assert "SortMergeJoin" in plan and "Exchange" not in plan
