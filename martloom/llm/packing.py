@@ -57,6 +57,9 @@ class WordTable:
         apart = [i for w in probe.split() for i in self._encode([w])[0]]
         if self._encode([probe])[0] != apart:
             raise ValueError(f"{path} is no vocabulary of words")
+        # Only a vocabulary that does not tell capitals from small letters may be asked for small ones alone.
+        capitals = "THE Quick bROWN fox It's A1B2 QX-ZZ W.V. Jumped OVER Lazy Dogs"
+        self.lowers = self._encode([capitals])[0] == self._encode([capitals.lower()])[0]
         self.entries = entries
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -85,7 +88,8 @@ class WordTable:
         letters, signs = found.groups()
         if letters and not letters.isalpha():
             return None
-        return (self._part(letters.lower()) if letters else b"") + (self._part(signs) if signs else b"")
+        letters = letters.lower() if self.lowers else letters
+        return (self._part(letters) if letters else b"") + (self._part(signs) if signs else b"")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -111,10 +115,9 @@ class WordTable:
                 del known[word]
         return found
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
+    def _words(self, text: str) -> list[str]:
         # Blanks, tabs and line ends are white space by every rule; other kinds are left to the library.
-        text = text.lower() if text.isascii() else text
+        text = text.lower() if self.lowers and text.isascii() else text
         return text.replace("\n", " ").replace("\t", " ").split(" ")
 
 
