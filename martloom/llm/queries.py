@@ -216,7 +216,8 @@ def llm_sql() -> dict[str, str]:
     }
 
 
-_WEB = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?([^/?#:@]+)(?::[0-9]*)?([^?#]*)"
+_WEB = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?(?:\[([0-9A-Fa-f:.]+)\]|([^/?#:@\[][^/?#:@]*))(?::[0-9]*)?([^?#]*)"
+_HOST = f"regexp_replace(lower(regexp_extract(url, '{_WEB}', 1) || regexp_extract(url, '{_WEB}', 2)), '\\.$', '')"
 _LOGS = " union all ".join(
     f"""select {url_filters.KINDS.index(kind)} as kind, pattern, {url_filters.ACTIONS.index(action)} as effect,
         date '{FIRST_DAY}' + cast({_digit('pattern', 3)} % 200 + {days} as int) as day
@@ -227,8 +228,8 @@ _LOGS = " union all ".join(
 OP8_SQL = f"""
 with parts as (
     select page_id, url, date '{FIRST_DAY}' + cast(page_id % 366 as int) as fetched,
-        nullif(regexp_replace(lower(regexp_extract(url, '{_WEB}', 1)), '\\.$', ''), '') as host,
-        list_filter(string_split(regexp_extract(url, '{_WEB}', 2), '/'), lambda s: s <> '') as segments
+        nullif({_HOST}, '') as host,
+        list_filter(string_split(regexp_extract(url, '{_WEB}', 3), '/'), lambda s: s <> '') as segments
     from pages
 ),
 captures as (select * replace (if(length(host) <= 253, host, null) as host) from parts),

@@ -18,18 +18,23 @@ KINDS = ("domain", "host", "prefix")
 ACTIONS = ("remove", "block", "allow")
 # Characters of the longest name a host can have; a longer one is invalid.
 LONGEST_HOST = 253
-_URL = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?([^/?#:@]+)(?::[0-9]*)?([^?#]*)"
+# An address in brackets holds colons; it has a group of its own.
+_URL = r"^[hH][tT][tT][pP][sS]?://(?:[^/?#@]*@)?(?:\[([0-9A-Fa-f:.]+)\]|([^/?#:@\[][^/?#:@]*))(?::[0-9]*)?([^?#]*)"
 
 
 def host_of(url: Column) -> Column:
-    """Host of a web address in lower case, without a final dot; null if it is none."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(url, _URL, 1)), r"\.$", "")
+    """Host of a web address in lower case, without a final dot; null if it is none.
+
+    A bracketed IPv6 address is a host as it stands, without its brackets.
+    """
+    host = F.concat(F.regexp_extract(url, _URL, 1), F.regexp_extract(url, _URL, 2))
+    host = F.regexp_replace(F.lower(host), r"\.$", "")
     return F.when((host != "") & (F.length(host) <= LONGEST_HOST), host)
 
 
 def segments_of(url: Column) -> Column:
     """The segments of the path; empty ones are skipped."""
-    return F.filter(F.split(F.regexp_extract(url, _URL, 2), "/"), lambda s: s != "")
+    return F.filter(F.split(F.regexp_extract(url, _URL, 3), "/"), lambda s: s != "")
 
 
 def _depths(spans: DataFrame) -> Column:
