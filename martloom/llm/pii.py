@@ -1,21 +1,23 @@
 """Personal data by patterns, checksums and context, in DataFrame functions only.
 
 Patterns propose spans; a part check, Luhn, mod-97 or a count of digits confirms
-them; words just before a span raise its score. Positions come from the gaps
-that splitting at a pattern leaves, so a text is read twice per kind that it
+them; words just before or after a span raise its score. Positions come from the
+gaps that splitting at a pattern leaves, so a text is read twice per kind that it
 holds and once per kind that it does not. The patterns are written with
 possessive repeats and anchored starts, so they take linear time and constant
-stack on any text, and match as the plain ones in the comments do.
+stack on any text, and match as the plain ones in the comments do. Matches are
+folded block by block, since an array that grows is copied with each step.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Characters before a span that are searched for context words.
+# Characters on either side of a span, up to the next one of its kind, that are searched for context words.
 CONTEXT = 40
 CONTEXT_BONUS = 0.3
 
@@ -119,14 +121,52 @@ def _confirmed(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+# Items folded at a time; texts with many more take the square root of their number.
+BLOCK = 64
+
+
+def _folded(items: Column, begin: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """Folds items, each step giving the next state and items (of the SQL type ``kind``) to put out.
+
+    Gives the last state, ``held``, and all that was put out, ``out``. Within a block, and then over
+    blocks, the output grows by copies, so n items cost about n ** 1.5 in all
+    rather than n ** 2.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(state: Column, item: Column) -> Column:
+        after, out = step(state["held"], item)
+        # A step is evaluated once although two fields are taken from it.
+        made = F.array(F.struct(after.alias("held"), out.alias("out")))
+        return F.transform(made, lambda m: F.struct(m["held"].alias("held"), F.concat(state["out"], m["out"]).alias("out")))[0]
+
+    def block(state: Column, part: Column) -> Column:
+        inner = F.array(F.aggregate(part, F.struct(state["held"].alias("held"), none.alias("out")), one))
+        return F.transform(
+            inner, lambda m: F.struct(m["held"].alias("held"), F.concat(state["out"], F.array(m["out"])).alias("out"))
+        )[0]
+
+    def whole(all_items: Column) -> Column:
+        n = F.size(all_items)
+        size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(n)).cast("int"))
+        starts = F.when(n > 0, F.sequence(F.lit(1), n, size)).otherwise(F.array().cast("array<int>"))
+        parts = F.transform(starts, lambda s: F.slice(all_items, s, size))
+        nothing = F.struct(begin.alias("held"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        end = F.array(F.aggregate(parts, nothing, block))
+        return F.transform(end, lambda e: F.struct(e["held"].alias("held"), F.flatten(e["out"]).alias("out")))[0]
+
+    # What a function names is evaluated each time it is called, but for its own arguments.
+    return F.transform(F.array(items), whole)[0]
+
+
 def _spans(kind: Kind, gaps: Column, found: Column) -> Column:
     """Confirmed spans from the gaps around the matches and the matches themselves."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]["n"]
+    def add(at: Column, pair: Column) -> tuple[Column, Column]:
+        begin = at + pair["before"]["n"]
         stop = begin + F.length(pair["text"])
-        near = F.regexp_like(pair["gap"]["tail"], F.lit(kind.context))
+        context = F.lit(kind.context)
+        near = F.regexp_like(pair["before"]["tail"], context) | F.regexp_like(pair["after"]["head"], context)
         score = kind.confidence + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         span = F.struct(
             F.lit(kind.name).alias("kind"),
@@ -136,27 +176,34 @@ def _spans(kind: Kind, gaps: Column, found: Column) -> Column:
             score.alias("score"),
         ).cast(SPAN)
         more = F.when(_confirmed(kind.name, pair["text"]), F.array(span)).otherwise(F.array().cast(f"array<{SPAN}>"))
-        return F.struct(stop.alias("at"), F.concat(state["out"], more).alias("out"))
+        return stop, more
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, t: F.struct(g.alias("gap"), t.alias("text")))
-    return F.aggregate(pairs, start, add, lambda state: state["out"])
+    n = F.size(found)
+    around = F.zip_with(F.slice(gaps, 1, n), F.slice(gaps, 2, n), lambda a, b: F.struct(a.alias("before"), b.alias("after")))
+    pairs = F.zip_with(around, found, lambda g, t: F.struct(g["before"].alias("before"), g["after"].alias("after"), t.alias("text")))
+    return _folded(pairs, F.lit(0), add, SPAN)["out"]
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii_spans") -> DataFrame:
     """Adds ``out``: all spans by kind, in the order of ``KINDS``, then by start.
 
     Starts and stops are code points, the stop exclusive. A null or empty text
-    has none. Spans of different kinds may overlap; those of one kind do not.
+    has none. Spans of different kinds may overlap; those of one kind do not. The
+    score is the confidence in the kind, and more if a context word stands near.
     Repeated rows get the same spans. Other columns pass through, but for one
     that is named ``out`` itself.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    empty_gap = F.array().cast("array<struct<n:int,tail:string>>")
+    empty_gap = F.array().cast("array<struct<n:int,tail:string,head:string>>")
     gaps, found = {}, {}
     for kind in KINDS:
         cut = F.transform(
             F.split(text, kind.pattern, -1),
-            lambda g: F.struct(F.length(g).alias("n"), F.lower(F.substring(g, -CONTEXT, CONTEXT)).alias("tail")),
+            lambda g: F.struct(
+                F.length(g).alias("n"),
+                F.lower(F.right(g, F.lit(CONTEXT))).alias("tail"),
+                F.lower(F.left(g, F.lit(CONTEXT))).alias("head"),
+            ),
         )
         gaps[f"_pii_gap_{kind.name}"] = F.when(F.contains(text, F.lit(kind.sign)), cut).otherwise(empty_gap) if kind.sign else cut
         holds = F.size(f"_pii_gap_{kind.name}") > 1
@@ -175,7 +222,9 @@ def spans_text(spans: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
     """The rows with each span of a score of at least ``least_score`` replaced by its kind, as ``<EMAIL>``.
 
-    Overlapping spans are replaced together, under the kind that starts first.
+    Overlapping spans are replaced together, under the kind that starts first. With
+    a ``least_score`` above a kind's confidence, spans of that kind are replaced
+    only where a context word stands near; at 0 all are.
     A null text stays null. Columns stay as they are, but for the text.
     """
     marked = with_spans(docs, text_col, "_pii_spans")
@@ -185,17 +234,20 @@ def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0) ->
             lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")),
         )
     )
-    none = F.array().cast("array<struct<start:int,stop:int,kind:string>>")
-
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"), last["kind"].alias("kind"))
-        overlaps = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] > s["start"])
-        return F.when(overlaps, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(
-            F.concat(done, F.array(s))
-        )
-
-    marked = marked.withColumn("_pii_cut", F.aggregate(chosen, none, merge))
+    cut = "struct<start:int,stop:int,kind:string>"
+    # The span that may still grow is held back until the next one begins behind it.
+    nothing = F.lit(None).cast(cut)
+
+    def merge(held: Column, s: Column) -> tuple[Column, Column]:
+        overlaps = F.coalesce(held["stop"] > s["start"], F.lit(False))
+        joined = F.struct(held["start"].alias("start"), F.greatest(held["stop"], s["stop"]).alias("stop"), held["kind"].alias("kind"))
+        out = F.when(overlaps | held.isNull(), F.array().cast(f"array<{cut}>")).otherwise(F.array(held))
+        return F.when(overlaps, joined).otherwise(s).cast(cut), out
+
+    marked = marked.withColumn("_pii_merged", _folded(chosen, nothing, merge, cut))
+    last = F.col("_pii_merged.held")
+    ends = F.when(last.isNotNull(), F.array(last)).otherwise(F.array().cast(f"array<{cut}>"))
+    marked = marked.withColumn("_pii_cut", F.concat("_pii_merged.out", ends))
     # With four bytes per code point a piece is cut out without reading what is before it.
     points = F.encode(F.col(text_col), "UTF-32")
     marked = marked.withColumn("_pii_points", F.when(F.size("_pii_cut") > 0, points))

@@ -65,6 +65,8 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
         ],
         F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
         pii.spans_text(F.col("pii_spans")).alias("spans"),
+        # Confidence in each span in hundredths, words on both sides of it considered.
+        F.array_join(F.transform("pii_spans", lambda s: F.round(100 * s["score"]).cast("int")), ",").alias("scores"),
     )
 
 
@@ -301,6 +303,14 @@ _MOD97 = (
     " then ascii(c) - 48 else ascii(c) - 55 end)),"
     " lambda a, x: (a * (case when x > 9 then 100 else 10 end) + x) % 97) = 1"
 )
+# Spaced account numbers that end where their country says. There is no look-ahead here: a number may
+# not run into a small letter either, and a longer match may run over the beginning of another number.
+_COUNTRIES = "|".join(
+    rf"({countries.replace(' ', '|')})[0-9]{{2}}(\x20[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+    + (rf"\x20[A-Z0-9]{{{(n - 4) % 4}}}" if n % 4 else "")
+    + r"\b"
+    for n, countries in pii.IBAN_LENGTHS.items()
+)
 # kind, pattern as stated, and what confirms a match.
 _KINDS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
@@ -313,14 +323,28 @@ _KINDS = (
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) between 8 and 15"),
     (
         "iban",
-        r"[A-Z]{2}[0-9]{2}([A-Z0-9]{11,30}|(\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,3})?)",
+        _COUNTRIES + r"|[A-Z]{2}[0-9]{2}([A-Z0-9]{11,30}|(\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,3})?)",
         _MOD97,
     ),
 )
+
+
+def _confidence(kind: str) -> int:
+    return round(100 * next(k.confidence for k in pii.KINDS if k.name == kind))
+
+
+def _context(kind: str) -> str:
+    return next(k.context for k in pii.KINDS if k.name == kind)
+
+
 _HITS = " union all ".join(
     f"""select doc_id, {n} as place, '{kind}' as kind, unnest(hits) as hit,
         unnest(list_transform(hits, lambda h, i: list_sum(list_transform(gaps[1:i], lambda g: length(g)))
-            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))) as start
+            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))) as start,
+        unnest(list_transform(hits, lambda h, i: {_confidence(kind)} + if(
+            regexp_matches(lower(right(gaps[i], {pii.CONTEXT})), '{_context(kind)}')
+            or regexp_matches(lower(left(gaps[i + 1], {pii.CONTEXT})), '{_context(kind)}'),
+            {round(100 * pii.CONTEXT_BONUS)}, 0))) as score
     from (select doc_id, regexp_extract_all(t, '{pattern}') as hits, string_split_regex(t, '{pattern}') as gaps
         from texts where regexp_matches(t, '{pattern}'))"""
     for n, (kind, pattern, _) in enumerate(_KINDS)
@@ -330,7 +354,7 @@ OP4_SQL = f"""
 with texts as (select doc_id, coalesce(text, '') as t from documents),
 hits as ({_HITS}),
 spans as (
-    select doc_id, place, kind, start,
+    select doc_id, place, kind, start, score,
         concat(kind, ':', cast(start as bigint), ':', cast(start + length(hit) as bigint)) as span
     from hits where case {_CONFIRMED} end
 )
@@ -340,7 +364,8 @@ select texts.doc_id,
     count(*) filter (kind = 'card') as n_card,
     count(*) filter (kind = 'phone') as n_phone,
     sha256(coalesce(string_agg(span, ',' order by place, start) filter (kind <> 'iban'), '')) as base_sha256,
-    coalesce(string_agg(span, ',' order by place, start) filter (span is not null), '') as spans
+    coalesce(string_agg(span, ',' order by place, start) filter (span is not null), '') as spans,
+    coalesce(string_agg(cast(score as varchar), ',' order by place, start) filter (span is not null), '') as scores
 from texts left join spans on spans.doc_id = texts.doc_id
 group by texts.doc_id
 """
