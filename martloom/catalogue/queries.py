@@ -19,6 +19,7 @@ from martloom.plans import pipeline, plan_fact, refine, sales_mart, serving
 from martloom.session import fresh_path
 from martloom.sources import delimited
 from martloom.sources.tables import empty_table, read_partitioned, read_table
+from martloom.streaming import arrivals
 
 # Periods of the test tables with interesting rows.
 START, END = "1995-01-01", "1995-02-28"
@@ -315,6 +316,22 @@ def table_stats_merged(f):
     return found.withColumn("distinct_count", F.when(known, F.col("distinct_count")))
 
 
+@query
+def late_arrivals(f):
+    """Items of two months that arrive in three files: an older state of some, all others, late and repeated ones."""
+    window = f.bills_item.filter(dates.in_window("calday", *dates.month_window(START, END)))
+    even = F.col("billnum") % 2 == 0
+    landing = fresh_path(f.spark, "landing")
+    files = (_older(window.filter(even)), window.filter(~even), window.filter(even | (F.col("billnum") % 3 == 0)))
+    for number, rows in enumerate(files):
+        rows.coalesce(1).write.parquet(f"{landing}/{number}")
+    path, arrived, checkpoint = (fresh_path(f.spark, n) for n in ("bills_item", "arrived", "checkpoint"))
+    arrivals.load_arrivals(
+        f.spark, f"{landing}/*", path, schemas.BILLS_ITEM, "calday", ["billnum", "billitem"], arrived, checkpoint, 1
+    )
+    return read_partitioned(f.spark, path, schemas.BILLS_ITEM)
+
+
 # ---- serving -------------------------------------------------------------------
 
 

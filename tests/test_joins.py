@@ -132,7 +132,7 @@ def test_runtime_settings_split_a_skewed_partition(spark, heads):
 # Queries that write look at what they wrote; a month load asks whether its source is empty.
 RUNS_JOBS = {
     "hot_keys", "skewed_coupons_dds", "distinct_bills", "stored_point_lookup", "replaced_load",
-    "pipeline_rerun", "rerun_months", "table_stats_merged",
+    "pipeline_rerun", "rerun_months", "table_stats_merged", "late_arrivals",
     "full_load", "insert_select", "csv_scan", "csv_rejects", "pipeline_run", "plan_fact_pipeline_run",
     "delta_partition_load", "load_traffic_ods", "load_bills_dds", "load_months", "reject_limit",
     "audit_log", "daily_export", "sharded_copy", "plan_fact_copy", "colocated_join",

@@ -13,7 +13,7 @@ from martloom.plans import plan_fact, refine, sales_mart
 FOLDER = "/root/testdata/sf0.001"
 WRITING = {
     "pipeline_run", "plan_fact_pipeline_run", "load_months", "audit_log", "reject_limit", "daily_export",
-    "sharded_copy", "plan_fact_copy", "replaced_load", "distinct_bills", "stored_point_lookup", "skewed_coupons_dds", "hot_keys",
+    "sharded_copy", "plan_fact_copy", "replaced_load", "late_arrivals", "distinct_bills", "stored_point_lookup", "skewed_coupons_dds", "hot_keys",
     "pipeline_rerun", "rerun_months",
 }
 
