@@ -393,6 +393,9 @@ def colocated_join(f):
         path = fresh_path(f.spark, name)
         stored.append(loads.save_bucketed(fact, f"{name}_{run}", path, ["billnum"], 8))
     items, heads = stored
+    # What has been looked up needs no name in the catalog any more; the files stay.
+    for name in ("items", "heads"):
+        f.spark.sql(f"DROP TABLE {name}_{run}")
     joined = fact_join(items, heads.select("billnum", "plant"), ["billnum"])
     return joined.groupBy("billnum", "plant").agg(
         F.count(F.lit(1)).alias("item_count"), F.sum("rpa_sat").cast("decimal(27,2)").alias("turnover")
