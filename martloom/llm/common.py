@@ -40,7 +40,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def by_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``mapInArrow`` over batches bounded in bytes."""
+    """``mapInArrow`` over batches bounded in bytes.
+
+    The bound is a setting that is read when the job starts, so it stays set for the session.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(work, schema)
 

@@ -1,12 +1,13 @@
 """Cases that earlier versions of the operators got wrong."""
 
+import random
 import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.llm import packing, pii, url_filters
+from martloom.llm import exact_dedup, near_dedup, packing, pii, url_filters
 from martloom.llm.queries import llm_queries, llm_sql
 
 
@@ -96,3 +97,117 @@ def test_personal_data_query_equals_sql_where_the_tables_hold_no_case(spark, tmp
     assert sorted((tuple(sorted(r.asDict().items())) for r in found), key=repr) == wanted
     spans = {r["doc_id"]: (r["spans"], r["scores"]) for r in found}
     assert spans[0] == ("iban:0:24", "60") and spans[2][1] == "90" and spans[9] == ("iban:0:27", "90")
+
+
+def near_components(rows, words=5, percent=80):
+    """Smallest id reachable from each row (id, text), by comparing all rows with all."""
+    cut = [tuple(t.lower().split()) for _, t in rows]
+    sets = [{w[k : k + words] for k in range(max(1, len(w) - words + 1))} if w else set() for w in cut]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    holders = {}
+    for i, s in enumerate(sets):
+        for v in s:
+            holders.setdefault(v, []).append(i)
+    for i, s in enumerate(sets):
+        shared = {}
+        for v in s:
+            for j in holders[v]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        for j, both in shared.items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (number, _) in enumerate(rows):
+        least[root(i)] = min(number, least.get(root(i), number))
+    return sorted((number, len(sets[i]), least[root(i)]) for i, (number, _) in enumerate(rows))
+
+
+def near_found(frame, **options):
+    rows = near_dedup.near_duplicates(frame, **options).collect()
+    assert all(r["kept"] == (r["component_id"] == r["doc_id"]) for r in rows)
+    return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows)
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_texts_that_share_an_id_keep_their_links(spark, exact):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (9, "q " + one), (9, "q " + two), (9, "alone")]
+    rows += [(7, "x y z"), (7, "x y z"), (8, "X y  z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_found(frame, exact=exact) == near_components(rows)
+    kept = near_dedup.drop_near_duplicates(frame, exact=exact).collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, one), (1, two), (9, "alone"), (7, "x y z"), (7, "x y z")])
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_linked_texts_of_one_id_leave_one(spark, monkeypatch, few):
+    monkeypatch.setattr(near_dedup, "FEW_IDS", few)
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(4, text), (4, text + " end"), (5, text + " fin"), (6, None), (6, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in near_dedup.drop_near_duplicates(frame).collect()]
+    assert sorted(i for i, _ in kept) == [4, 6, 6]
+
+
+def test_a_family_of_very_many_near_copies(spark, monkeypatch):
+    """5,000 near copies in five lengths, cut into blocks that partly cannot meet."""
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 600)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(5_000):
+        words = base[: 20 + 10 * (i % 5)]
+        for at in rng.sample(range(len(words)), rng.randrange(3)):
+            words[at] = f"x{rng.randrange(40)}"
+        rows.append((9_000 - i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert near_found(frame) == near_components(rows)
+
+
+def test_exact_way_finds_pairs_that_sketches_may_miss(spark, monkeypatch):
+    """With sketches of four values many links are lost; the exact way loses none."""
+    monkeypatch.setattr(near_dedup, "SKETCH", 4)
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        words = [f"{i // 2}v{k}" for k in range(100)]
+        if i % 2:
+            for at in rng.sample(range(100), 3):
+                words[at] = "y"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = near_components(rows, percent=70)
+    assert near_found(frame, percent=70, exact=True) == wanted
+    assert near_found(frame, percent=70) != wanted
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_exact_copies_with_ids_that_repeat(spark, monkeypatch, keep, few):
+    """Few groups are broadcast, more are joined by digest: the result is the same."""
+    monkeypatch.setattr(exact_dedup, "FEW_GROUPS", few)
+    rng = random.Random(2)
+    texts = ["hot"] * 40 + [f"t{k}" for k in range(60)] + [None, ""]
+    rows = [(rng.choice([None, *range(300)]), rng.choice(texts), k) for k in range(900)]
+    rows += [(None, "nobody", 1), (None, "nobody", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, keep_id int").repartition(7)
+    groups = {}
+    for i, t, _ in rows:
+        groups.setdefault(t or "", []).append(i)
+    best = {}
+    for t, ids in groups.items():
+        best[t] = (min if keep == "smallest" else max)((i for i in ids if i is not None), default=None)
+    found = exact_dedup.exact_duplicates(frame, keep=keep, fan_in=2).collect()
+    wanted = [(str(i), str(best[t or ""]), len(groups[t or ""]), i == best[t or ""]) for i, t, _ in rows]
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"]) for r in found) == sorted(wanted)
+    kept = exact_dedup.drop_exact_duplicates(frame, keep=keep, fan_in=2)
+    assert kept.columns == frame.columns
+    assert sorted((r["text"] or "", str(r["doc_id"])) for r in kept.collect()) == sorted((t, str(i)) for t, i in best.items())
