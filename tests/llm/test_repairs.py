@@ -111,18 +111,12 @@ def near_components(rows, words=5, percent=80):
             i = parent[i]
         return i
 
-    holders = {}
+    places = {}
+    masks = [sum(1 << places.setdefault(v, len(places)) for v in s) for s in sets]
     for i, s in enumerate(sets):
-        for v in s:
-            holders.setdefault(v, []).append(i)
-    for i, s in enumerate(sets):
-        shared = {}
-        for v in s:
-            for j in holders[v]:
-                if j < i:
-                    shared[j] = shared.get(j, 0) + 1
-        for j, both in shared.items():
-            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+        for j in range(i):
+            both = (masks[i] & masks[j]).bit_count()
+            if both and 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 parent[root(i)] = root(j)
     least = {}
     for i, (number, _) in enumerate(rows):
