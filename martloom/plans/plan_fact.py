@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_bounds, period_range
 from martloom.functions.rounding import ratio
-from martloom.operators.joins import checked_join, few_rows
+from martloom.operators.joins import checked_join, fact_join, few_rows
 
 LINE = ["region", "matdirec", "distr_chan"]
 
@@ -25,6 +25,7 @@ def sales_by_material(sales: DataFrame, product: DataFrame, yyyymm: str) -> Data
     Sales are totalled before the product join: a material that makes up much
     of the sales is one row per region and channel by then, and the product
     table meets totals instead of sales lines. Unknown materials drop out.
+    The product table grows with the data, so it is never broadcast.
     """
     totals = (
         _month(sales, yyyymm)
@@ -32,7 +33,7 @@ def sales_by_material(sales: DataFrame, product: DataFrame, yyyymm: str) -> Data
         .agg(F.sum("quantity").alias("quantity"))
     )
     directions = product.select("material", "matdirec")
-    return checked_join(totals, directions, ["material"])
+    return fact_join(totals, directions, ["material"])
 
 
 def _by_direction(totals: DataFrame) -> DataFrame:
@@ -120,7 +121,8 @@ def plan_fact_view(
     """Report over the mart: names, brand, and the price in that region and channel.
 
     Lines whose region, channel or material is unknown drop out; a missing
-    price stays NULL.
+    price stays NULL. Products and prices grow with the data: they are joined
+    shuffled, never broadcast, only regions and channels are.
     """
     regions = region.select("region", F.col("txt").alias("region_name"))
     channels = channel.select(
@@ -128,13 +130,13 @@ def plan_fact_view(
     )
     named = checked_join(mart, few_rows(regions), ["region"])
     named = checked_join(named, few_rows(channels), ["distr_chan"])
-    named = checked_join(
+    named = fact_join(
         named,
         product.select("material", "brand", F.col("txt").alias("product_name")),
         ["material"],
     )
     listed = prices.select("material", "region", F.col("dist_chan").alias("distr_chan"), "price")
-    priced = checked_join(named, listed, ["material", "region", "distr_chan"], "left")
+    priced = fact_join(named, listed, ["material", "region", "distr_chan"], "left")
     return priced.select(
         "region", "region_name", "matdirec", "distr_chan", "chan_name", "plan_exec_perc",
         "material", "brand", "product_name", "price",

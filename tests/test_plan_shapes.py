@@ -148,3 +148,12 @@ def test_sales_are_scanned_once_for_the_plan_fact_mart(spark, no_broadcast):
     final = plan_of(mart).split("== Initial Plan ==")[0]
     scans = [line for line in final.splitlines() if "FileScan" in line and "l_quantity" in line]
     assert len(scans) == 1 and "ReusedExchange" in final
+
+
+def test_products_and_prices_are_never_broadcast(spark):
+    """They grow with the data; a broadcast of them is built on the driver."""
+    plan = plan_of(all_queries()["plan_fact_view"](spark, FOLDER))
+    keys = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+    assert keys and not any("material" in k for k in keys)
+    assert "SortMergeJoin [material" in plan
+
