@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
-from martloom.operators.joins import checked_join
+from martloom.operators.joins import fact_join
 
 
 def type_default(kind: DataType) -> object:
@@ -49,7 +49,8 @@ def dict_lookups(
 
     The entries are brought together by one aggregate, whose tasks keep one
     entry per key and dictionary, and the rows are joined to them once. A key
-    that is unknown gives a typed default.
+    that is unknown gives a typed default. The entries grow with their sources,
+    so both sides are shuffled; the entries are never broadcast.
     """
     parts = [d.entries(on) for d in dictionaries]
     kinds = [df.schema["entry"].dataType for df in parts], [df.schema["rank"].dataType for df in parts]
@@ -63,7 +64,7 @@ def dict_lookups(
         rows.append(part.select(on, *blanks))
     every = reduce(DataFrame.unionByName, rows)
     picked = [F.max_by(f"_entry{i}", f"_rank{i}").alias(f"_entry{i}") for i in range(len(parts))]
-    found = checked_join(df, every.groupBy(on).agg(*picked), [on], "left")
+    found = fact_join(df, every.groupBy(on).agg(*picked), [on], "left")
     columns = []
     for i, dictionary in enumerate(dictionaries):
         for attribute, out in dictionary.attributes.items():

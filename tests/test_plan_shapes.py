@@ -157,3 +157,11 @@ def test_products_and_prices_are_never_broadcast(spark):
     assert keys and not any("material" in k for k in keys)
     assert "SortMergeJoin [material" in plan
 
+
+@pytest.mark.parametrize("name", ["dict_lookup", "plan_fact_report"])
+def test_dictionaries_by_material_are_never_broadcast(spark, name):
+    """Entries of every product and price: as many as products, not a few."""
+    plan = plan_of(all_queries()[name](spark, FOLDER))
+    keys = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+    assert not any("material" in k for k in keys)
+    assert "SortMergeJoin [material" in plan
