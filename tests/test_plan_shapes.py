@@ -117,6 +117,17 @@ def test_bucketed_facts_are_joined_where_they_are(spark, no_broadcast):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_bucketed_facts_get_more_buckets_as_the_items_grow(spark, no_broadcast, monkeypatch):
+    from martloom.catalogue import queries
+
+    few = sorted(map(tuple, all_queries()["colocated_join"](spark, FOLDER).collect()))
+    monkeypatch.setattr(queries, "ITEMS_A_BUCKET", 100)
+    joined = all_queries()["colocated_join"](spark, FOLDER)
+    assert "Exchange" not in plan_of(joined)
+    assert joined.rdd.getNumPartitions() > 8
+    assert sorted(map(tuple, joined.collect())) == few
+
+
 def test_best_seller_join_is_spread_by_total(spark, no_broadcast):
     plan = plan_of(all_queries()["top_material_by_region"](spark, FOLDER))
     assert any("sales_qt" in k or "coalesce" in k for k in re.findall(r"Exchange (.*)", plan))
